@@ -1,0 +1,220 @@
+"""Named tables: visibility, schema changes, upserts against a dict, reports."""
+
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import viewmart as vm
+from viewmart.functions import storage
+from viewmart.sources import tables
+
+
+def frame(spark, rows, schema="k string, a int, b string"):
+    return spark.createDataFrame(rows, schema)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "tables")
+
+
+def test_overwrite_replaces_rows_schema_and_partitioning(spark, root):
+    first = vm.overwrite(frame(spark, [("x", 1, "p")]), root, "t")
+    assert (first.version, first.rows) == (1, 1) and len(first.hash) == 16
+    second = vm.overwrite(
+        frame(spark, [("2024-01-01", 5), ("2024-01-02", 6)], "date string, n bigint"),
+        root, "t", partition_by=["date"],
+    )
+    assert (second.version, second.rows) == (2, 2)
+    table = vm.read_table(spark, root, "t")
+    assert dict(table.dtypes) == {"date": "string", "n": "bigint"}
+    assert rows_of(table) == [("2024-01-01", 5), ("2024-01-02", 6)]
+
+
+def test_empty_sources_change_nothing(spark, root):
+    vm.overwrite(frame(spark, [("x", 1, "p")]), root, "t")
+    empty = frame(spark, [])
+    assert vm.overwrite(empty, root, "t") is None
+    assert vm.append(empty, root, "t") is None
+    assert vm.merge(empty, root, "t", key="k") is None
+    filtered = frame(spark, [("x", 1, "p")]).repartition(3).where("a > 5")
+    assert vm.overwrite(filtered, root, "t", partition_by=["b"]) is None
+    assert rows_of(vm.read_table(spark, root, "t")) == [("x", 1, "p")]
+    assert vm.overwrite(empty, root, "never") is None
+    assert not vm.table_exists(spark, root, "never")
+
+
+def test_absent_table(spark, root):
+    with pytest.raises(FileNotFoundError):
+        vm.read_table(spark, root, "none")
+    with pytest.raises(FileNotFoundError):
+        vm.validate_asset(spark, root, "none")
+
+
+def test_append_adds_columns_and_counts(spark, root):
+    vm.append(frame(spark, [("x", 1, "p")]), root, "t")
+    done = vm.append(frame(spark, [("y", "q", 2.5)], "k string, b string, c double"), root, "t")
+    assert (done.version, done.rows) == (2, 2)
+    again = vm.append(frame(spark, [("z", 3, "r")]), root, "t")
+    assert again.rows == 3 == vm.table_rows(spark, root, "t")
+    table = vm.read_table(spark, root, "t")
+    assert table.columns == ["k", "a", "b", "c"]
+    assert rows_of(table) == [("x", 1, "p", None), ("y", None, "q", 2.5), ("z", 3, "r", None)]
+
+
+def test_append_casts_to_the_table_and_fails_where_it_cannot(spark, root):
+    vm.overwrite(frame(spark, [("x", 1, "p")]), root, "t")
+    vm.append(frame(spark, [("y", 2, "q")], "k string, a bigint, b string"), root, "t")
+    assert dict(vm.read_table(spark, root, "t").dtypes)["a"] == "int"
+    with pytest.raises(Exception, match="CAST|cast"):
+        vm.append(frame(spark, [("z", "three", "q")], "k string, a string, b string"), root, "t")
+    assert vm.table_rows(spark, root, "t") == 2
+    assert vm.append(frame(spark, [("z", 3, "q")]), root, "t").rows == 3
+
+
+def test_append_keeps_the_partitioning(spark, root):
+    vm.overwrite(frame(spark, [("x", 1, "p")]), root, "t", partition_by=["b"])
+    with pytest.raises(ValueError, match="partitioned"):
+        vm.append(frame(spark, [("y", 1, "p")]), root, "t", partition_by=["k"])
+    with pytest.raises(ValueError, match="lacks"):
+        vm.append(frame(spark, [("y", 1)], "k string, a int"), root, "t")
+
+
+def test_a_write_that_never_finished_is_not_seen(spark, root):
+    vm.overwrite(frame(spark, [("x", 1, "p")]), root, "t")
+    lost = f"{root}/t/full=00000002/_part=00000002"
+    frame(spark, [("lost", 9, "p")]).write.parquet(lost)
+    assert rows_of(vm.read_table(spark, root, "t")) == [("x", 1, "p")]
+    assert vm.append(frame(spark, [("y", 2, "q")]), root, "t").version == 3
+    assert vm.overwrite(frame(spark, [("z", 3, "r")]), root, "t").version == 4
+    assert rows_of(vm.read_table(spark, root, "t")) == [("z", 3, "r")]
+
+
+def test_failed_contract_keeps_the_old_table(spark, root):
+    vm.overwrite(frame(spark, [("x", 1, "p")]), root, "t")
+    with pytest.raises(AssertionError, match="min_rows"):
+        vm.overwrite(frame(spark, [("y", 1, "p")]), root, "t", expect={"min_rows": 2})
+    assert rows_of(vm.read_table(spark, root, "t")) == [("x", 1, "p")]
+    vm.overwrite(frame(spark, [("y", 1, "p")]), root, "t", expect={"not_null": ["k"], "min_rows": 1})
+    assert rows_of(vm.read_table(spark, root, "t")) == [("y", 1, "p")]
+
+
+def test_note_holds_schema_and_rows(spark, root):
+    vm.overwrite(frame(spark, [("x", 1, "p")]), root, "t", partition_by=["b"])
+    note = json.loads(storage.read_note(spark, f"{root}/t/full=00000001/_part=00000001/{tables.NOTE}"))
+    assert note["rows"] == 1 and note["partition_by"] == ["b"]
+
+
+def test_merge_cases(spark, root):
+    target = [("x", 1, "p"), ("y", 2, "q"), (None, 3, "r")]
+    assert vm.merge(frame(spark, [("x", 1, "p"), ("y", 2, "q")]), root, "t", key="k").rows == 2
+    vm.append(frame(spark, target[2:]), root, "t")
+    # NULL values overwrite, a column the source lacks keeps its value, new keys are added.
+    source = frame(spark, [("x", None), ("z", 9)], "k string, a int")
+    assert vm.merge(source, root, "t", key="k").rows == 4
+    table = vm.read_table(spark, root, "t")
+    assert rows_of(table) == sorted(
+        [("x", None, "p"), ("y", 2, "q"), (None, 3, "r"), ("z", 9, None)], key=repr
+    )
+    # NULL keys equal nothing.
+    vm.merge(frame(spark, [(None, 7)], "k string, a int"), root, "t", key="k", validate=False)
+    assert (None, 7, None) in rows_of(vm.read_table(spark, root, "t"))
+    assert (None, 3, "r") in rows_of(vm.read_table(spark, root, "t"))
+
+
+def test_merge_refuses_bad_keys(spark, root):
+    vm.overwrite(frame(spark, [("x", 1, "p")]), root, "t")
+    for rows, message in [
+        ([("x", 1, "p"), ("x", 2, "p")], "duplicate"),
+        ([(None, 1, "p")], "nulls"),
+    ]:
+        with pytest.raises(ValueError, match=message):
+            vm.merge(frame(spark, rows), root, "t", key="k")
+    with pytest.raises(ValueError, match="not found"):
+        vm.merge(frame(spark, [("x", 1, "p")]), root, "t", key="nope")
+    with pytest.raises(ValueError, match="not in the target"):
+        vm.merge(frame(spark, [("x", 1)], "k string, extra int"), root, "t", key="k")
+    twice = frame(spark, [("x", 1, "p"), ("x", 2, "p")])
+    with pytest.raises(ValueError, match="several source rows"):
+        vm.merge(twice, root, "t", key="k", validate=False)
+    new_twice = frame(spark, [("n", 1, "p"), ("n", 2, "p")])
+    assert vm.merge(new_twice, root, "t", key="k", validate=False).rows == 3
+
+
+def test_composite_keys_are_compared_by_value(spark):
+    rows = [("a||b", 1, "c"), ("a", 1, "b||c")]
+    assert vm.duplicate_keys(frame(spark, rows), ["k", "b"]).first().duplicates == 0
+    assert vm.key_problems(frame(spark, rows), ["k", "b"]).isEmpty()
+
+
+KEYS = st.tuples(st.sampled_from("abcd"), st.integers(0, 3))
+VALUES = st.one_of(st.none(), st.integers(0, 9))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.dictionaries(KEYS, VALUES, max_size=12), st.dictionaries(KEYS, VALUES, max_size=12))
+def test_merge_like_a_dict(spark, target, source):
+    schema = "k string, n int, v int, kept string"
+    left = frame(spark, [(*k, v, "old") for k, v in target.items()], schema)
+    right = frame(spark, [(*k, v) for k, v in source.items()], "k string, n int, v int")
+    merged = vm.merge_rows(left, right, ["k", "n"])
+    expected = {k: (v, "old") for k, v in target.items()}
+    expected.update({k: (v, "old" if k in target else None) for k, v in source.items()})
+    assert rows_of(merged) == sorted(((*k, *v) for k, v in expected.items()), key=repr)
+
+
+def test_merge_broadcasts_a_small_source(spark, root):
+    """The target is not shuffled when the source is small."""
+    target = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("a"))
+    target.write.parquet(f"{root}/target")
+    source = spark.range(10).select((F.col("id") + 995).alias("k"), F.lit(2).alias("a"))
+    source.write.parquet(f"{root}/source")
+    merged = vm.merge_rows(spark.read.parquet(f"{root}/target"), spark.read.parquet(f"{root}/source"), "k")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+    assert merged.count() == 1005
+
+
+def test_validate_asset(spark, root):
+    vm.overwrite(frame(spark, [("x", 1, "p"), ("x", 2, "q"), (None, 3, "r")]), root, "t")
+    report = vm.validate_asset(spark, root, "t", key="k", expected_columns=["k", "z"])
+    assert report["row_count"] == 3 and report["needs_cleanup"]
+    assert report["key_nulls"] == {"k": 1} and report["key_duplicates"] == 1
+    assert report["issues"][0] == "missing columns: ['z']"
+    fine = vm.validate_asset(spark, root, "t", key=["k", "a"], expected_columns=["k"])
+    assert fine["issues"] == ["nulls in key columns: {'k': 1}"]
+    gone = vm.validate_asset(spark, root, "t", key="nope")
+    assert gone["issues"] == ["key columns missing: ['nope']"] and gone["row_count"] == 3
+    plain = vm.validate_asset(spark, root, "t")
+    assert not plain["needs_cleanup"] and plain["row_count"] == 3
+
+
+def test_clustered_files_spread_a_hot_first_value(spark, tmp_path):
+    df = spark.range(8000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("page_id"),
+        F.lit("2024-01-01").alias("date"),
+        F.col("id").alias("views"),
+    )
+    path = str(tmp_path / "clustered")
+    with_small_parts = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        vm.write_clustered(df, path, ["page_id", "date"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_small_parts)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 8000
+    hot = stored.where("page_id = 'hot'").select(F.input_file_name()).distinct().count()
+    assert hot > 1
+    by_file = stored.groupBy(F.input_file_name().alias("f")).agg(
+        F.min("page_id").alias("lo"), F.max("page_id").alias("hi")
+    )
+    ranges = sorted((r.lo, r.hi) for r in by_file.collect())
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))

@@ -123,14 +123,20 @@ def violations(df: DataFrame, checks: list[Check], samples: int = SAMPLES) -> Da
     ``sample`` holds up to ``samples`` different bad values: the least one of each hash
     class, so the state per task stays at that many values and re-runs give the same.
     """
-    aggregates = []
-    for i, check in enumerate(checks):
-        aggregates.append(F.count_if(check.bad).alias(f"n{i}"))
-        text = F.col(check.column).cast("string")
-        slot = F.pmod(F.xxhash64(text), F.lit(max(samples, 1)))
-        for j in range(samples):
-            aggregates.append(F.min(F.when(check.bad & (slot == j), text)).alias(f"s{i}_{j}"))
-    counts = df.agg(*aggregates)
+    # NULL is never bad, so the bad values themselves tell their number.
+    bad = df.select(
+        [F.when(c.bad, F.col(c.column).cast("string")).alias(f"v{i}") for i, c in enumerate(checks)]
+    )
+    aggregates = [F.count(f"v{i}").alias(f"n{i}") for i in range(len(checks))]
+    if samples:
+        slots = [F.when(F.col(v).isNotNull(), F.pmod(F.xxhash64(v), F.lit(samples))) for v in bad.columns]
+        bad = bad.select("*", *[slot.alias(f"h{i}") for i, slot in enumerate(slots)])
+        aggregates += [
+            F.min(F.when(F.col(f"h{i}") == j, F.col(f"v{i}"))).alias(f"s{i}_{j}")
+            for i in range(len(checks))
+            for j in range(samples)
+        ]
+    counts = bad.agg(*aggregates)
     rows = F.array(
         *[
             F.struct(

@@ -125,10 +125,16 @@ def period_views(facts: DataFrame, pages: DataFrame, period: str, *, pages_rows:
     Sums and titles come out of one aggregation. The window then sees one row per
     period of a page, so it stays small however many facts a page has.
     """
-    rows = facts.join(hinted(pages.select("page_id"), pages_rows), "page_id")
-    per_period = rows.groupBy("page_id", period).agg(
+    ids = pages.select("page_id")
+    keep_first = pages_rows is not None and pages_rows <= BROADCAST_ROWS
+    if keep_first:
+        facts = facts.join(F.broadcast(ids), "page_id")
+    per_period = facts.groupBy("page_id", period).agg(
         F.sum("views").alias("views"), latest().alias("last")
     )
+    if not keep_first:
+        # Sums per task go into this shuffle instead of facts, so no page is a hot key in it.
+        per_period = per_period.join(ids, "page_id")
     last_title = F.max("last").over(Window.partitionBy("page_id"))["entity"]
     return per_period.select(period, "page_id", last_title.alias("entity"), "views").orderBy(
         F.col("page_id").asc_nulls_last(), F.col(period).asc_nulls_last()

@@ -19,13 +19,21 @@ FACT = T.StructType(
 )
 
 
+# As stored: the two partition columns come last.
+STORED = T.StructType(FACT.fields + [T.StructField("source", T.StringType())])
+
+
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
     """All facts written by :func:`write_facts`.
 
     The schema is given, so no file is opened to infer it and ``date`` stays text.
     """
-    stored = T.StructType(FACT.fields + [T.StructField("source", T.StringType())])
-    return spark.read.schema(stored).parquet(path).select(*FACT.names)
+    return spark.read.schema(STORED).parquet(path).select(*FACT.names)
+
+
+def read_origins(spark: SparkSession, path: str) -> DataFrame:
+    """``date, source`` of the stored facts; both come from folder names."""
+    return spark.read.schema(STORED).parquet(path).select("date", "source")
 
 
 def read_daily_files(spark: SparkSession, path: str, glob: str = "page_views_*.parquet") -> DataFrame:

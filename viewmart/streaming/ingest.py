@@ -3,31 +3,53 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewmart.functions.text import DUMP_DAY, DUMP_GLOB
+from viewmart.functions.text import DUMP_DAY, DUMP_GLOB, day_from_path
 from viewmart.sources.dumps import dump_facts, parse_rejects, read_dump, stream_dump
-from viewmart.sources.facts import write_facts
+from viewmart.sources.facts import read_origins, write_facts
 
 
-def _store(
-    lines: DataFrame, facts_path: str, project: str, strict: bool, allow_empty: bool
-) -> None:
-    """Write the facts of some dump files, and fail if one of their days gave none.
-
-    Days seen before and after the filter come out of the write itself: a second pass
-    would decompress the files again.
-    """
+def _store(lines: DataFrame, facts_path: str, project: str, strict: bool) -> None:
     unknown = F.raise_error(F.concat(F.lit("no day in the path of "), F.col("source")))
     lines = lines.withColumn("date", F.coalesce("date", unknown.cast("string")))
-    seen, kept = Observation(), Observation()
-    days = F.collect_set("date").alias("days")
-    facts = dump_facts(lines.observe(seen, days), project, strict=strict)
-    write_facts(facts.observe(kept, days), facts_path)
-    empty = sorted(set(seen.get["days"]) - set(kept.get["days"]))
-    if empty and not allow_empty:
-        raise ValueError(f"no facts found for {empty}")
+    write_facts(dump_facts(lines, project, strict=strict), facts_path)
+
+
+def files_without_facts(
+    spark: SparkSession,
+    dump_path: str,
+    facts_path: str,
+    *,
+    glob: str = DUMP_GLOB,
+    day_pattern: str = DUMP_DAY,
+) -> DataFrame:
+    """``date, source`` of the dump files that left nothing in the fact table.
+
+    Compares names only: the listing of the dump with the partitions of the facts.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
+        .load(dump_path)
+        .select(
+            day_from_path(F.col("_metadata.file_path"), day_pattern).alias("date"),
+            F.col("_metadata.file_name").alias("source"),
+        )
+    )
+    loaded = read_origins(spark, facts_path).distinct()
+    return files.join(loaded, ["date", "source"], "left_anti")
+
+
+def _check_files(spark: SparkSession, dump_path: str, facts_path: str, glob: str, day_pattern: str) -> None:
+    missing = files_without_facts(
+        spark, dump_path, facts_path, glob=glob, day_pattern=day_pattern
+    )
+    shown = missing.orderBy("date", "source").limit(5).collect()
+    if shown:
+        raise ValueError("no facts found for " + ", ".join(f"{r.date} ({r.source})" for r in shown))
 
 
 def ingest(
@@ -43,10 +65,13 @@ def ingest(
 ) -> None:
     """Batch ingest of all matching dump files, replacing what these files gave before.
 
-    Use it to load re-issued files, which the stream does not read again.
+    Use it to load re-issued files, which the stream does not read again. A file that gives
+    no facts raises ValueError at the end, unless ``allow_empty``.
     """
     lines = read_dump(spark, dump_path, glob=glob, day_pattern=day_pattern)
-    _store(lines, facts_path, project, strict, allow_empty)
+    _store(lines, facts_path, project, strict)
+    if not allow_empty:
+        _check_files(spark, dump_path, facts_path, glob, day_pattern)
 
 
 def ingest_stream(
@@ -67,18 +92,20 @@ def ingest_stream(
 
     Returns the number of batches run. The checkpoint remembers finished batches. A batch
     that is repeated after a failure replaces its own partitions, so no fact is doubled.
-    ``rejects_path`` also keeps the lines that could not be used, by day and file.
+    ``rejects_path`` also keeps the lines that could not be used, by day and file. A file
+    that gave no facts raises ValueError at the end of this and later runs, unless
+    ``allow_empty``.
     """
     done = []
 
     def store(batch: DataFrame, batch_id: int) -> None:
         if rejects_path is None:
-            _store(batch, facts_path, project, strict, allow_empty)
+            _store(batch, facts_path, project, strict)
         else:
             # Two outputs of one batch: keep its lines rather than read the files twice.
             batch = batch.persist(StorageLevel.DISK_ONLY)
             try:
-                _store(batch, facts_path, project, strict, allow_empty)
+                _store(batch, facts_path, project, strict)
                 (
                     parse_rejects(batch, project)
                     .write.mode("overwrite")
@@ -100,4 +127,6 @@ def ingest_stream(
         .start()
     )
     query.awaitTermination()
+    if not allow_empty:
+        _check_files(spark, dump_path, facts_path, glob, day_pattern)
     return len(done)
