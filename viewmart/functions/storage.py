@@ -18,11 +18,10 @@ def _open(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def matches(spark: SparkSession, glob: str) -> bool:
-    """True if at least one path matches a glob."""
-    fs, p = _open(spark, glob)
-    found = fs.globStatus(p)
-    return found is not None and len(found) > 0
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Sorted paths that match a glob, without scheme and host."""
+    fs, p = _open(spark, pattern)
+    return sorted(s.getPath().toUri().getPath() for s in fs.globStatus(p) or [])
 
 
 def absolute(spark: SparkSession, path: str) -> str:

@@ -334,7 +334,7 @@ def event_dump(spark: SparkSession, sf_dir: str) -> str:
             F.floor("value").cast("bigint"),
             F.lit("x"),
         ).alias("value"),
-        F.date_format("ts", "yyyyMMdd").alias("day"),
+        F.translate(day("ts"), "-", "").alias("day"),
     )
     writer = lines.hint("rebalance", "day").write.option("compression", "bzip2")
     writer.partitionBy("day").text(path)

@@ -96,12 +96,13 @@ def register_assets(spark: SparkSession, base: str, views: dict[str, str | list[
 
 
 def list_assets(spark: SparkSession, base: str, pattern: str) -> DataFrame:
-    """Files whose path relative to ``base`` matches a glob: ``name, modified, length``.
+    """Files whose path relative to ``base`` matches a glob, sorted: ``name, modified, length``.
 
-    Only the listing is read; the content column is pruned. Sort by ``name`` to show it.
+    A folder that matches stands for the files in it. Only the listing is read; the
+    content column is pruned.
     """
     root = base.rstrip("/")
-    if not storage.matches(spark, f"{root}/{pattern}"):
+    if not storage.glob(spark, f"{root}/{pattern}"):
         return spark.createDataFrame([], "name string, modified timestamp, length bigint")
     prefix = storage.absolute(spark, root).rstrip("/") + "/"
     path = F.regexp_replace("path", "^[a-zA-Z0-9+.-]+:(//[^/]*)?", "")
@@ -110,7 +111,7 @@ def list_assets(spark: SparkSession, base: str, pattern: str) -> DataFrame:
         F.substring(path, len(prefix) + 1, F.length(path)).alias("name"),
         F.col("modificationTime").alias("modified"),
         "length",
-    )
+    ).orderBy("name")
 
 
 def fresh_assets(spark: SparkSession, base: str, pattern: str, max_age_days: float | None = None) -> DataFrame:

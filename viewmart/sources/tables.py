@@ -69,27 +69,22 @@ def _part_folder(uri: str, full: int, part: int) -> str:
 
 def _state(spark: SparkSession, uri: str) -> _State:
     used = 0
-    found = None
     for full in reversed(_numbers(spark, uri, "full=")):
-        numbers = _numbers(spark, _full_folder(uri, full), "_part=")
-        used = max([used, full, *numbers])
-        notes = {}
-        for number in numbers:
-            text = storage.read_note(spark, f"{_part_folder(uri, full, number)}/{NOTE}")
-            if text:
-                notes[number] = json.loads(text)
-        if full in notes:
-            last = notes[max(notes)]
-            found = _State(
+        folder = _full_folder(uri, full)
+        used = max([used, full, *_numbers(spark, folder, "_part=")])
+        notes = storage.glob(spark, f"{folder}/_part=*/{NOTE}")
+        visible = [int(note.split("/")[-2].removeprefix("_part=")) for note in notes]
+        if full in visible:
+            last = json.loads(storage.read_note(spark, f"{_part_folder(uri, full, visible[-1])}/{NOTE}"))
+            return _State(
                 used,
                 full,
-                tuple(_part_folder(uri, full, n) for n in sorted(notes)),
+                tuple(_part_folder(uri, full, n) for n in visible),
                 T.StructType.fromJson(last["schema"]),
                 tuple(last["partition_by"]),
                 last["rows"],
             )
-            break
-    return found or _State(used, None, (), None, (), 0)
+    return _State(used, None, (), None, (), 0)
 
 
 def _read(spark: SparkSession, uri: str, state: _State) -> DataFrame:
