@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewmart.operators.profile import duplicate_keys, null_counts
+from viewmart.operators.profile import key_counts
 
 HIT = "__hit"
 
@@ -29,28 +29,36 @@ def key_problems(source: DataFrame, key: str | list[str]) -> DataFrame:
     if missing:
         rows = [("missing", k, None) for k in missing]
         return source.sparkSession.createDataFrame(rows, "problem string, key string, rows bigint")
-    nulls = null_counts(source, keys).select(
-        F.lit("null").alias("problem"), F.col("column").alias("key"), F.col("nulls").alias("rows")
-    )
-    doubles = duplicate_keys(source, keys).select(
-        F.lit("duplicate").alias("problem"),
-        F.lit(", ".join(keys)).alias("key"),
-        F.col("duplicates").alias("rows"),
+    counts = key_counts(source, keys)
+    lines = [("null", k, F.col("nulls")[k]) for k in keys]
+    lines.append(("duplicate", ", ".join(keys), F.col("duplicates")))
+    found = F.array(
+        *[
+            F.struct(F.lit(p).alias("problem"), F.lit(k).alias("key"), n.alias("rows"))
+            for p, k, n in lines
+        ]
     )
-    return nulls.unionByName(doubles).where(F.col("rows") > 0)
-
-
-def check_keys(source: DataFrame, key: str | list[str], name: str = "source") -> None:
-    """Raise ValueError if ``key`` cannot serve as a merge key."""
-    found = key_problems(source, key).collect()  # a handful of rows: one per key column
-    for row in found:
-        if row.problem == "missing":
-            raise ValueError(f"[{name}] key column '{row.key}' not found. Columns: {source.columns}")
-    for row in found:
-        if row.problem == "null":
-            raise ValueError(f"[{name}] key column '{row.key}' has {row.rows} nulls")
-    for row in found:
-        raise ValueError(f"[{name}] key {row.key} has {row.rows} duplicate values; it must be unique")
+    return counts.select(F.inline(found)).where(F.col("rows") > 0)
+
+
+def check_keys(source: DataFrame, key: str | list[str], name: str = "source") -> int:
+    """Raise ValueError if ``key`` cannot serve as a merge key; returns the rows of ``source``.
+
+    An empty source is fine, whatever its columns.
+    """
+    keys = as_list(key)
+    for k in keys:
+        if k not in source.columns:
+            if source.isEmpty():
+                return 0
+            raise ValueError(f"[{name}] key column '{k}' not found. Columns: {source.columns}")
+    counts = key_counts(source, keys).first()
+    for k, nulls in counts.nulls.items():
+        if nulls:
+            raise ValueError(f"[{name}] key column '{k}' has {nulls} nulls")
+    if counts.duplicates:
+        raise ValueError(f"[{name}] key {keys} has {counts.duplicates} duplicate values; it must be unique")
+    return counts.rows
 
 
 def conform(source: DataFrame, schema: T.StructType) -> DataFrame:

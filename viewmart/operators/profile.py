@@ -43,21 +43,31 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return unpivot_row(counts, items, "column", "nulls")
 
 
-def duplicate_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
-    """One row ``rows, distinct_keys, duplicates``; NULLs count as one value.
+def key_counts(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """One row ``rows, distinct_keys, duplicates, nulls``; ``nulls`` maps each key column to its
+    NULL count. NULLs count as one value of a key.
 
-    Keys are counted per task before the shuffle, so a key that fills a third of the
-    table arrives as one row per task.
+    Keys are counted per task before the one shuffle, so a key that fills a third of the
+    table arrives as one row per task; all else is told from the distinct keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("copies"))
+    copies, zero = F.col("__copies"), F.lit(0)
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("__copies"))
+    nulls = [F.coalesce(F.sum(F.when(F.col(k).isNull(), copies)), zero) for k in keys]
+    pairs = [F.struct(F.lit(k).alias("key"), n.alias("nulls")) for k, n in zip(keys, nulls)]
     return per_key.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(copies), zero).alias("rows"),
         F.count("*").alias("distinct_keys"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum(copies - 1), zero).alias("duplicates"),
+        F.map_from_entries(F.array(*pairs)).alias("nulls"),
     )
 
 
+def duplicate_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """One row ``rows, distinct_keys, duplicates``; NULLs count as one value."""
+    return key_counts(df, key).select("rows", "distinct_keys", "duplicates")
+
+
 def _size(column: Column, kind: T.DataType) -> Column:
     """Bytes of one value (0 if NULL): fixed widths, lengths of text, sums for nested types."""
     if isinstance(kind, (T.StringType, T.BinaryType)):

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewmart.operators.profile import duplicate_keys
+from viewmart.operators.profile import duplicate_keys, key_counts
 
 # The accepted shapes of dates kept as text.
 YEAR = r"^\d{4}$"
@@ -281,22 +281,12 @@ def key_report(df: DataFrame, key: str | list[str], expected_columns: list[str]
             F.lit(None).cast("bigint").alias("key_duplicates"),
             F.lit(True).alias("needs_cleanup"),
         )
-    # NULLs are counted on the distinct keys, weighted by their copies: one shuffle for all.
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("__copies"))
-    counted = per_key.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("key_duplicates"),
-        *[
-            F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("__copies"))), F.lit(0)).alias(f"__nulls{i}")
-            for i, k in enumerate(keys)
-        ],
-    )
-    pairs = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"__nulls{i}").alias("nulls")) for i, k in enumerate(keys)])
-    key_nulls = F.map_filter(F.map_from_entries(pairs), lambda _, n: n > 0)
-    return counted.select(
-        "row_count",
+    key_nulls = F.map_filter("nulls", lambda _, n: n > 0)
+    bad = (F.size(key_nulls) > 0) | (F.col("duplicates") > 0)
+    return key_counts(df, keys).select(
+        F.col("rows").alias("row_count"),
         absent.alias("missing"),
         key_nulls.alias("key_nulls"),
-        "key_duplicates",
-        (F.lit(bool(missing)) | (F.size(key_nulls) > 0) | (F.col("key_duplicates") > 0)).alias("needs_cleanup"),
+        F.col("duplicates").alias("key_duplicates"),
+        (F.lit(bool(missing)) | bad).alias("needs_cleanup"),
     )

@@ -248,10 +248,11 @@ def merge(
     """
     keys = as_list(key)
     spark, uri = source.sparkSession, _uri(root, name)
-    if source.isEmpty():
-        return None
+    source_rows = None
     if validate:
-        check_keys(source, keys, name)
+        source_rows = check_keys(source, keys, name)
+    if source_rows == 0 or (source_rows is None and source.isEmpty()):
+        return None
     state = _state(spark, uri)
     if state.full is None:
         return overwrite(source, root, name, partition_by=partition_by)
@@ -263,7 +264,7 @@ def merge(
     if done is None:
         return None
     version, _, rows = done
-    return WriteResult(uri, version, _hash(rows, source.schema), rows)
+    return WriteResult(uri, version, _hash(source_rows or rows, source.schema), rows)
 
 
 def cluster(df: DataFrame, columns: list[str]) -> DataFrame:
