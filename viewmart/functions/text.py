@@ -54,12 +54,3 @@ def day_from_path(path: Column, pattern: str = DUMP_DAY) -> Column:
 def month_of(date: Column) -> Column:
     """``YYYY-MM-DD`` text to ``YYYY-MM`` text."""
     return F.substring(date, 1, 7)
-
-
-def day_number(date: Column) -> Column:
-    """``YYYY-MM-DD`` text to the integer ``YYYYMMDD``, which sorts the same way.
-
-    Text of another shape gives NULL. A fixed-width value keeps an aggregate on it
-    in a hash table, where the text would need a sort.
-    """
-    return F.translate(date, "-", "").try_cast("int")

@@ -1,8 +1,8 @@
 """Totals, latest titles, exact top-n and views per period over daily facts.
 
-Facts are ``date, entity, page_id, views``. A page may change its title (``entity``);
-the latest one is the title of its last day, the greatest title where that day has
-several.
+Facts are ``date, entity, page_id, views``, the dates as text. A page may change its
+title (``entity``); the latest one is the title of its last day, the greatest title
+where that day has several.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewmart.functions.text import day_number, month_of
+from viewmart.functions.text import month_of
 
 # Up to this many rows a plain sort with limit sends at most this many rows per
 # partition to the final task. Beyond it, rows under the cut are dropped first.
@@ -29,23 +29,20 @@ def page_sums(facts: DataFrame) -> DataFrame:
     return facts.groupBy("page_id").agg(F.sum("views").alias("total_views"))
 
 
-def latest(date: str = "date", entity: str = "entity") -> Column:
-    """Aggregate: the last ``struct(date, entity)`` that has both."""
-    both = F.col(date).isNotNull() & F.col(entity).isNotNull()
-    return F.max(F.when(both, F.struct(F.col(date), F.col(entity))))
+def latest() -> Column:
+    """Aggregate: the last ``struct(date, entity)`` that has both.
 
+    Kept per task before the shuffle, so a page with many facts and titles leaves each
+    task as one row.
+    """
+    both = F.col("date").isNotNull() & F.col("entity").isNotNull()
+    return F.max(F.when(both, F.struct("date", "entity")))
 
-def page_totals(facts: DataFrame) -> DataFrame:
-    """``page_id, entity, total_views`` for every page, with its latest title.
 
-    Titles are first folded to one row each, in hash tables of fixed-width values, so
-    that the text comparison sorts titles rather than facts. Dates must be ISO days.
-    """
-    titles = facts.groupBy("page_id", "entity").agg(
-        F.sum("views").alias("views"), F.max(day_number(F.col("date"))).alias("day")
-    )
-    return titles.groupBy("page_id").agg(
-        latest("day")["entity"].alias("entity"), F.sum("views").alias("total_views")
+def page_totals(facts: DataFrame) -> DataFrame:
+    """``page_id, entity, total_views`` for every page, with its latest title."""
+    return facts.groupBy("page_id").agg(
+        latest()["entity"].alias("entity"), F.sum("views").alias("total_views")
     )
 
 
@@ -118,9 +115,16 @@ def monthly_views(facts: DataFrame) -> DataFrame:
     return sums.orderBy(F.col("page_id").asc_nulls_last(), F.col("month").asc_nulls_last())
 
 
-def period_views(facts: DataFrame, pages: DataFrame, period: str, *, pages_rows: int | None) -> DataFrame:
+def latest_titles(facts: DataFrame) -> DataFrame:
+    """``page_id, entity``: the latest title of every page."""
+    return facts.groupBy("page_id").agg(latest()["entity"].alias("entity"))
+
+
+def period_views(
+    facts: DataFrame, pages: DataFrame, period: str, of_date: Column, *, pages_rows: int | None
+) -> DataFrame:
     """``<period>, page_id, entity, views`` of the given pages: one row per page and period
-    under the page's latest title, sorted by page and period.
+    (``of_date``) under the page's latest title, sorted by page and period.
 
     Sums and titles come out of one aggregation. The window then sees one row per
     period of a page, so it stays small however many facts a page has.
@@ -129,7 +133,7 @@ def period_views(facts: DataFrame, pages: DataFrame, period: str, *, pages_rows:
     keep_first = pages_rows is not None and pages_rows <= BROADCAST_ROWS
     if keep_first:
         facts = facts.join(F.broadcast(ids), "page_id")
-    per_period = facts.groupBy("page_id", period).agg(
+    per_period = facts.withColumn(period, of_date).groupBy("page_id", period).agg(
         F.sum("views").alias("views"), latest().alias("last")
     )
     if not keep_first:

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewmart.functions.text import month_of
 from viewmart.operators.calendars import needs_build
-from viewmart.operators.rank import hinted, latest, period_views, top_ids, with_month
+from viewmart.operators.rank import hinted, latest_titles, period_views, top_ids
 from viewmart.sources.facts import read_recent
 from viewmart.sources.tables import WriteResult, overwrite, read_table, table_exists
 
@@ -28,7 +29,8 @@ def top_pages_monthly(facts: DataFrame, n: int = TOP_MONTHLY) -> DataFrame:
     The first scan reads ids and views to rank. The second keeps the ranked pages by a
     broadcast join, so only their monthly sums are shuffled.
     """
-    return period_views(with_month(facts), top_ids(facts, n), "month", pages_rows=n)
+    month = month_of(F.col("date"))
+    return period_views(facts, top_ids(facts, n), "month", month, pages_rows=n)
 
 
 def top_pages_daily(
@@ -48,9 +50,9 @@ def top_pages_daily(
     recent = read_recent(facts, last, days)
     pages = top_ids(recent, n)
     if aggregate:
-        return period_views(recent, pages, "date", pages_rows=n)
+        return period_views(recent, pages, "date", F.col("date"), pages_rows=n)
     ranked = recent.join(hinted(pages.select("page_id"), n), "page_id")
-    titles = ranked.groupBy("page_id").agg(latest()["entity"].alias("title"))
+    titles = latest_titles(ranked).withColumnRenamed("entity", "title")
     rows = recent.select("date", "page_id", "views").join(hinted(titles, n), "page_id")
     return rows.select("date", "page_id", F.col("title").alias("entity"), "views").orderBy(
         F.col("page_id").asc_nulls_last(), F.col("date").asc_nulls_last()
