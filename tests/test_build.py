@@ -52,3 +52,14 @@ def test_a_failed_check_stores_nothing(spark, tmp_path):
         vm.build_all(facts_until(spark, 10), root, today="2024-01-11")
     for name in ("top_pages_monthly", "top_pages_daily_recent", STATE):
         assert not vm.table_exists(spark, root, name)
+
+
+def test_a_gap_in_the_window(spark, tmp_path):
+    root = str(tmp_path)
+    facts = facts_until(spark, 10).where("date <> '2024-01-08'")
+    args = dict(today="2024-01-11", top_monthly=3, top_daily=2, window_days=4, min_rows=1)
+    with pytest.raises(ValueError, match="2024-01-08"):
+        vm.build_all(facts, root, complete_window=True, **args)
+    assert not vm.table_exists(spark, root, STATE)
+    done = vm.build_all(facts, root, **args)
+    assert done.missing == ("2024-01-08",) and done.daily.rows == 6

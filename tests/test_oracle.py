@@ -15,6 +15,16 @@ TABLES = (
 ).split()
 
 
+SQL_TYPE = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
@@ -35,6 +45,8 @@ def test_query_equals_sql(spark, db, name):
     assert columns == sorted(expected.columns)
     ours = Counter(tuple(r[c] for c in columns) for r in result.collect())
     order = [expected.columns.index(c) for c in columns]
+    kinds = dict(result.dtypes)
+    assert [SQL_TYPE.get(kinds[c]) for c in columns] == [str(expected.types[i]) for i in order]
     theirs = Counter(tuple(r[i] for i in order) for r in expected.fetchall())
     assert ours == theirs
     assert ours, "the fixture should give rows"

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import viewmart as vm
+from viewmart.functions.storage import scratch_folder
 
 
 def test_asset_round_trips(spark, tmp_path):
@@ -137,3 +138,9 @@ def test_dimension_sync(spark):
     assert tuple(vm.change_counts(current, upstream).first()) == (3, 1, 1)
     first = vm.sync_dimension(current.where("false"), upstream)
     assert {r.status for r in first.collect()} == {"disabled"}
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = (scratch_folder(spark, "x") for _ in range(2))
+    assert first.startswith(f"{shared}/viewmart/x-") and first != second

@@ -25,17 +25,15 @@ def missing_dates(facts: DataFrame, start: str | None = None, end: str | None =
     """Days without facts between ``start`` and ``end``; by default between the first and
     last day of the facts."""
     present = facts.select("date").distinct()
-    bounds = present.agg(
-        F.lit(start).alias("start") if start else F.min("date").alias("start"),
-        F.lit(end).alias("end") if end else F.max("date").alias("end"),
-    )
-    day = F.sequence(F.col("start").cast("date"), F.col("end").cast("date"))
-    wanted = bounds.where(F.col("start") <= F.col("end")).select(F.explode(day).alias("day"))
-    return (
-        wanted.select(F.col("day").cast("string").alias("date"))
-        .join(present, "date", "left_anti")
-        .orderBy("date")
-    )
+    if start and end:
+        wanted = calendar(facts.sparkSession, start, end)
+    else:
+        first = F.lit(start).cast("date") if start else F.min("date").cast("date")
+        last = F.lit(end).cast("date") if end else F.max("date").cast("date")
+        bounds = present.agg(first.alias("first"), last.alias("last")).where(F.col("first") <= F.col("last"))
+        days = bounds.select(F.explode(F.sequence("first", "last")).alias("day"))
+        wanted = days.select(F.col("day").cast("string").alias("date"))
+    return wanted.join(present, "date", "left_anti").orderBy("date")
 
 
 def last_ingested(facts: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewmart.functions.text import month_of
-from viewmart.operators.calendars import needs_build
+from viewmart.operators.calendars import missing_dates, needs_build
 from viewmart.operators.rank import hinted, latest_titles, period_views, top_ids
-from viewmart.sources.facts import read_recent
+from viewmart.sources.facts import read_recent, window_start
 from viewmart.sources.tables import WriteResult, overwrite, read_table, table_exists
 
 # Sizes of the reports and the window, and the least rows they must have.
@@ -61,12 +61,16 @@ def top_pages_daily(
 
 @dataclass(frozen=True)
 class BuildResult:
-    """Outcome of :func:`build_all`; the two writes are None if nothing was built."""
+    """Outcome of :func:`build_all`; the two writes are None if nothing was built.
+
+    ``missing`` lists the days of the window that have no facts.
+    """
 
     reason: str
     last_ingested: str | None
     monthly: WriteResult | None = None
     daily: WriteResult | None = None
+    missing: tuple[str, ...] = ()
 
 
 def build_all(
@@ -81,9 +85,13 @@ def build_all(
     window_days: int = WINDOW_DAYS,
     min_rows: int = MIN_ROWS,
     aggregate: bool = False,
+    complete_window: bool = False,
 ) -> BuildResult:
     """Build, check and store both reports if the facts reach yesterday and are new.
 
+    The gate sees the last day only, so days of the window without facts are reported, and
+    with ``complete_window`` they raise ValueError.
+
     Each report is written, checked on the written files and only then made visible. The
     day it was built from is stored last, so a build that failed runs again.
     """
@@ -95,6 +103,13 @@ def build_all(
     if not gate.build:
         return BuildResult(gate.reason, gate.last_ingested)
 
+    start = window_start(gate.last_ingested, window_days)
+    recent = read_recent(facts, gate.last_ingested, window_days)
+    gaps = missing_dates(recent, start, gate.last_ingested).collect()  # window_days rows at most
+    missing = tuple(r.date for r in gaps)
+    if missing and complete_window:
+        raise ValueError(f"no facts for {len(missing)} days of the window, e.g. {missing[:5]}")
+
     columns = ["page_id", "entity", "views"]
     monthly = overwrite(
         top_pages_monthly(facts, top_monthly),
@@ -112,4 +127,4 @@ def build_all(
     )
     state = spark.range(1).select(F.lit(gate.last_ingested).alias("last_ingested"))
     overwrite(state, root, STATE)
-    return BuildResult(gate.reason, gate.last_ingested, monthly, daily)
+    return BuildResult(gate.reason, gate.last_ingested, monthly, daily, missing)

@@ -178,7 +178,12 @@ def build_all(spark, sf_dir):
     """Both reports built, checked, stored and read back."""
     root = scratch_folder(spark, "build")
     vm.build_all(
-        event_facts(spark, sf_dir), root, today="2024-01-31", top_monthly=100, top_daily=50, min_rows=1
+        event_facts(spark, sf_dir),
+        root,
+        today="2024-01-31",
+        top_monthly=100,
+        top_daily=50,
+        min_rows=1,
     )
     monthly = vm.read_table(spark, root, "top_pages_monthly").withColumnRenamed("month", "period")
     daily = vm.read_table(spark, root, "top_pages_daily_recent").withColumnRenamed("date", "period")
