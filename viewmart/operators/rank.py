@@ -17,8 +17,10 @@ from viewmart.functions.text import month_of
 DIRECT_TOP_ROWS = 1_000
 
 # A ranking is broadcast only if its limit proves it has at most this many rows of one
-# id and one title. A longer one is joined by shuffle, where AQE splits hot pages.
+# id and one title. Beyond it, facts are summed before they meet the ranking, or where
+# they must stay single, every page is spread over this many salts.
 BROADCAST_ROWS = 200_000
+SALTS = 32
 
 # Steps per power of two in the histogram of totals.
 STEPS = 32
@@ -71,9 +73,22 @@ def top_rows(df: DataFrame, n: int, metric: str, tie: str) -> DataFrame:
     return df.where(step >= lowest).orderBy(*order).limit(n)
 
 
-def hinted(ranking: DataFrame, rows: int | None) -> DataFrame:
-    """The ranking marked for broadcast if its row bound is known and small."""
-    return F.broadcast(ranking) if rows is not None and rows <= BROADCAST_ROWS else ranking
+def is_small(rows: int | None) -> bool:
+    """True if a bound on the rows of a ranking is known and allows a broadcast."""
+    return rows is not None and rows <= BROADCAST_ROWS
+
+
+def attach(facts: DataFrame, ranking: DataFrame, rows: int | None) -> DataFrame:
+    """Facts joined with a ranking by ``page_id``; ``rows`` bounds the ranking's rows.
+
+    Without a small bound the facts are shuffled. The ranking is then repeated for every
+    salt and a fact takes the salt of its content, so a hot page is split over as many tasks.
+    """
+    if is_small(rows):
+        return facts.join(F.broadcast(ranking), "page_id")
+    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
+    repeated = ranking.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return facts.withColumn("__salt", salt).join(repeated, ["page_id", "__salt"]).drop("__salt")
 
 
 def top_ids(facts: DataFrame, n: int) -> DataFrame:
@@ -86,9 +101,12 @@ def top_pages(facts: DataFrame, n: int) -> DataFrame:
 
     Ranks on ids alone, then looks up titles for the ranked pages only.
     """
-    ranked = top_ids(facts, n).withColumnRenamed("page_id", "ranked_id")
-    found = facts.join(hinted(ranked, n), F.col("page_id").eqNullSafe(F.col("ranked_id")))
-    titled = found.groupBy("page_id", "total_views").agg(latest()["entity"].alias("entity"))
+    if is_small(n):
+        ranked = F.broadcast(top_ids(facts, n).withColumnRenamed("page_id", "ranked_id"))
+        found = facts.join(ranked, F.col("page_id").eqNullSafe(F.col("ranked_id")))
+        titled = found.groupBy("page_id", "total_views").agg(latest()["entity"].alias("entity"))
+    else:
+        titled = top_rows(page_totals(facts), n, "total_views", "page_id")
     return titled.select("page_id", "entity", "total_views").orderBy(
         F.col("total_views").desc_nulls_last(), F.col("page_id").asc_nulls_last()
     )
@@ -100,7 +118,7 @@ def restrict_to_top(facts: DataFrame, top: DataFrame, *, top_rows: int | None =
     ``top_rows`` is the bound on the rows of ``top``, if there is one.
     """
     titles = top.select("page_id", F.col("entity").alias("title"))
-    return facts.join(hinted(titles, top_rows), "page_id").select(
+    return attach(facts, titles, top_rows).select(
         "date", "page_id", F.col("title").alias("entity"), "views"
     )
 
@@ -115,9 +133,13 @@ def monthly_views(facts: DataFrame) -> DataFrame:
     return sums.orderBy(F.col("page_id").asc_nulls_last(), F.col("month").asc_nulls_last())
 
 
-def latest_titles(facts: DataFrame) -> DataFrame:
-    """``page_id, entity``: the latest title of every page."""
-    return facts.groupBy("page_id").agg(latest()["entity"].alias("entity"))
+def ranked_titles(facts: DataFrame, pages: DataFrame, pages_rows: int | None) -> DataFrame:
+    """``page_id, entity``: the latest title of each of the given pages."""
+    ids = pages.select("page_id")
+    if is_small(pages_rows):
+        facts = facts.join(F.broadcast(ids), "page_id")
+    titles = facts.groupBy("page_id").agg(latest()["entity"].alias("entity"))
+    return titles if is_small(pages_rows) else titles.join(ids, "page_id")
 
 
 def period_views(
@@ -130,13 +152,12 @@ def period_views(
     period of a page, so it stays small however many facts a page has.
     """
     ids = pages.select("page_id")
-    keep_first = pages_rows is not None and pages_rows <= BROADCAST_ROWS
-    if keep_first:
+    if is_small(pages_rows):
         facts = facts.join(F.broadcast(ids), "page_id")
     per_period = facts.withColumn(period, of_date).groupBy("page_id", period).agg(
         F.sum("views").alias("views"), latest().alias("last")
     )
-    if not keep_first:
+    if not is_small(pages_rows):
         # Sums per task go into this shuffle instead of facts, so no page is a hot key in it.
         per_period = per_period.join(ids, "page_id")
     last_title = F.max("last").over(Window.partitionBy("page_id"))["entity"]

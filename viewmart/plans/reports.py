@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from viewmart.functions.text import month_of
 from viewmart.operators.calendars import missing_dates, needs_build
-from viewmart.operators.rank import hinted, latest_titles, period_views, top_ids
+from viewmart.operators.rank import attach, period_views, ranked_titles, top_ids
 from viewmart.sources.facts import read_recent, window_start
 from viewmart.sources.tables import WriteResult, overwrite, read_table, table_exists
 
@@ -51,11 +51,11 @@ def top_pages_daily(
     pages = top_ids(recent, n)
     if aggregate:
         return period_views(recent, pages, "date", F.col("date"), pages_rows=n)
-    ranked = recent.join(hinted(pages.select("page_id"), n), "page_id")
-    titles = latest_titles(ranked).withColumnRenamed("entity", "title")
-    rows = recent.select("date", "page_id", "views").join(hinted(titles, n), "page_id")
-    return rows.select("date", "page_id", F.col("title").alias("entity"), "views").orderBy(
-        F.col("page_id").asc_nulls_last(), F.col("date").asc_nulls_last()
+    titles = ranked_titles(recent, pages, n)
+    rows = attach(recent.select("date", "page_id", "views"), titles, n)
+    # Views as a last key let the sort split a page that has very many facts on one day.
+    return rows.select("date", "page_id", "entity", "views").orderBy(
+        F.col("page_id").asc_nulls_last(), F.col("date").asc_nulls_last(), "views"
     )
 
 
