@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from viewmart.queries import QUERIES, SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -34,13 +35,13 @@ def db():
 
 
 def test_every_query_has_sql_or_is_known_to_have_none():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"content_fingerprint"}
+    assert set(QUERIES) - set(SQL) == {"content_fingerprint"}
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, db, name):
-    result = driver.queries()[name](spark, SF_DIR)
-    expected = db.sql(driver.oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = db.sql(SQL[name])
     columns = sorted(result.columns)
     assert columns == sorted(expected.columns)
     ours = Counter(tuple(r[c] for c in columns) for r in result.collect())
@@ -53,7 +54,7 @@ def test_query_equals_sql(spark, db, name):
 
 
 def test_content_fingerprint(spark):
-    row = driver.queries()["content_fingerprint"](spark, SF_DIR).first()
+    row = QUERIES["content_fingerprint"](spark, SF_DIR).first()
     assert len(row.tag) == 16 and int(row.content_hash)
 
 
