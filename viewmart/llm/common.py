@@ -29,3 +29,38 @@ def materialised(frame: DataFrame, label: str) -> DataFrame:
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for a text without words, null for null."""
     return F.array_remove(F.split(text, SPACES), "")
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """node, component of every end of ``edges`` (a, b): the least node that edges lead to.
+
+    Each round takes the least label of the neighbours and then the label of the label, so labels travel twice
+    as far each time. Labels are written to the scratch folder after each round.
+    """
+    both = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(
+        edges.select(F.col("b").alias("node"), F.col("a").alias("near"))
+    )
+    both = materialised(both.distinct(), "edges")
+    labels = both.groupBy("node").agg(F.min("near").alias("near")).select(
+        "node", F.least("node", "near").alias("component")
+    )
+    labels = materialised(labels, "labels")
+    while True:
+        near = (
+            both.join(labels.withColumnRenamed("node", "near"), "near")
+            .groupBy("node")
+            .agg(F.min("component").alias("offered"))
+        )
+        best = labels.join(near, "node").select(
+            "node", "component", F.least("component", "offered").alias("best")
+        )
+        further = labels.select(F.col("node").alias("best"), F.col("component").alias("onward"))
+        moved = materialised(
+            best.join(further, "best", "left").select(
+                "node", F.least("best", "onward").alias("component"), F.col("component").alias("before")
+            ),
+            "labels",
+        )
+        labels = moved.select("node", "component")
+        if moved.where("component != before").isEmpty():
+            return labels
