@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewmart.llm import quality_lines
+from viewmart.llm import chat_grammar, level_packing, line_runs, quality_lines, secret_owners
 from viewmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,154 @@ def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         "removed_words",
     )
+
+
+# --- 10: line dedup ------------------------------------------------------------------------
+
+LINE_RUNS_SQL = r"""
+with d as (
+  select doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)),
+    lambda x, i: {'line': i - 1, 'x': x,
+      'n': len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))}), lambda s: s.n > 0) as lines
+  from documents),
+a as (select doc_id, lines, unnest(range(1, len(lines) + 1)) as a from d),
+ab as (select doc_id, lines, a, unnest(range(a, len(lines) + 1)) as b from a),
+runs as (
+  select doc_id, a, b,
+    md5(array_to_string(list_transform(lines[a:b], lambda s: s.x), chr(10))) as content
+  from ab where list_sum(list_transform(lines[a:b], lambda s: s.n)) >= 50),
+later as (select doc_id, a, b from runs
+  qualify row_number() over (partition by content order by doc_id, a) > 1),
+places as (select distinct doc_id, unnest(range(a, b + 1)) as p from later),
+gone as (select doc_id, count(*) as n, string_agg(lines[p].line, ',' order by p) as numbers
+  from places join d using (doc_id) group by doc_id)
+select d.doc_id, len(lines)::bigint as n_lines, coalesce(n, 0)::bigint as n_deleted,
+  coalesce(numbers, '') as deleted_lines
+from d left join gone using (doc_id)
+"""
+
+
+@query(LINE_RUNS_SQL)
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that are later copies of a run of 50 words or more."""
+    docs = table(spark, sf_dir, "documents")
+    copies = line_runs.later_copies(docs).select(
+        F.col("doc_id").alias("c_doc_id"), "text_key", "lines"
+    )
+    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    every = docs.select(
+        "doc_id",
+        F.xxhash64("text").alias("key"),
+        F.size(lines).cast("bigint").alias("n_lines"),
+    )
+    return every.join(
+        copies,
+        F.col("doc_id").eqNullSafe(F.col("c_doc_id")) & (F.col("key") == F.col("text_key")),
+        "left",
+    ).select(
+        "doc_id",
+        "n_lines",
+        F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_deleted"),
+        F.coalesce(F.array_join("lines", ","), F.lit("")).alias("deleted_lines"),
+    )
+
+
+# --- 6: secret scans -----------------------------------------------------------------------
+
+SECRETS_SQL = r"""
+with d as (select row_number() over () as r, doc_id, coalesce(source, '') as owner,
+    [source, lang]::varchar as repository, coalesce(text, '') as body from documents),
+k(kind, name, pattern, grp, least) as (values
+  (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  (1, 'access', 'AKIA[A-Z0-9]+', 0, 20), (2, 'hex', '[0-9a-f]+', 0, 24),
+  (3, 'token', '[A-Za-z0-9_-]+', 0, 20)),
+raw as (
+  select r, owner, repository, 0 as kind, string_split_regex(body, p0) as gaps,
+    regexp_extract_all(body, p0, 0) as hits, regexp_extract_all(body, p0, 2) as vals
+  from d, (select pattern as p0 from k where kind = 0)
+  union all select r, owner, repository, 1, string_split_regex(body, 'AKIA[A-Z0-9]+'),
+    regexp_extract_all(body, 'AKIA[A-Z0-9]+', 0), regexp_extract_all(body, 'AKIA[A-Z0-9]+', 0) from d
+  union all select r, owner, repository, 2, string_split_regex(body, '[0-9a-f]+'),
+    regexp_extract_all(body, '[0-9a-f]+', 0), regexp_extract_all(body, '[0-9a-f]+', 0) from d
+  union all select r, owner, repository, 3, string_split_regex(body, '[A-Za-z0-9_-]{20,}'),
+    regexp_extract_all(body, '[A-Za-z0-9_-]{20,}', 0),
+    regexp_extract_all(body, '[A-Za-z0-9_-]{20,}', 0) from d),
+one as (select r, owner, repository, kind, unnest(range(1, len(hits) + 1)) as i,
+    unnest(gaps[1:len(hits)]) as gap, unnest(hits) as hit, unnest(vals) as val from raw),
+placed as (select *, (sum(length(gap) + length(hit)) over (partition by r, kind order by i))::bigint as e,
+    regexp_matches(val, '[0-9]') and regexp_matches(val, '[A-Za-z]')
+      and len(list_distinct(string_split(val, ''))) >= 8 as random from one),
+cand as (select *, e - length(hit) as s from placed join k using (kind)
+  where length(val) >= least and (kind < 3 or random)),
+spread as (select val, count(distinct owner) as owners, count(distinct repository) as repos
+  from cand group by val),
+judged as (select *, case when owners > 2 or repos > 3 then 'example' when random then 'live'
+  else 'weak' end as verdict from cand join spread using (val)),
+good as (select * from judged j where kind < 3 or (verdict = 'live' and not exists (
+  select 1 from judged b where b.r = j.r and b.kind < 3 and b.s < j.e and b.e > j.s))),
+per as (select r, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access,
+  count(*) filter (kind = 2) as n_hex, count(*) filter (verdict = 'live') as n_live,
+  count(*) filter (verdict = 'example') as n_example,
+  string_agg(name || ':' || s || ':' || e, ',' order by s, kind) filter (kind < 3) as base,
+  string_agg(name || ':' || s || ':' || e, ',' order by s, kind) as spans from good group by r)
+select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access,
+  coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(base, '')) as base_sha256,
+  coalesce(spans, '') as spans, coalesce(n_live, 0)::bigint as n_live,
+  coalesce(n_example, 0)::bigint as n_example
+from d left join per using (r)
+"""
+
+
+@query(SECRETS_SQL)
+def op6_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with the verdict of ownership over the corpus."""
+    found = secret_owners.reported(table(spark, sf_dir, "documents"))
+
+    def count(field: str, value: object) -> Column:
+        return F.size(F.filter("found", lambda s: s[field] == value)).cast("bigint")
+
+    base = F.filter("found", lambda s: s["kind"] < secret_owners.BASE)
+    return found.select(
+        "doc_id",
+        *[
+            count("kind", k).alias(f"n_{name}")
+            for k, name in enumerate(["assign", "access", "hex"])
+        ],
+        F.sha2(secret_owners.named(base), 256).alias("base_sha256"),
+        secret_owners.named(F.col("found")).alias("spans"),
+        count("verdict", "live").alias("n_live"),
+        count("verdict", "example").alias("n_example"),
+    )
+
+
+# --- 4: chat formatting --------------------------------------------------------------------
+
+CONFLICT = r"\### Assistant: </turn> ok"
+
+
+@query()
+def op4_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every conversation as read back from its rendering, with conversation -7."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONFLICT).alias("text"),
+    )
+    return chat_grammar.digests(chat_grammar.formatted(rows.unionByName(extra)))
+
+
+# --- 9: packing ----------------------------------------------------------------------------
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op9_level_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return level_packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
