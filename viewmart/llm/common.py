@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The byte-level BPE file that queries and pipeline use; operators take a path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def materialised(frame: DataFrame, label: str) -> DataFrame:
     """The frame written under the shared scratch folder and read again: lineage ends here.
 

@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewmart.llm import chat_grammar, level_packing, line_runs, quality_lines, secret_owners
-from viewmart.llm.common import table
+import corpus_pipeline
+from viewmart.llm import (
+    chat_grammar,
+    deleted_interpolation,
+    dom_trees,
+    fragment_join,
+    level_packing,
+    line_runs,
+    quality_lines,
+    secret_owners,
+    url_rules,
+    wand_decontamination,
+)
+from viewmart.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +98,49 @@ def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 2: url filters ------------------------------------------------------------------------
+
+
+URL_SQL = r"""
+with u as (select page_id, url,
+    coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages),
+r(h, p, verdict) as (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fit as (select u.*, h || p as rule, verdict, row_number() over (
+    partition by page_id, url order by length(h || p) desc nulls last) as best
+  from u left join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, p))
+select page_id, host, path, rule from fit where best = 1
+"""
+
+
+@query(URL_SQL)
+def url_listed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and listed rule of every page; the part of query 2 that SQL can express."""
+    none = spark.createDataFrame([], "key string, tokens array<string>, confidence double, support double")
+    judged = url_rules.judged(table(spark, sf_dir, "pages"), none)
+    return judged.select("page_id", "host", "path", "rule")
+
+
+@query()
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url by listed and mined rules."""
+    pages = table(spark, sf_dir, "pages")
+    rules = url_rules.mined_rules(pages, table(spark, sf_dir, "labels"))
+    return url_rules.judged(pages, rules).drop("url")
+
+
+# --- 3: html extraction --------------------------------------------------------------------
+
+
+@query()
+def op3_dom_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return dom_trees.extracted(pages, dom_trees.fitted(pages))
+
+
 # --- 10: line dedup ------------------------------------------------------------------------
 
 LINE_RUNS_SQL = r"""
@@ -225,13 +280,45 @@ def op4_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 9: packing ----------------------------------------------------------------------------
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
-
-
 @query()
 def op9_level_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return level_packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+# --- 5: n-gram Jaccard join ----------------------------------------------------------------
+
+
+@query()
+def op5_fragment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similarity 0.85 of 4-word sets."""
+    return fragment_join.joined(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+# --- 7: benchmark decontamination ----------------------------------------------------------
+
+
+@query()
+def op7_wand_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, with the shares of question and answer found."""
+    return wand_decontamination.leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+# --- 8: language-model scoring -------------------------------------------------------------
+
+
+@query()
+def op8_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under the base estimate and the mixed model."""
+    return deleted_interpolation.scored(table(spark, sf_dir, "documents"))
+
+
+# --- the pipeline --------------------------------------------------------------------------
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed pieces of all documents that the stages of the pipeline keep."""
+    return corpus_pipeline.run(spark, sf_dir)

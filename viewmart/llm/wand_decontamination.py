@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: BM25 saturation and length correction.
 K1, B = 1.2, 0.75
@@ -258,6 +259,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     schema = HITS.format(doc=doc.simpleString(), item=item.simpleString())
     names = [part.split()[0] for part in HITS.split(", ")]
     spark = docs.sparkSession
+    item_kind = to_arrow_type(item)
     out = spark.createDataFrame([], schema)
     for index in shards(benchmark):
         shared = spark.sparkContext.broadcast(index)
@@ -271,7 +273,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
                     for first, texts in _portions(batch)
                     for hit in hits(index, texts, threshold)
                 ]
-                kinds = [ids.type, None, pa.float64(), pa.float64(), pa.float64()]
+                kinds = [ids.type, item_kind, pa.float64(), pa.float64(), pa.float64()]
                 columns = [pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)]
                 if found:
                     yield pa.RecordBatch.from_arrays(columns, names)
