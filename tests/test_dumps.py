@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import viewmart as vm
+from viewmart.sources.facts import read_origins
 from viewmart.functions.text import (
     CONTROL_BLANKS,
     WIDE_BLANKS,
@@ -75,7 +76,7 @@ def test_split_like_python(spark, values):
 
 
 def test_facts_like_python(spark):
-    facts = vm.dump_facts(as_lines(spark, LINES), "aa.site")
+    facts = vm.dump_facts(as_lines(spark, LINES), "aa.site", strict=False)
     got = sorted((r.entity, r.page_id, r.views) for r in facts.collect())
     assert got == python_parse(LINES, "aa.site")
     assert ("Grouped", "19", 1000) in got and ("Signed", "20", 5) in got
@@ -93,7 +94,7 @@ def test_count_like_int(spark, text):
 
 def test_count_beyond_bigint_is_rejected(spark):
     lines = as_lines(spark, ["aa.site P 1 d 9223372036854775808 x"])
-    assert vm.dump_facts(lines, "aa.site").isEmpty()
+    assert vm.dump_facts(lines, "aa.site", strict=False).isEmpty()
     assert [r.reason for r in vm.parse_rejects(lines, "aa.site").collect()] == ["count"]
 
 
@@ -110,9 +111,9 @@ def test_rejects(spark):
 
 def test_strict_fails_on_a_bad_count_of_the_project_only(spark):
     fine = as_lines(spark, ["aa.site P 1 d 4 x", "bb.site P 1 d x4 x"])
-    assert vm.dump_facts(fine, "aa.site", strict=True).count() == 1
+    assert vm.dump_facts(fine, "aa.site").count() == 1
     with pytest.raises(Exception, match="not an integer"):
-        vm.dump_facts(as_lines(spark, ["aa.site P 1 d x4 x"]), "aa.site", strict=True).collect()
+        vm.dump_facts(as_lines(spark, ["aa.site P 1 d x4 x"]), "aa.site").collect()
 
 
 def test_broken_utf8(spark):
@@ -121,10 +122,10 @@ def test_broken_utf8(spark):
         F.when(F.contains("value", F.lit("Q")), F.concat(F.col("value").cast("binary"), F.unhex(F.lit("FF"))).cast("string"))
         .otherwise(F.col("value")),
     )
-    assert [r.page_id for r in vm.dump_facts(lines, "aa.site").collect()] == ["1"]
+    assert [r.page_id for r in vm.dump_facts(lines, "aa.site", strict=False).collect()] == ["1"]
     assert [r.reason for r in vm.parse_rejects(lines, "aa.site").collect()] == ["encoding"]
     with pytest.raises(Exception, match="UTF-8"):
-        vm.dump_facts(lines, "aa.site", strict=True).collect()
+        vm.dump_facts(lines, "aa.site").collect()
 
 
 def test_day_text(spark):
@@ -194,6 +195,35 @@ def test_a_day_in_several_files_keeps_them_all(spark, tmp_path):
     assert [r[1] for r in stored(spark, facts)] == ["Pa", "Pb"]
 
 
+def test_files_of_one_name_in_several_folders(spark, tmp_path):
+    dump = tmp_path / "dump"
+    for part in ("a", "b c"):
+        (dump / part).mkdir(parents=True)
+        text = f"aa.site P{part[0]} 1 d 3 x".encode()
+        (dump / part / "pageviews-20240101-user.bz2").write_bytes(bz2.compress(text))
+    vm.ingest(spark, str(dump), str(tmp_path / "batch"), "aa.site")
+    assert vm.ingest_stream(
+        spark, str(dump), str(tmp_path / "stream"), str(tmp_path / "c"), "aa.site", files_per_batch=1
+    ) == 2
+    assert [r[1] for r in stored(spark, tmp_path / "stream")] == ["Pa", "Pb"]
+    assert stored(spark, tmp_path / "batch") == stored(spark, tmp_path / "stream")
+    origins = {tuple(r) for r in read_origins(spark, str(tmp_path / "stream")).collect()}
+    assert origins == {("2024-01-01", f"{p}/pageviews-20240101-user.bz2") for p in ("a", "b c")}
+
+
+def test_bad_lines_fail_unless_they_are_kept(spark, tmp_path):
+    dump = tmp_path / "dump"
+    write_dump(dump, "20240101", LINES)
+    with pytest.raises(Exception, match="not an integer"):
+        vm.ingest(spark, str(dump), str(tmp_path / "f1"), "aa.site")
+    with pytest.raises(Exception, match="not an integer"):
+        vm.ingest_stream(spark, str(dump), str(tmp_path / "f2"), str(tmp_path / "c"), "aa.site")
+    vm.ingest(spark, str(dump), str(tmp_path / "f3"), "aa.site", rejects_path=str(tmp_path / "bad"))
+    assert sorted((e, p, v) for _, e, p, v in stored(spark, tmp_path / "f3")) == python_parse(LINES, "aa.site")
+    kept = spark.read.parquet(str(tmp_path / "bad")).groupBy("reason").count().collect()
+    assert {r.reason: r["count"] for r in kept} == {"fields": 3, "count": 1}
+
+
 def test_a_day_without_facts_is_an_error(spark, tmp_path):
     dump = tmp_path / "dump"
     write_dump(dump, "20240101", ["bb.site P 1 d 3 x"])

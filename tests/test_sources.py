@@ -52,8 +52,13 @@ def test_binary_and_errors(spark, tmp_path):
         vm.read_asset(spark, str(tmp_path), "none", "json")
     with pytest.raises(ValueError):
         vm.read_asset(spark, str(tmp_path), "blob", "xml")
+    path = vm.write_asset(got, str(tmp_path), "x", "binary")
+    assert (tmp_path / "x.bin").read_bytes() == b"\x00\xff" and path.endswith("x.bin")
+    for rows in ([], [(b"1",), (b"2",)], [(None,)]):
+        with pytest.raises(ValueError):
+            vm.write_asset(spark.createDataFrame(rows, "content binary"), str(tmp_path), "y", "binary")
     with pytest.raises(ValueError):
-        vm.write_asset(got, str(tmp_path), "x", "binary")
+        vm.write_asset(got, str(tmp_path), "x", "xml")
 
 
 def test_list_and_freshness(spark, tmp_path):

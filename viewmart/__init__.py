@@ -46,10 +46,17 @@ from viewmart.sources.dumps import (
     read_dump,
     to_facts,
 )
-from viewmart.sources.facts import read_daily_files, read_facts, read_recent, write_facts
+from viewmart.sources.facts import (
+    read_daily_files,
+    read_days,
+    read_facts,
+    read_recent,
+    write_facts,
+)
 from viewmart.sources.tables import (
     WriteResult,
     append,
+    drop_versions,
     merge,
     overwrite,
     read_table,

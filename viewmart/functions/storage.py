@@ -6,8 +6,11 @@ is always read and written by Spark.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -45,6 +48,28 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """True if a path matches the glob; the matches stay in the JVM."""
+    fs, p = _open(spark, pattern)
+    return bool(fs.globStatus(p))
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a folder, without scheme and host; names with ``_`` or ``.`` in front are none."""
+    fs, p = _open(spark, path)
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        if file.getName()[0] not in "_.":
+            found.append(file.toUri().getPath())
+    return sorted(found)
+
+
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """Path of an encoded URI, such as Spark's ``_metadata.file_path``, without scheme and host."""
+    return spark._jvm.java.net.URI(uri).getPath()
+
+
 def list_directories(spark: SparkSession, path: str) -> list[str]:
     """Sorted names of the folders right under ``path``; empty if it is absent."""
     fs, p = _open(spark, path)
@@ -67,17 +92,32 @@ def read_note(spark: SparkSession, path: str) -> str | None:
 
 def write_note(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file under a temporary name, then rename it into place."""
+    write_bytes(spark, path, text.encode("utf-8"))
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a file under a temporary name, then rename it into place; replaces an old one."""
     fs, p = _open(spark, path)
     draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
     stream = fs.create(draft, True)
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        stream.write(bytearray(content))
     finally:
         stream.close()
+    if fs.exists(p):
+        fs.delete(p, True)
     if not fs.rename(draft, p):
         raise OSError(f"could not write {path}")
 
 
+@cache
+def _own_folder(application: str) -> str:
+    """A folder of this machine for one session without a shared one; removed at exit."""
+    path = tempfile.mkdtemp(prefix="viewmart-")
+    atexit.register(shutil.rmtree, path, True)
+    return Path(path).as_uri()
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name that every executor can reach.
 
@@ -88,5 +128,5 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = Path(tempfile.mkdtemp(prefix="viewmart-")).as_uri()
+        shared = _own_folder(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/viewmart/{label}-{uuid.uuid4().hex}"

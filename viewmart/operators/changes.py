@@ -5,11 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewmart.operators.profile import key_counts
+from viewmart.operators.profile import key_counts, quoted
 
 HIT = "__hit"
 
@@ -42,39 +42,78 @@ def key_problems(source: DataFrame, key: str | list[str]) -> DataFrame:
 
 
 def check_keys(source: DataFrame, key: str | list[str], name: str = "source") -> int:
-    """Raise ValueError if ``key`` cannot serve as a merge key; returns the rows of ``source``.
+    """Rows of ``source``; raises ValueError with all of :func:`key_problems` at once if there are any.
 
     An empty source is fine, whatever its columns.
     """
     keys = as_list(key)
-    for k in keys:
-        if k not in source.columns:
-            if source.isEmpty():
-                return 0
-            raise ValueError(f"[{name}] key column '{k}' not found. Columns: {source.columns}")
-    counts = key_counts(source, keys).first()
-    for k, nulls in counts.nulls.items():
-        if nulls:
-            raise ValueError(f"[{name}] key column '{k}' has {nulls} nulls")
-    if counts.duplicates:
-        raise ValueError(f"[{name}] key {keys} has {counts.duplicates} duplicate values; it must be unique")
-    return counts.rows
+    if not set(keys) <= set(source.columns):
+        rows = 0 if source.isEmpty() else None
+        counts = {}
+        lines = [("missing", k, None) for k in keys if k not in source.columns] if rows is None else []
+    else:
+        counts = key_counts(source, keys).first()
+        rows = counts.rows
+        lines = [("null", k, n) for k, n in counts.nulls.items() if n]
+        lines += [("duplicate", ", ".join(keys), counts.duplicates)] if counts.duplicates else []
+    if lines:
+        found = "; ".join(f"{problem} {k}" + (f" ({n} rows)" if n else "") for problem, k, n in lines)
+        raise ValueError(f"{name} can't be merged by {', '.join(keys)}: {found}")
+    return rows
+
+
+def _widens(old: T.DataType, new: T.DataType) -> bool:
+    """True for numbers whose every value the other type holds."""
+    # Digits that hold every value of an integer type.
+    digits = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+    a, b = old.simpleString(), new.simpleString()
+    if a in digits and b in digits:
+        return digits[a] <= digits[b]
+    if isinstance(new, T.DecimalType):
+        whole = new.precision - new.scale
+        if a in digits:
+            return digits[a] <= whole
+        return isinstance(old, T.DecimalType) and old.precision - old.scale <= whole and old.scale <= new.scale
+    return (a, b) in {("float", "double"), ("int", "double"), ("smallint", "double"), ("tinyint", "double"),
+                      ("void", b)}
 
 
 def conform(source: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``source`` that ``schema`` names, cast to the types it gives them."""
+    """Columns of ``source`` that ``schema`` names, in the types it gives them.
+
+    A value that does not come back when it is cast back, such as 1.9 or ``' 1'`` for a BIGINT, fails
+    the job in any ANSI mode. Types that only become wider are cast as they are.
+    """
     types = {f.name: f.dataType for f in schema}
-    return source.select(
-        [F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in source.columns]
-    )
+    given = {f.name: f.dataType for f in source.schema}
+
+    def column(name: str) -> Column:
+        value = F.col(quoted(name))
+        if name not in types or types[name] == given[name]:
+            return value
+        old, new = given[name], types[name]
+        if _widens(old, new):
+            return value.cast(new).alias(name)
+        as_new = value.try_cast(new.simpleString())
+        same = as_new.try_cast(old.simpleString()).eqNullSafe(value)
+        problem = F.concat(
+            F.lit(f"{name}: {old.simpleString()} does not fit {new.simpleString()}: "),
+            F.coalesce(value.cast("string"), F.lit("")),
+        )
+        return F.when(same, as_new).otherwise(F.raise_error(problem).cast(new)).alias(name)
+
+    return source.select([column(c) for c in source.columns])
 
 
 def clashing_updates(target: DataFrame, source: DataFrame, key: str | list[str]) -> DataFrame:
     """Keys that occur several times in ``source`` and also in ``target``: which source row
     should win is undefined."""
     keys = as_list(key)
-    several = source.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
-    return several.join(target.select(*keys).distinct(), keys, "left_semi")
+    names = [quoted(k) for k in keys]
+    several = source.groupBy(*names).agg(F.count("*").alias("__rows")).where(F.col("__rows") > 1)
+    known = target.select(*[F.col(n).alias(f"__k{i}") for i, n in enumerate(names)]).distinct()
+    same = reduce(and_, [F.col(n) == F.col(f"__k{i}") for i, n in enumerate(names)])
+    return several.join(known, same, "left_semi")
 
 
 def merge_rows(target: DataFrame, source: DataFrame, key: str | list[str]) -> DataFrame:
@@ -92,24 +131,27 @@ def merge_rows(target: DataFrame, source: DataFrame, key: str | list[str]) -> Da
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
-    source = conform(source, target.schema)
+    kept, added = merged_parts(target, conform(source, target.schema), keys)
+    return kept.unionByName(added, allowMissingColumns=True)
 
-    updates = source.select(
-        *[F.col(c).alias(f"__new_{c}") for c in source.columns], F.lit(True).alias(HIT)
-    )
-    same_key = reduce(and_, [F.col(k) == F.col(f"__new_{k}") for k in keys])
+
+def merged_parts(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Target rows with their updates, and source rows without a target row; types are equal already."""
+    fresh = {c: f"__new_{i}" for i, c in enumerate(source.columns)}
+    updates = source.select(*[F.col(quoted(c)).alias(n) for c, n in fresh.items()], F.lit(True).alias(HIT))
+    same_key = reduce(and_, [F.col(quoted(k)) == F.col(fresh[k]) for k in keys])
     joined = target.join(updates, same_key, "left")
     kept = joined.select(
         [
-            F.when(F.col(HIT), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
-            if c in source.columns
-            else F.col(c)
+            F.when(F.col(HIT), F.col(fresh[c])).otherwise(F.col(quoted(c))).alias(c)
+            if c in fresh
+            else F.col(quoted(c))
             for c in target.columns
         ]
     )
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    added = source.join(known, keys, "left_anti")
-    return kept.unionByName(added, allowMissingColumns=True)
+    known = target.select(*[F.col(quoted(k)).alias(f"__k{i}") for i, k in enumerate(keys)])
+    in_target = reduce(and_, [F.col(quoted(k)) == F.col(f"__k{i}") for i, k in enumerate(keys)])
+    return kept, source.join(known, in_target, "left_anti")
 
 
 def append_rows(target: DataFrame, source: DataFrame) -> DataFrame:

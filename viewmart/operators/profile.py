@@ -24,6 +24,11 @@ WIDTH = {
 }
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it whole, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """One row: ``rows``. On parquet this reads no column."""
     return df.agg(F.count("*").alias("rows"))
@@ -38,7 +43,7 @@ def unpivot_row(row: DataFrame, items: list[tuple[str, Column]], name: str, valu
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``column, nulls`` for the given columns (all by default), in one pass."""
     columns = df.columns if columns is None else list(columns)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)])
+    counts = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(f"c{i}") for i, c in enumerate(columns)])
     items = [(c, F.col(f"c{i}")) for i, c in enumerate(columns)]
     return unpivot_row(counts, items, "column", "nulls")
 
@@ -52,8 +57,8 @@ def key_counts(df: DataFrame, key: str | list[str]) -> DataFrame:
     """
     keys = [key] if isinstance(key, str) else list(key)
     copies, zero = F.col("__copies"), F.lit(0)
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("__copies"))
-    nulls = [F.coalesce(F.sum(F.when(F.col(k).isNull(), copies)), zero) for k in keys]
+    per_key = df.groupBy(*[quoted(k) for k in keys]).agg(F.count("*").alias("__copies"))
+    nulls = [F.coalesce(F.sum(F.when(F.col(quoted(k)).isNull(), copies)), zero) for k in keys]
     pairs = [F.struct(F.lit(k).alias("key"), n.alias("nulls")) for k, n in zip(keys, nulls)]
     return per_key.agg(
         F.coalesce(F.sum(copies), zero).alias("rows"),
@@ -98,7 +103,7 @@ def profile(df: DataFrame) -> DataFrame:
     """
     aggregates = [F.count("*").alias("rows")]
     for i, field in enumerate(df.schema):
-        column = F.col(f"`{field.name}`")
+        column = F.col(quoted(field.name))
         aggregates.append(F.count_if(column.isNull()).alias(f"n{i}"))
         size = F.sum(_size(column, field.dataType))
         aggregates.append(F.coalesce(size, F.lit(0)).alias(f"b{i}"))
@@ -123,14 +128,38 @@ def tag(rows: Column, schema: T.StructType) -> Column:
     return F.substring(F.md5(F.concat(rows.cast("string"), F.lit(schema.simpleString()))), 1, 16)
 
 
+def _canonical(column: Column, kind: T.DataType) -> Column:
+    """Value as text; maps as their entries in the order of keys, nested values as JSON."""
+    if isinstance(kind, T.MapType):
+        return F.to_json(F.array_sort(F.map_entries(column)))
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.to_json(column)
+    return column.cast("string")
+
+
+def row_text(schema: T.StructType) -> Column:
+    """The row as one text: of each value its length, a colon and the value, or ``-`` for NULL.
+
+    Rows differ in it wherever they differ, also where a NULL or a separator moves.
+    """
+    parts = []
+    for field in schema:
+        text = _canonical(F.col(quoted(field.name)), field.dataType)
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts) if parts else F.lit("")
+
+
 def fingerprint(df: DataFrame, *, content: bool = False) -> DataFrame:
     """One row: ``tag`` of row count and schema, a cheap sign of change.
 
     It cannot see edits that keep the row count. ``content`` adds ``content_hash``, the
-    sum of all row hashes, which does not depend on row order.
+    sum over all rows of the first 60 bits of the md5 of :func:`row_text`; it does not depend on row order.
     """
     columns = [tag(F.count("*"), df.schema).alias("tag")]
     if content:
-        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+        digits = F.conv(F.substring(F.md5(row_text(df.schema)), 1, 15), 16, 10)
+        row_hash = digits.cast("decimal(38,0)")
         columns.append(F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("content_hash"))
     return df.agg(*columns)

@@ -2,7 +2,8 @@
 
 A check names a column and a predicate for a bad value; NULL is never bad. Patterns follow
 Python's ``re.match``: anchored at the start, ``\\d`` and ``\\s`` know Unicode, ``$`` also fits
-before a final newline.
+before a final newline. Lengths and patterns of values that are no text see Spark's text of them (a large
+DOUBLE as ``1.2345678E7``); give a column of text to have it otherwise.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewmart.operators.profile import duplicate_keys, key_counts
+from viewmart.operators.profile import duplicate_keys, key_counts, quoted
 
 # The accepted shapes of dates kept as text.
 YEAR = r"^\d{4}$"
@@ -37,11 +38,11 @@ class Check:
 
 
 def _fits(column: str, pattern: str) -> Column:
-    return F.col(column).cast("string").rlike(f"(?dU)^(?:{pattern})")
+    return F.col(quoted(column)).cast("string").rlike(f"(?dU)^(?:{pattern})")
 
 
 def _length(column: str) -> Column:
-    return F.length(F.col(column).cast("string"))
+    return F.length(F.col(quoted(column)).cast("string"))
 
 
 def valid_year(column: str) -> Check:
@@ -93,18 +94,21 @@ def matches_pattern(column: str, pattern: str, description: str | None = None) -
 
 
 def in_set(column: str, values) -> Check:
-    """One of a short list of values; for a long list use :func:`not_in_table`."""
-    return Check("in_set", column, ~F.col(column).isin(*values))
+    """One of a short list of values; for a long list use :func:`not_in_table`.
+
+    NULL is never bad, so a NULL in the list says nothing.
+    """
+    return Check("in_set", column, ~F.col(quoted(column)).isin(*[v for v in values if v is not None]))
 
 
 def positive(column: str, allow_zero: bool = True) -> Check:
-    value = F.col(column)
+    value = F.col(quoted(column))
     return Check("positive", column, value < 0 if allow_zero else value <= 0)
 
 
 def in_range(column: str, low: float | None = None, high: float | None = None) -> Check:
     """Within the bounds, both included; NaN passes."""
-    value, bad = F.col(column), F.lit(False)
+    value, bad = F.col(quoted(column)), F.lit(False)
     if low is not None:
         bad = bad | (value < low)
     if high is not None:
@@ -125,7 +129,7 @@ def violations(df: DataFrame, checks: list[Check], samples: int = SAMPLES) -> Da
     """
     # NULL is never bad, so the bad values themselves tell their number.
     bad = df.select(
-        [F.when(c.bad, F.col(c.column).cast("string")).alias(f"v{i}") for i, c in enumerate(checks)]
+        [F.when(c.bad, F.col(quoted(c.column)).cast("string")).alias(f"v{i}") for i, c in enumerate(checks)]
     )
     aggregates = [F.count(f"v{i}").alias(f"n{i}") for i in range(len(checks))]
     if samples:
@@ -166,8 +170,8 @@ def not_in_table(df: DataFrame, column: str, allowed: DataFrame) -> DataFrame:
 
     Values are counted before the join, so a frequent one is joined once.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-    known = allowed.select(F.col(allowed.columns[0]).alias("value")).distinct()
+    counts = df.where(F.col(quoted(column)).isNotNull()).groupBy(F.col(quoted(column)).alias("value"))
+    known = allowed.select(F.col(quoted(allowed.columns[0])).alias("value")).distinct()
     foreign = counts.agg(F.count("*").alias("rows")).join(known, "value", "left_anti")
     return foreign.agg(
         F.lit("in_set").alias("check"),
@@ -238,7 +242,7 @@ def validation(df: DataFrame, spec: dict[str, Any]) -> DataFrame:
         if name not in present:
             lines.append(line("not_null", name, "missing", False))
             continue
-        aggregates.append(F.count_if(F.col(name).isNull()).alias(f"nulls{i}"))
+        aggregates.append(F.count_if(F.col(quoted(name)).isNull()).alias(f"nulls{i}"))
         lines.append(line("not_null", name, F.col(f"nulls{i}"), F.col(f"nulls{i}") == 0))
     unique = spec.get("unique") or []
     unique = [unique] if isinstance(unique, str) else list(unique)

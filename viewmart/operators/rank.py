@@ -12,23 +12,30 @@ from pyspark.sql import functions as F
 
 from viewmart.functions.text import month_of
 
-# Up to this many rows a plain sort with limit sends at most this many rows per
-# partition to the final task. Beyond it, rows under the cut are dropped first.
-DIRECT_TOP_ROWS = 1_000
-
 # A ranking is broadcast only if its limit proves it has at most this many rows of one
-# id and one title. Beyond it, facts are summed before they meet the ranking, or where
-# they must stay single, every page is spread over this many salts.
+# id and one title. Beyond it, facts are summed before they meet the ranking.
 BROADCAST_ROWS = 200_000
-SALTS = 32
 
-# Steps per power of two in the histogram of totals.
+# Steps per power of two in the histogram of a metric; the step of the least positive
+# double is 1, those of negative values mirror the positive ones.
 STEPS = 32
+OFFSET = 1075 * STEPS
+INFINITE, NOT_A_NUMBER, NOTHING = 2101 * STEPS, 2102 * STEPS, -2102 * STEPS
+
+# Copies of a row that one explode makes at once.
+COPIES = 1_000
+
+
+def total(column: str) -> Column:
+    """Aggregate: the BIGINT sum; fails on overflow whatever the ANSI mode."""
+    summed = F.try_sum(column)
+    overflow = F.raise_error(F.lit(f"the sum of {column} is beyond BIGINT")).cast("bigint")
+    return F.when(summed.isNull() & (F.count(column) > 0), overflow).otherwise(summed)
 
 
 def page_sums(facts: DataFrame) -> DataFrame:
     """``page_id, total_views``. Reads two columns; summed per task before the shuffle."""
-    return facts.groupBy("page_id").agg(F.sum("views").alias("total_views"))
+    return facts.groupBy("page_id").agg(total("views").alias("total_views"))
 
 
 def latest() -> Column:
@@ -44,33 +51,45 @@ def latest() -> Column:
 def page_totals(facts: DataFrame) -> DataFrame:
     """``page_id, entity, total_views`` for every page, with its latest title."""
     return facts.groupBy("page_id").agg(
-        latest()["entity"].alias("entity"), F.sum("views").alias("total_views")
+        latest()["entity"].alias("entity"), total("views").alias("total_views")
     )
 
 
 def _step(metric: Column) -> Column:
-    """Histogram step of a total; never falls as the total grows. At most 2,018 values."""
-    log = F.when(metric > 0, F.floor(F.log2(metric) * STEPS)).when(metric <= 0, F.lit(-1))
-    return F.coalesce(log, F.lit(-2))
+    """Histogram step of a number; never falls as the number grows.
+
+    NULL is least and NaN greatest, as in descending order with NULL last. A value's step follows its double,
+    so equal steps may hold different values but never the wrong way round.
+    """
+    value = metric.cast("double")
+    size = F.abs(value)
+    step = F.when(size == float("inf"), INFINITE).otherwise(F.floor(F.log2(size) * STEPS) + OFFSET)
+    signed = F.when(F.isnan(value), NOT_A_NUMBER).when(value > 0, step).when(value < 0, -step)
+    return F.when(value.isNull(), NOTHING).otherwise(F.coalesce(signed, F.lit(0))).cast("bigint")
 
 
 def top_rows(df: DataFrame, n: int, metric: str, tie: str) -> DataFrame:
-    """The ``n`` rows with the greatest ``metric`` (NULL last), ties by ascending ``tie``.
+    """The ``n`` rows with the greatest ``metric`` (a number, NULL last), ties by ascending ``tie``,
+    in this order.
 
-    A sort with limit lets every partition send ``n`` rows to one task. For large
-    ``n`` a histogram of the metric finds the lowest step that can still be in the
-    result; only rows from that step up are sorted. The result is exact either way.
+    A histogram of the metric finds the step in which the result ends. Rows of higher steps are
+    all in the result and stay spread over their tasks; only rows of that step are ranked, and at
+    most ``n`` of them meet in one task.
     """
     order = [F.col(metric).desc_nulls_last(), F.col(tie).asc_nulls_last()]
-    if n <= DIRECT_TOP_ROWS:
-        return df.orderBy(*order).limit(n)
+    if n < 1:
+        return df.limit(0)
     step = _step(F.col(metric))
     counts = df.groupBy(step.alias("step")).agg(F.count("*").alias("rows"))
-    # One row per step: the unpartitioned window sees 2,018 rows at most.
-    from_top = F.sum("rows").over(Window.orderBy(F.desc("step")))
-    cut = counts.select("step", from_top.alias("rows")).where(F.col("rows") >= n)
-    lowest = F.coalesce(cut.agg(F.max("step")).scalar(), F.lit(-2))
-    return df.where(step >= lowest).orderBy(*order).limit(n)
+    # One row per step: the unpartitioned window sees some 135,000 rows at most.
+    reached = counts.withColumn("reached", F.sum("rows").over(Window.orderBy(F.desc("step"))))
+    ends = reached.where(F.col("reached") >= n)
+    last = F.coalesce(ends.agg(F.max("step")).scalar(), F.lit(NOTHING - 1))
+    left = ends.agg(F.max_by(n - F.col("reached") + F.col("rows"), "step")).scalar()
+    ranked = df.where(step == last).orderBy(*order).limit(n)
+    ranked = ranked.withColumn("__rank", F.row_number().over(Window.orderBy(*order)))
+    chosen = ranked.where(F.col("__rank") <= left).drop("__rank")
+    return df.where(step > last).union(chosen).orderBy(*order)
 
 
 def is_small(rows: int | None) -> bool:
@@ -78,17 +97,19 @@ def is_small(rows: int | None) -> bool:
     return rows is not None and rows <= BROADCAST_ROWS
 
 
-def attach(facts: DataFrame, ranking: DataFrame, rows: int | None) -> DataFrame:
-    """Facts joined with a ranking by ``page_id``; ``rows`` bounds the ranking's rows.
+def repeated(rows: DataFrame, count: str) -> DataFrame:
+    """Each row as often as its column ``count`` says, without that column.
 
-    Without a small bound the facts are shuffled. The ranking is then repeated for every
-    salt and a fact takes the salt of its content, so a hot page is split over as many tasks.
+    A count is taken apart first, so no row makes a long array.
     """
-    if is_small(rows):
-        return facts.join(F.broadcast(ranking), "page_id")
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
-    repeated = ranking.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return facts.withColumn("__salt", salt).join(repeated, ["page_id", "__salt"]).drop("__salt")
+    whole = F.floor(F.col(count) / COPIES).cast("int")
+    parts = F.concat(
+        F.array_repeat(F.lit(COPIES), whole),
+        F.array((F.col(count) - whole * F.lit(COPIES).cast("bigint")).cast("int")),
+    )
+    columns = [c for c in rows.columns if c != count]
+    apart = rows.select(*columns, F.explode(parts).alias(count))
+    return apart.select(*columns, F.explode(F.array_repeat(F.lit(1), F.col(count))).alias(count)).drop(count)
 
 
 def top_ids(facts: DataFrame, n: int) -> DataFrame:
@@ -112,13 +133,23 @@ def top_pages(facts: DataFrame, n: int) -> DataFrame:
     )
 
 
-def restrict_to_top(facts: DataFrame, top: DataFrame, *, top_rows: int | None = None) -> DataFrame:
+def own_exchange(ranking: DataFrame) -> DataFrame:
+    """The ranking with its page ids made anew.
+
+    A ranking that comes out of an aggregation by page is laid out for a join already, and AQE splits hot pages of
+    the other side only where both sides are shuffled for the join itself.
+    """
+    return ranking.withColumn("page_id", F.concat("page_id", F.lit("")))
+
+
+def restrict_to_top(facts: DataFrame, top: DataFrame) -> DataFrame:
     """Facts of the pages in ``top`` (``page_id, entity``), under the title given there.
 
-    ``top_rows`` is the bound on the rows of ``top``, if there is one.
+    A plain join: Spark broadcasts ``top`` if its size allows it, and AQE splits a page with very
+    many facts otherwise, equal facts included.
     """
     titles = top.select("page_id", F.col("entity").alias("title"))
-    return attach(facts, titles, top_rows).select(
+    return facts.join(own_exchange(titles), "page_id").select(
         "date", "page_id", F.col("title").alias("entity"), "views"
     )
 
@@ -129,7 +160,7 @@ def with_month(facts: DataFrame) -> DataFrame:
 
 def monthly_views(facts: DataFrame) -> DataFrame:
     """``month, page_id, entity, views``, summed, sorted by page and month."""
-    sums = with_month(facts).groupBy("month", "page_id", "entity").agg(F.sum("views").alias("views"))
+    sums = with_month(facts).groupBy("month", "page_id", "entity").agg(total("views").alias("views"))
     return sums.orderBy(F.col("page_id").asc_nulls_last(), F.col("month").asc_nulls_last())
 
 
@@ -155,7 +186,7 @@ def period_views(
     if is_small(pages_rows):
         facts = facts.join(F.broadcast(ids), "page_id")
     per_period = facts.withColumn(period, of_date).groupBy("page_id", period).agg(
-        F.sum("views").alias("views"), latest().alias("last")
+        total("views").alias("views"), latest().alias("last")
     )
     if not is_small(pages_rows):
         # Sums per task go into this shuffle instead of facts, so no page is a hot key in it.

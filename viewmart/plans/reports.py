@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from viewmart.functions.text import month_of
 from viewmart.operators.calendars import missing_dates, needs_build
-from viewmart.operators.rank import attach, period_views, ranked_titles, top_ids
+from viewmart.operators.rank import (
+    is_small,
+    own_exchange,
+    period_views,
+    ranked_titles,
+    repeated,
+    top_ids,
+)
 from viewmart.sources.facts import read_recent, window_start
 from viewmart.sources.tables import WriteResult, overwrite, read_table, table_exists
 
@@ -40,23 +47,30 @@ def top_pages_daily(
     n: int = TOP_DAILY,
     *,
     aggregate: bool = False,
+    allow_gaps: bool = False,
+    present: DataFrame | None = None,
 ) -> DataFrame:
     """``date, page_id, entity, views`` of the ``n`` pages with the most views in the ``days``
     days ending at ``last``, sorted by page and date.
 
     One row per fact; a page with several facts on a day has several rows, which
-    ``aggregate`` sums up.
+    ``aggregate`` sums up. Days of the window without facts raise, see
+    :func:`viewmart.sources.facts.read_recent`.
     """
-    recent = read_recent(facts, last, days)
+    recent = read_recent(facts, last, days, allow_gaps=allow_gaps, present=present)
     pages = top_ids(recent, n)
     if aggregate:
         return period_views(recent, pages, "date", F.col("date"), pages_rows=n)
     titles = ranked_titles(recent, pages, n)
-    rows = attach(recent.select("date", "page_id", "views"), titles, n)
-    # Views as a last key let the sort split a page that has very many facts on one day.
-    return rows.select("date", "page_id", "entity", "views").orderBy(
-        F.col("page_id").asc_nulls_last(), F.col("date").asc_nulls_last(), "views"
-    )
+    # Equal facts are one row with a count until they are sorted, so no task gets all copies.
+    copies = F.count("*").alias("copies")
+    if is_small(n):
+        found = recent.join(F.broadcast(titles), "page_id")
+        rows = found.groupBy("date", "page_id", titles["entity"], "views").agg(copies)
+    else:
+        rows = recent.groupBy("date", "page_id", "views").agg(copies).join(own_exchange(titles), "page_id")
+    rows = rows.orderBy(F.col("page_id").asc_nulls_last(), F.col("date").asc_nulls_last(), "views")
+    return repeated(rows.select("date", "page_id", "entity", "views", "copies"), "copies")
 
 
 @dataclass(frozen=True)
@@ -85,12 +99,14 @@ def build_all(
     window_days: int = WINDOW_DAYS,
     min_rows: int = MIN_ROWS,
     aggregate: bool = False,
-    complete_window: bool = False,
+    allow_gaps: bool = False,
+    days: DataFrame | None = None,
 ) -> BuildResult:
     """Build, check and store both reports if the facts reach yesterday and are new.
 
-    The gate sees the last day only, so days of the window without facts are reported, and
-    with ``complete_window`` they raise ValueError.
+    Days of the window without facts raise ValueError; with ``allow_gaps`` they are reported.
+    ``days`` (``date``) gives the days that have facts, such as
+    :func:`viewmart.sources.facts.read_days`; the gate then reads no fact.
 
     Each report is written, checked on the written files and only then made visible. The
     day it was built from is stored last, so a build that failed runs again.
@@ -99,15 +115,16 @@ def build_all(
     last_built = None
     if table_exists(spark, root, STATE):
         last_built = read_table(spark, root, STATE).first()["last_ingested"]
-    gate = needs_build(facts, today, last_built).first()
+    days = facts.select("date") if days is None else days
+    gate = needs_build(days, today, last_built).first()
     if not gate.build:
         return BuildResult(gate.reason, gate.last_ingested)
 
     start = window_start(gate.last_ingested, window_days)
-    recent = read_recent(facts, gate.last_ingested, window_days)
+    recent = days.where(F.col("date").between(start, gate.last_ingested))
     gaps = missing_dates(recent, start, gate.last_ingested).collect()  # window_days rows at most
     missing = tuple(r.date for r in gaps)
-    if missing and complete_window:
+    if missing and not allow_gaps:
         raise ValueError(f"no facts for {len(missing)} days of the window, e.g. {missing[:5]}")
 
     columns = ["page_id", "entity", "views"]
@@ -119,7 +136,9 @@ def build_all(
         expect={"not_null": ["month", *columns], "min_rows": min_rows},
     )
     daily = overwrite(
-        top_pages_daily(facts, gate.last_ingested, window_days, top_daily, aggregate=aggregate),
+        top_pages_daily(
+            facts, gate.last_ingested, window_days, top_daily, aggregate=aggregate, allow_gaps=True
+        ),  # told above
         root,
         daily_name,
         clustered_by=["page_id", "date"],

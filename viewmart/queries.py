@@ -167,7 +167,7 @@ def top_pages_daily_agg(spark, sf_dir):
     return vm.top_pages_daily(event_facts(spark, sf_dir), LAST_DAY, WINDOW, 20, aggregate=True)
 
 
-BUILT = "(select * from {0} where date between '2023-11-02' and '2024-01-30')".format(EVENT_FACTS)
+BUILT = "(select * from {0} where date between '2024-01-01' and '2024-01-30')".format(EVENT_FACTS)
 
 
 @query(f"""select 'monthly' as report, month as period, page_id, entity, views
@@ -183,6 +183,7 @@ def build_all(spark, sf_dir):
         today="2024-01-31",
         top_monthly=100,
         top_daily=50,
+        window_days=30,
         min_rows=1,
     )
     monthly = vm.read_table(spark, root, "top_pages_monthly").withColumnRenamed("month", "period")
@@ -193,6 +194,30 @@ def build_all(spark, sf_dir):
     )
 
 
+FRACTIONS = """(select l_partkey || '-' || l_suppkey as k, sum(round(l_discount * 100)::bigint) / (count(*) * 100)
+    - sum(round(l_tax * 100)::bigint) / (count(*) * 100) as v from lineitem group by l_partkey, l_suppkey)"""
+
+
+@query(f"""select k, v from {FRACTIONS} order by v desc, k limit 1200""")
+def top_rows_fraction(spark, sf_dir):
+    """More than a thousand rows of metrics between -1 and 1, negative ones among them."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(
+        # whole hundredths make the averages the same in any order of addition
+        (F.sum(F.round(F.col("l_discount") * 100).cast("bigint")) / (F.count("*") * 100)).alias("d"),
+        (F.sum(F.round(F.col("l_tax") * 100).cast("bigint")) / (F.count("*") * 100)).alias("t"),
+    )
+    rows = lines.select(F.concat_ws("-", "l_partkey", "l_suppkey").alias("k"), (F.col("d") - F.col("t")).alias("v"))
+    return vm.top_rows(rows, 1200, "v", "k")
+
+
+@query("""select doc_id, (length(text) % 7) / 8.0::double as v from documents
+    order by v desc, doc_id limit 600""")
+def top_rows_ties(spark, sf_dir):
+    """Seven different fractions: most rows tie, and the cut lies inside one value."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", (F.length("text") % 7 / F.lit(8.0)).alias("v"))
+    return vm.top_rows(rows, 600, "v", "doc_id")
+
+
 # --- calendars -----------------------------------------------------------------------------
 
 
@@ -201,6 +226,24 @@ def last_ingested(spark, sf_dir):
     return vm.last_ingested(line_facts(spark, sf_dir))
 
 
+@query(f"select max(date) as last_ingested from {EVENT_FACTS}")
+def last_ingested_stored(spark, sf_dir):
+    """From the folders of a stored fact table."""
+    path = f"{scratch_folder(spark, 'facts')}/facts"
+    vm.write_facts(event_facts(spark, sf_dir), path)
+    return vm.last_ingested(vm.read_days(spark, path))
+
+
+@query("""select strftime(d, '%Y-%m-%d') as date
+    from range(timestamp '2023-12-20', timestamp '2024-02-11', interval 1 day) r(d)
+    where strftime(d, '%Y-%m-%d') not in (select strftime(ts, '%Y-%m-%d') from events)""")
+def missing_dates_stored(spark, sf_dir):
+    """From the folders of a stored fact table."""
+    path = f"{scratch_folder(spark, 'facts')}/facts"
+    vm.write_facts(event_facts(spark, sf_dir), path)
+    return vm.missing_dates(vm.read_days(spark, path), "2023-12-20", "2024-02-10")
+
+
 @query("""select strftime(d, '%Y-%m-%d') as date
     from range(timestamp '2023-12-20', timestamp '2024-02-11', interval 1 day) r(d)
     where strftime(d, '%Y-%m-%d') not in (select strftime(ts, '%Y-%m-%d') from events)""")
@@ -310,7 +353,7 @@ def filter_project(spark, sf_dir):
     where not seven and not broken and project = '{PROJECT}' and page_id <> 'null'
     and l_quantity <> 50""")
 def dump_facts(spark, sf_dir):
-    return vm.dump_facts(dump_lines(spark, sf_dir), PROJECT)
+    return vm.dump_facts(dump_lines(spark, sf_dir), PROJECT, strict=False)
 
 
 @query(f"""select date, case when broken then 'encoding' when seven then 'fields' else 'count' end
@@ -370,6 +413,61 @@ def ingest_stream(spark, sf_dir):
     return vm.read_facts(spark, facts)
 
 
+@query("""select 'fact' as kind, strftime(l_shipdate, '%Y') as year, count(*) as lines,
+        sum(l_quantity)::bigint as views from lineitem
+        where l_linestatus = 'O' and l_quantity <> 50 and l_linenumber < 6 group by 2
+    union all select case when l_linenumber >= 6 then 'fields' else 'count' end,
+        strftime(l_shipdate, '%Y'), count(*), null from lineitem
+        where l_linenumber >= 6 or (l_linestatus = 'O' and l_quantity = 50) group by 1, 2""")
+def ingest_rejects(spark, sf_dir):
+    """Batch ingest of files with bad lines, which are kept; one file of the same name per year."""
+    folder = scratch_folder(spark, "rejects")
+    count = F.when(F.col("l_quantity") == 50, "x50").otherwise(F.col("l_quantity").cast("int").cast("string"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.concat_ws(
+            " ",
+            F.when(F.col("l_linestatus") == "O", PROJECT).otherwise("bb.site"),
+            F.concat(F.lit("P"), F.col("l_partkey")),
+            "l_partkey",
+            F.lit("-"),
+            F.when(F.col("l_linestatus") == "O", count).otherwise("1"),
+            F.when(F.col("l_linenumber") < 6, "x"),
+        ).alias("value"),
+        F.concat(F.year("l_shipdate"), F.lit("0101")).alias("day"),
+    )
+    lines.write.partitionBy("day").option("compression", "bzip2").text(f"{folder}/dump")
+    vm.ingest(
+        spark, f"{folder}/dump", f"{folder}/facts", PROJECT,
+        glob="*.bz2", day_pattern=DAY_FOLDER, rejects_path=f"{folder}/rejects",
+    )
+    year = F.substring("date", 1, 4).alias("year")
+    facts = vm.read_facts(spark, f"{folder}/facts").groupBy(year).agg(
+        F.count("*").alias("lines"), F.sum("views").alias("views")
+    )
+    bad = spark.read.schema("value string, reason string, date string, source string").parquet(f"{folder}/rejects")
+    rejects = bad.groupBy(F.col("reason").alias("kind"), year).agg(F.count("*").alias("lines"))
+    return facts.select(F.lit("fact").alias("kind"), "year", "lines", "views").unionByName(
+        rejects, allowMissingColumns=True
+    )
+
+
+@query(EVENT_DUMP)
+def ingest_stream_equal_names(spark, sf_dir):
+    """Files of one name in several folders, one file per batch."""
+    folder = scratch_folder(spark, "names")
+    lines = spark.read.text(event_dump(spark, sf_dir))  # with the day of its folder
+    lines = lines.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)))
+    for part in range(3):
+        rows = lines.where(F.col("part") == part)
+        target = f"{folder}/dump/part={part}"
+        rows.drop("part").hint("rebalance", "day").write.partitionBy("day").option("compression", "bzip2").text(target)
+    vm.ingest_stream(
+        spark, f"{folder}/dump", f"{folder}/facts", f"{folder}/checkpoint", PROJECT,
+        glob="*.bz2", day_pattern=DAY_FOLDER, files_per_batch=40,
+    )
+    return vm.read_facts(spark, f"{folder}/facts")
+
+
 # --- quality -------------------------------------------------------------------------------
 
 QUARTER = "strftime(o_orderdate, '%Y') || '-Q' || month(o_orderdate)"
@@ -388,16 +486,33 @@ DATED = f"""(select case when o_orderstatus = 'F' then strftime(o_orderdate, '%Y
     as a from orders)"""
 
 
+def between(text: str, first: int, length: int, low: int, high: int) -> str:
+    """SQL: so many digits at a place, as a number in a range."""
+    part = f"substr({text}, {first}, {length})"
+    return f"(length({part}) = {length} and {part} = lpad(coalesce(try_cast({part} as int), -1)::varchar, {length}, '0') and try_cast({part} as int) between {low} and {high})"
+
+
+# The shapes told by the parts of the text, not by patterns.
+SHAPES = {
+    "valid_year": lambda c: f"length({c}) = 4 and {between(c, 1, 4, 0, 9999)}",
+    "valid_quarter": lambda c: f"length({c}) = 7 and {between(c, 1, 4, 0, 9999)} and substr({c}, 5, 2) = '-Q' and {between(c, 7, 1, 1, 4)}",
+    "valid_month": lambda c: f"length({c}) = 7 and {between(c, 1, 4, 0, 9999)} and substr({c}, 5, 1) = '-' and {between(c, 6, 2, 1, 12)}",
+    "valid_week": lambda c: f"length({c}) = 8 and {between(c, 1, 4, 0, 9999)} and substr({c}, 5, 2) = '-W' and {between(c, 7, 2, 1, 53)}",
+    "valid_date": lambda c: f"length({c}) = 10 and {between(c, 1, 4, 0, 9999)} and substr({c}, 5, 1) = '-' and {between(c, 6, 2, 1, 12)} and substr({c}, 8, 1) = '-' and {between(c, 9, 2, 1, 31)}",
+}
+SHAPES["valid_date_any"] = lambda c: " or ".join(f"({shape(c)})" for name, shape in SHAPES.items() if name != "valid_date_any")
+
+
 @query(
     " union all ".join(
-        bad(name, column, f"not regexp_matches({column}, '{pattern}')", DATED)
-        for name, column, pattern in [
-            ("valid_year", "y", q.YEAR),
-            ("valid_quarter", "qu", q.QUARTER),
-            ("valid_month", "m", q.MONTH),
-            ("valid_week", "w", q.WEEK),
-            ("valid_date", "d", q.DATE),
-            ("valid_date_any", "a", "|".join(q.ANY_DATE)),
+        bad(name, column, f"not ({SHAPES[name](column)})", DATED)
+        for name, column in [
+            ("valid_year", "y"),
+            ("valid_quarter", "qu"),
+            ("valid_month", "m"),
+            ("valid_week", "w"),
+            ("valid_date", "d"),
+            ("valid_date_any", "a"),
         ]
     )
 )
@@ -447,7 +562,7 @@ def violations_strings(spark, sf_dir):
         q.min_length("text", 100),
         q.exact_length("source", 3),
         q.matches_pattern("text", "[A-Za-z]", "starts with a letter"),
-        q.in_set("lang", ["en", "de"]),
+        q.in_set("lang", ["en", None, "de"]),
     ]
     return vm.violations(table(spark, sf_dir, "documents"), checks).drop("sample")
 
@@ -647,9 +762,16 @@ def fingerprint(spark, sf_dir):
     return vm.fingerprint(table(spark, sf_dir, "documents"))
 
 
-@query()
+def framed(column: str) -> str:
+    text = f"{column}::varchar"
+    return f"coalesce(length({text}) || ':' || {text}, '-')"
+
+
+@query(f"""select substr(md5(count(*) ||
+    'struct<doc_id:bigint,text:string,lang:string,source:string,n_chars:bigint>'), 1, 16) as tag,
+    coalesce(sum(('0x' || substr(md5({" || ".join(map(framed, ["doc_id", "text", "lang", "source", "n_chars"]))}), 1, 15))::bigint), 0)::varchar
+    as content_hash from documents""")
 def content_fingerprint(spark, sf_dir):
-    """Spark's own row hash; SQL has no equal of it."""
     return vm.fingerprint(table(spark, sf_dir, "documents"), content=True)
 
 
@@ -728,6 +850,74 @@ def append_table(spark, sf_dir):
     return vm.read_table(spark, root, "orders")
 
 
+@query(MERGED.replace("t.o_totalprice,", "t.o_totalprice, 'kept' as note,"))
+def merge_typed(spark, sf_dir):
+    """A composite key in other types than the table's: text and a wider number."""
+    root = scratch_folder(spark, "merge")
+    orders = table(spark, sf_dir, "orders").withColumn("note", F.lit("kept"))
+    vm.overwrite(orders.withColumn("half", F.col("o_orderkey") % 2), root, "orders")
+    changes = order_changes(spark, sf_dir).select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.col("o_custkey").cast("decimal(20,0)").alias("o_custkey"),
+        "o_orderstatus",
+        "o_orderdate",
+        (F.col("o_orderkey") % 2).cast("double").alias("half"),
+        F.lit("kept").alias("note"),
+    )
+    vm.merge(changes, root, "orders", key=["o_orderkey", "half"])
+    return vm.read_table(spark, root, "orders").drop("half")
+
+
+@query(APPENDED)
+def append_typed(spark, sf_dir):
+    """Values of other types that the table's types hold exactly."""
+    root = scratch_folder(spark, "append")
+    vm.overwrite(table(spark, sf_dir, "orders"), root, "orders")
+    lines = order_lines(spark, sf_dir).withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    vm.append(lines, root, "orders")
+    return vm.read_table(spark, root, "orders")
+
+
+HASH = "substr(md5({0} || 'struct<{1}>'), 1, 16)"
+REGION = "r_regionkey:{0},r_name:string"
+
+
+@query(f"""with n as (select count(*) as c, count(*) filter (where r_regionkey >= 3) as late from region),
+    m as (select count(distinct o_orderkey) as new from orders)
+    select 1 as step, 1 as version, c as rows, {HASH.format("c", "r_regionkey:bigint,r_name:string")} as hash from n
+    union all select 2, 2, c + late, {HASH.format("late", "r_regionkey:bigint,r_name:string")} from n
+    union all select 3, 3, c + late + new, {HASH.format("new", "r_regionkey:bigint,r_name:string")} from n, m""")
+def write_result(spark, sf_dir):
+    """What overwrite, append and merge report."""
+    root = scratch_folder(spark, "results")
+    region = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("bigint").alias("r_regionkey"), "r_name")
+    new = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + 1000).cast("bigint").alias("r_regionkey"), F.lit("new").alias("r_name")
+    )
+    done = [
+        vm.overwrite(region, root, "regions"),
+        vm.append(region.where("r_regionkey >= 3"), root, "regions"),
+        vm.merge(new, root, "regions", key="r_regionkey"),
+    ]
+    rows = [(k + 1, r.version, r.rows, r.hash) for k, r in enumerate(done)]
+    return spark.createDataFrame(rows, "step int, version int, rows bigint, hash string")
+
+
+@query(f"""select 'absent' as kind, 'l_comment' as columns, null::bigint as bad_rows, (select count(*) from {NULLED}) as row_count
+    union all select 'null', 'l_linenumber', count(*), (select count(*) from {NULLED}) from {NULLED} where l_linenumber is null
+    union all select 'repeated', 'l_orderkey,l_linenumber', (sum(n) - count(*))::bigint, sum(n)::bigint
+        from (select count(*) as n from {NULLED} group by l_orderkey, l_linenumber)""")
+def validate_asset(spark, sf_dir):
+    """The report on a stored table."""
+    root = scratch_folder(spark, "report")
+    vm.overwrite(nulled_lines(spark, sf_dir), root, "lines")
+    report = vm.validate_asset(
+        spark, root, "lines", key=["l_orderkey", "l_linenumber"], expected_columns=["l_returnflag", "l_comment"]
+    )
+    rows = [(f.kind, ",".join(f.columns), f.rows, report.row_count) for f in report.findings]
+    return spark.createDataFrame(rows, "kind string, columns string, bad_rows bigint, row_count bigint")
+
+
 @query("select * from customer")
 def overwrite_table(spark, sf_dir):
     """A second overwrite replaces rows, schema and partitioning."""
@@ -759,11 +949,11 @@ def write_facts(spark, sf_dir):
 # --- raw assets ----------------------------------------------------------------------------
 
 
-@query("select event_id, user_id, event_type, value, props from events")
+@query("select * from events")
 def asset_json(spark, sf_dir):
-    """gzip JSON lines out and in."""
+    """gzip JSON lines out and in, timestamps without zone among them."""
     base = scratch_folder(spark, "assets")
-    events = table(spark, sf_dir, "events").drop("ts")
+    events = table(spark, sf_dir, "events")
     vm.write_asset(events, base, "events", "json", compression="gzip")
     return vm.read_asset(spark, base, "events", "json", schema=events.schema)
 
@@ -809,15 +999,60 @@ def sql_over_assets(spark, sf_dir):
         join regions on n_regionkey = r_regionkey group by n_name, r_name""")
 
 
-@query("select distinct strftime(ts, '%Y-%m-%d') as day, true as filled from events")
+@query("""select strftime(ts, '%Y-%m-%d') as day, 1::bigint as files, true as fresh,
+    (sum(strlen(event_id || '')) + count(*))::bigint as length from events group by 1""")
 def list_assets(spark, sf_dir):
-    """Files of an asset kept by day, from the listing alone."""
+    """Name, age and length of the files of an asset kept by day, from the listing alone."""
+    base = scratch_folder(spark, "assets")
+    events = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), day("ts").alias("day"))
+    events.repartition(1, "day").write.partitionBy("day").text(f"{base}/events")
+    files = vm.fresh_assets(spark, base, "events/day=*/*.txt", max_age_days=1)
+    now = F.current_timestamp()
+    by_day = files.groupBy(F.regexp_extract("name", "^events/day=([^/]+)/part-.*[.]txt$", 1).alias("day"))
+    return by_day.agg(
+        F.count("*").alias("files"),
+        F.min(F.col("modified").between(now - F.expr("interval 1 day"), now)).alias("fresh"),
+        F.sum("length").alias("length"),
+    )
+
+
+@query("""select 'there' as asset, true as found union all select 'fresh', true
+    union all select 'absent', false union all select 'deleted', false""")
+def asset_exists(spark, sf_dir):
+    base = scratch_folder(spark, "assets")
+    for name in ("events", "gone"):
+        vm.write_asset(table(spark, sf_dir, "events"), base, name)
+    vm.delete_asset(spark, base, "gone")
+    rows = [
+        ("there", vm.asset_exists(spark, base, "events")),
+        ("fresh", vm.asset_exists(spark, base, "events", max_age_days=1)),
+        ("absent", vm.asset_exists(spark, base, "none")),
+        ("deleted", vm.asset_exists(spark, base, "gone")),
+    ]
+    return spark.createDataFrame(rows, "asset string, found boolean")
+
+
+@query("select md5(string_agg(text, '' order by item_id)) as content, sum(strlen(text))::bigint as length from benchmark")
+def asset_binary(spark, sf_dir):
+    """Bytes out and in as one file."""
+    base = scratch_folder(spark, "assets")
+    docs = table(spark, sf_dir, "benchmark").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "text"))), lambda s: s["text"]), "")
+        .cast("binary")
+        .alias("content")
+    )
+    vm.write_asset(docs, base, "texts", "binary")
+    return vm.read_asset(spark, base, "texts", "binary").select(F.md5("content").alias("content"), "length")
+
+
+@query("select p_partkey, p_name from part")
+def asset_document(spark, sf_dir):
+    """One JSON document that holds an array of all rows."""
     base = scratch_folder(spark, "assets")
-    events = table(spark, sf_dir, "events").withColumn("day", day("ts"))
-    events.select("event_id", "day").write.partitionBy("day").json(f"{base}/events")
-    files = vm.fresh_assets(spark, base, "events/day=*/*.json", max_age_days=1)
-    by_day = files.groupBy(F.regexp_extract("name", "^events/day=([^/]+)/", 1).alias("day"))
-    return by_day.agg((F.min("length") > 0).alias("filled"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    document = part.agg(F.to_json(F.collect_list(F.struct("p_partkey", "p_name"))).cast("binary").alias("content"))
+    vm.write_asset(document, base, "parts", "binary", extension="json")
+    return vm.read_asset(spark, base, "parts", "json", schema=part.schema)
 
 
 # --- dimension sync ------------------------------------------------------------------------

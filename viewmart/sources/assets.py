@@ -67,8 +67,16 @@ def write_asset(
     """Write an asset, replacing one of the same name; returns its path.
 
     parquet is snappy by default. json, csv and text take ``gzip`` or ``bzip2``, which
-    is added to the extension (``json.gz``).
+    is added to the extension (``json.gz``). binary takes one row, whose ``content`` becomes
+    a single file.
     """
+    if fmt == "binary":
+        path = asset_path(base, asset_id, extension or EXTENSION[fmt])
+        rows = df.select("content").limit(2).collect()  # a file is one value
+        if len(rows) != 1 or rows[0].content is None:
+            raise ValueError("a binary asset is one row with content")
+        storage.write_bytes(df.sparkSession, path, bytes(rows[0].content))
+        return path
     if fmt not in ("parquet", "json", "csv", "text"):
         raise ValueError(f"cannot write format '{fmt}'")
     if fmt == "parquet":
@@ -76,6 +84,9 @@ def write_asset(
     elif extension is None:
         suffix = CODEC_SUFFIX.get(compression)
         extension = f"{EXTENSION[fmt]}.{suffix}" if suffix else EXTENSION[fmt]
+    if fmt in ("json", "csv"):  # Spark would cut microseconds off
+        options.setdefault("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        options.setdefault("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     if compression:
         options["compression"] = compression
     path = asset_path(base, asset_id, extension)
@@ -102,7 +113,7 @@ def list_assets(spark: SparkSession, base: str, pattern: str) -> DataFrame:
     content column is pruned.
     """
     root = base.rstrip("/")
-    if not storage.glob(spark, f"{root}/{pattern}"):
+    if not storage.any_match(spark, f"{root}/{pattern}"):
         return spark.createDataFrame([], "name string, modified timestamp, length bigint")
     prefix = storage.absolute(spark, root).rstrip("/") + "/"
     path = F.regexp_replace("path", "^[a-zA-Z0-9+.-]+:(//[^/]*)?", "")

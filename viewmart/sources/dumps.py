@@ -9,15 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewmart.functions.storage import absolute
 from viewmart.functions.text import DUMP_DAY, DUMP_GLOB, day_from_path, split_fields, to_count
 
 FIELDS = 6
 
 
-def _with_origin(lines: DataFrame, day_pattern: str) -> DataFrame:
+def origin(spark: SparkSession, root: str) -> Column:
+    """Path of a row's file relative to the dump's root: files of one name in several folders differ."""
+    path = F.regexp_replace(F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")), "^[a-zA-Z0-9+.-]+:(//[^/]*)?", "")
+    prefix = absolute(spark, root).rstrip("/") + "/"
+    return F.when(path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 30)).otherwise(path)
+
+
+def _with_origin(spark: SparkSession, lines: DataFrame, root: str, day_pattern: str) -> DataFrame:
     return lines.select(
         day_from_path(F.col("_metadata.file_path"), day_pattern).alias("date"),
-        F.col("_metadata.file_name").alias("source"),
+        origin(spark, root).alias("source"),
         "value",
     )
 
@@ -25,12 +33,12 @@ def _with_origin(lines: DataFrame, day_pattern: str) -> DataFrame:
 def read_dump(
     spark: SparkSession, path: str, *, glob: str = DUMP_GLOB, day_pattern: str = DUMP_DAY
 ) -> DataFrame:
-    """Lines of all dump files under ``path``: ``date, source, value``.
+    """Lines of all dump files under ``path``: ``date, source, value``; ``source`` is the file's path there.
 
     bzip2 files are splittable, so one large day is read by several tasks.
     """
     reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return _with_origin(reader.text(path), day_pattern)
+    return _with_origin(spark, reader.text(path), path, day_pattern)
 
 
 def stream_dump(
@@ -47,7 +55,7 @@ def stream_dump(
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
     )
-    return _with_origin(reader.text(path), day_pattern)
+    return _with_origin(spark, reader.text(path), path, day_pattern)
 
 
 def _with_fields(lines: DataFrame) -> DataFrame:
@@ -83,11 +91,11 @@ def filter_project(parsed: DataFrame, project: str) -> DataFrame:
     return parsed.where(_is_kept(project))
 
 
-def to_facts(kept: DataFrame, *, strict: bool = False) -> DataFrame:
+def to_facts(kept: DataFrame, *, strict: bool = True) -> DataFrame:
     """Typed facts ``date, source, entity, page_id, views``.
 
-    A count that is no integer drops the row (see :func:`parse_rejects`), or with
-    ``strict`` fails the job.
+    A count that is no integer fails the job. Without ``strict`` it drops the row; keep such rows with
+    :func:`parse_rejects`.
     """
     views = to_count(F.col("view_count"))
     if strict:
@@ -99,8 +107,8 @@ def to_facts(kept: DataFrame, *, strict: bool = False) -> DataFrame:
     return facts if strict else facts.where(F.col("views").isNotNull())
 
 
-def dump_facts(lines: DataFrame, project: str, *, strict: bool = False) -> DataFrame:
-    """Facts of one project straight from dump lines.
+def dump_facts(lines: DataFrame, project: str, *, strict: bool = True) -> DataFrame:
+    """Facts of one project straight from dump lines; ``strict`` as in :func:`to_facts`, for bad bytes too.
 
     A plain substring test drops most foreign lines before any of them is split.
     """
@@ -114,18 +122,33 @@ def dump_facts(lines: DataFrame, project: str, *, strict: bool = False) -> DataF
     return to_facts(filter_project(parse_lines(candidates), project), strict=strict)
 
 
-def parse_rejects(lines: DataFrame, project: str) -> DataFrame:
-    """Lines that give no fact though they are not merely foreign: ``date, source, value,
-    reason``.
+def parse_once(lines: DataFrame, project: str) -> DataFrame:
+    """Lines that give a fact or a reject, from one pass: ``date, source, fact, value, reason``.
 
+    ``fact`` (entity, page_id, views) is NULL for rejects, ``value`` and ``reason`` for facts. Reasons:
     ``encoding``: not valid UTF-8; ``fields``: not six fields (blank lines are none);
     ``count``: a kept row whose count is no integer.
     """
     kept = (F.get("f", F.lit(0)) == project) & (F.get("f", F.lit(2)) != "null")
+    count = to_count(F.get("f", F.lit(4)))
     reason = (
         F.when(~F.is_valid_utf8("value"), "encoding")
         .when(F.size("f").between(1, FIELDS - 1) | (F.size("f") > FIELDS), "fields")
-        .when(kept & to_count(F.get("f", F.lit(4))).isNull(), "count")
+        .when(kept & count.isNull(), "count")
+    )
+    fact = F.struct(
+        F.get("f", F.lit(1)).alias("entity"), F.get("f", F.lit(2)).alias("page_id"), count.alias("views")
+    )
+    rows = _with_fields(lines).select(
+        "date", "source", F.when(reason.isNull() & kept, fact).alias("fact"), "value", reason.alias("reason")
     )
-    rejects = _with_fields(lines).select("date", "source", "value", reason.alias("reason"))
-    return rejects.where(F.col("reason").isNotNull())
+    return rows.where(F.col("fact").isNotNull() | F.col("reason").isNotNull()).withColumn(
+        "value", F.when(F.col("reason").isNotNull(), F.col("value"))
+    )
+
+
+def parse_rejects(lines: DataFrame, project: str) -> DataFrame:
+    """Lines that give no fact though they are not merely foreign: ``date, source, value,
+    reason`` as in :func:`parse_once`."""
+    rejects = parse_once(lines, project).where(F.col("reason").isNotNull())
+    return rejects.select("date", "source", "value", "reason")

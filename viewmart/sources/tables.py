@@ -4,10 +4,12 @@ Every write goes to a new folder and becomes visible when its note (schema, part
 columns, rows) is renamed into place, so readers see whole writes only and a failed or
 lost job leaves the table as it was::
 
-    <root>/<name>/full=00000003/_part=00000003/   the last overwrite or merge
-    <root>/<name>/full=00000003/_part=00000004/   appended since
+    <root>/<name>/full=00000003/_part=00000003/   the last overwrite
+    <root>/<name>/full=00000003/_part=00000004/   appended or merged since
 
-One writer per table at a time.
+A merge writes the rows of the files that it changes, with the new rows, as one more part; its note names
+the old files that no longer count. One writer per table at a time; :func:`drop_versions` removes what
+the table no longer reads.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewmart.functions import storage
-from viewmart.operators.changes import as_list, check_keys, clashing_updates, conform, merge_rows
+from viewmart.operators.changes import as_list, check_keys, clashing_updates, conform, merged_parts
+from viewmart.operators.profile import quoted
 from viewmart.operators.quality import key_report, validate
 
 NOTE = "_note.json"
@@ -48,6 +53,8 @@ class _State:
     schema: T.StructType | None
     partition_by: tuple[str, ...]
     rows: int
+    #: Files of the parts that merges have replaced, relative to the table's folder.
+    removed: frozenset[str] = frozenset()
 
 
 def _uri(root: str, name: str) -> str:
@@ -83,14 +90,35 @@ def _state(spark: SparkSession, uri: str) -> _State:
                 T.StructType.fromJson(last["schema"]),
                 tuple(last["partition_by"]),
                 last["rows"],
+                frozenset(last.get("removed", ())),
             )
     return _State(used, None, (), None, (), 0)
 
 
-def _read(spark: SparkSession, uri: str, state: _State) -> DataFrame:
+def _files(spark: SparkSession, uri: str, state: _State) -> list[str]:
+    """Visible files, where some of the parts' files have been replaced."""
+    base = storage.absolute(spark, uri)
+    every = [f for part in state.parts for f in storage.list_files(spark, part)]
+    return [f for f in every if f.removeprefix(f"{base}/") not in state.removed]
+
+
+def _rows_of(spark: SparkSession, uri: str, state: _State, paths: list[str]) -> DataFrame:
+    """Stored rows with the columns of the folders and Spark's hidden file columns."""
     stored = T.StructType(state.schema.fields + [T.StructField("_part", T.StringType())])
     reader = spark.read.schema(stored).option("basePath", _full_folder(uri, state.full))
-    return reader.parquet(*state.parts).select(*[F.col(f"`{c}`") for c in state.schema.names])
+    return reader.parquet(*paths)
+
+
+def _paths(spark: SparkSession, uri: str, state: _State) -> list[str]:
+    return _files(spark, uri, state) if state.removed else list(state.parts)
+
+
+def _only(rows: DataFrame, state: _State) -> DataFrame:
+    return rows.select(*[F.col(quoted(c)) for c in state.schema.names])
+
+
+def _read(spark: SparkSession, uri: str, state: _State) -> DataFrame:
+    return _only(_rows_of(spark, uri, state, _paths(spark, uri, state)), state)
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
@@ -127,11 +155,21 @@ def _write(
     schema: T.StructType,
     partition_by: list[str],
     append_to: int | None = None,
+    replaced: list[str] | None = None,
     clustered_by: list[str] | None = None,
     expect: dict[str, Any] | None = None,
 ) -> tuple[int, int, int] | None:
-    """Write ``df`` as the next part; ``(version, rows written, rows in table)``, None if empty."""
+    """Write ``df`` as the next part; ``(version, rows written, rows in table)``, None if empty.
+
+    ``replaced`` are files that the new part stands for.
+    """
     spark = df.sparkSession
+    before = state.rows if append_to is not None else 0
+    removed = state.removed if append_to is not None else frozenset()
+    if replaced:
+        before -= _rows_of(spark, uri, state, replaced).count()  # from their footers
+        base = storage.absolute(spark, uri)
+        removed |= {f.removeprefix(f"{base}/") for f in replaced}
     version = state.used + 1
     full = append_to if append_to is not None else version
     folder = _part_folder(uri, full, version)
@@ -149,10 +187,10 @@ def _write(
     if written == 0:
         storage.delete(spark, folder)
         return None
-    rows = written + (state.rows if append_to is not None else 0)
+    rows = written + before
     if expect:
         validate(_read(spark, uri, draft), expect)
-    note = {"schema": schema.jsonValue(), "partition_by": partition_by, "rows": rows}
+    note = {"schema": schema.jsonValue(), "partition_by": partition_by, "rows": rows, "removed": sorted(removed)}
     storage.write_note(spark, f"{folder}/{NOTE}", json.dumps(note))
     return version, written, rows
 
@@ -201,8 +239,8 @@ def append(
 ) -> WriteResult | None:
     """Add rows without deduplication; new columns join the schema. Writes only the new rows.
 
-    An empty source changes nothing and gives None. Columns the table has are cast to its
-    types, and the job fails where a value does not fit.
+    An empty source changes nothing and gives None. Columns the table has take its types; the job fails where
+    a value does not fit exactly (see :func:`viewmart.operators.changes.conform`).
     """
     spark, uri = source.sparkSession, _uri(root, name)
     state = _state(spark, uri)
@@ -241,41 +279,112 @@ def merge(
 ) -> WriteResult | None:
     """Upsert ``source`` into the table by ``key`` (see :func:`merge_rows`); creates the table.
 
-    With ``validate`` the key must exist, be non-null and unique in the source. Without it,
-    NULL keys are added, and a key that occurs twice in the source and once in the table is
-    an error. An empty source changes nothing and gives None. The table is rewritten as a
-    whole; to replace whole days of a large one use a table partitioned by day.
+    Columns take the table's types first (see :func:`viewmart.operators.changes.conform`); with ``validate`` the
+    key must then exist, be non-null and unique. Without it, NULL keys are added, and a key that
+    occurs twice in the source and once in the table is an error. An empty source changes nothing
+    and gives None.
+
+    The source is computed once and kept in scratch space meanwhile. Only files with a row to update are written
+    anew, with the added rows; all other files stay where they are.
     """
     keys = as_list(key)
     spark, uri = source.sparkSession, _uri(root, name)
-    source_rows = None
-    if validate:
-        source_rows = check_keys(source, keys, name)
-    if source_rows == 0 or (source_rows is None and source.isEmpty()):
-        return None
+    state = _state(spark, uri)
+    folder = storage.scratch_folder(spark, "merge-source")
+    try:
+        if not set(keys) <= set(source.columns):
+            check_keys(source, keys, name)  # raises, or the source is empty
+            return None
+        unknown = [] if state.full is None else [c for c in source.columns if c not in state.schema.names]
+        if unknown:
+            raise ValueError(f"columns not in the target: {unknown}")
+        conformed = source if state.full is None else conform(source, state.schema)
+        conformed.write.parquet(folder)
+        staged = spark.read.schema(_nullable(conformed.schema)).parquet(folder)
+        source_rows = staged.count()
+        if not source_rows:
+            return None
+        if validate:
+            check_keys(staged, keys, name)
+        if state.full is None:
+            return overwrite(staged, root, name, partition_by=partition_by)
+        return _merge_staged(staged, uri, name, state, keys, source_rows, source.schema)
+    finally:
+        storage.delete(spark, folder)
+
+
+def _merge_staged(
+    staged: DataFrame,
+    uri: str,
+    name: str,
+    state: _State,
+    keys: list[str],
+    source_rows: int,
+    source_schema: T.StructType,
+) -> WriteResult:
+    spark = staged.sparkSession
+    rows = _rows_of(spark, uri, state, _paths(spark, uri, state))
+    placed = rows.select(
+        *[F.col(quoted(k)).alias(f"__t{i}") for i, k in enumerate(keys)], F.col("_metadata.file_path").alias("__file")
+    )
+    wanted = staged.select(*[F.col(quoted(k)).alias(f"__s{i}") for i, k in enumerate(keys)])
+    same = reduce(and_, [F.col(f"__t{i}") == F.col(f"__s{i}") for i in range(len(keys))])
+    found = placed.join(wanted, same, "left_semi").select("__file").distinct()
+    touched = [storage.plain_path(spark, r["__file"]) for r in found.toLocalIterator()]
+    if touched:
+        target = _only(_rows_of(spark, uri, state, touched), state)
+        if not clashing_updates(target, staged, keys).isEmpty():
+            raise ValueError(f"[{name}] several source rows update the same row")
+        kept, added = merged_parts(target, staged, keys)
+        merged = kept.unionByName(added, allowMissingColumns=True)
+    else:
+        nothing = spark.createDataFrame([], state.schema)
+        merged = nothing.unionByName(staged, allowMissingColumns=True)
+    version, _, rows_now = _write(
+        merged,
+        uri,
+        state,
+        schema=state.schema,
+        partition_by=list(state.partition_by),
+        append_to=state.full,
+        replaced=touched,
+    )
+    return WriteResult(uri, version, _hash(source_rows, source_schema), rows_now)
+
+
+def drop_versions(spark: SparkSession, root: str, name: str) -> int:
+    """Delete what the table no longer reads: older overwrites and files that merges have replaced.
+
+    Returns the number of folders and files deleted. No reader of an older version may be running.
+    """
+    uri = _uri(root, name)
     state = _state(spark, uri)
     if state.full is None:
-        return overwrite(source, root, name, partition_by=partition_by)
-    target = _read(spark, uri, state)
-    if not validate and not clashing_updates(target, conform(source, state.schema), keys).isEmpty():
-        raise ValueError(f"[{name}] several source rows update the same row")
-    merged = merge_rows(target, source, keys)
-    done = _write(merged, uri, state, schema=state.schema, partition_by=list(state.partition_by))
-    if done is None:
-        return None
-    version, _, rows = done
-    return WriteResult(uri, version, _hash(source_rows or rows, source.schema), rows)
+        return 0
+    old = [_full_folder(uri, n) for n in _numbers(spark, uri, "full=") if n < state.full]
+    gone = [f"{uri}/{f}" for f in sorted(state.removed) if storage.exists(spark, f"{uri}/{f}")]
+    for path in [*old, *gone]:
+        storage.delete(spark, path)
+    return len(old) + len(gone)
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
 
 
 def cluster(df: DataFrame, columns: list[str]) -> DataFrame:
     """Range-partition and sort by ``columns``, so that file and row-group statistics of the
     first one serve point lookups.
 
-    The ranges are cut on all of ``columns`` and then on a hash of the row, so the rows
-    of one frequent first value spread over several files.
+    The ranges are cut on all of ``columns`` and then on a hash of the row's other columns (those with
+    maps, which have no hash, left out), so the rows of one frequent first value spread over several files.
     """
-    rest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.repartitionByRange(*columns, rest).sortWithinPartitions(*columns)
+    keys = [F.col(quoted(c)) for c in columns]
+    hashed = [F.col(quoted(f.name)) for f in df.schema if not _has_map(f.dataType)]
+    rest = [F.xxhash64(*hashed)] if hashed else []
+    return df.repartitionByRange(*keys, *rest).sortWithinPartitions(*keys)
 
 
 def write_clustered(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -283,6 +392,29 @@ def write_clustered(df: DataFrame, path: str, columns: list[str]) -> None:
     cluster(df, columns).write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
+@dataclass(frozen=True)
+class Finding:
+    """Something wrong with a stored table: ``absent`` columns, ``null`` or ``repeated`` keys."""
+
+    kind: str
+    columns: tuple[str, ...]
+    rows: int | None = None
+
+
+@dataclass(frozen=True)
+class TableReport:
+    """State of a stored table; ``needs_cleanup`` if there is any finding."""
+
+    name: str
+    row_count: int
+    columns: tuple[str, ...]
+    findings: tuple[Finding, ...]
+
+    @property
+    def needs_cleanup(self) -> bool:
+        return bool(self.findings)
+
+
 def validate_asset(
     spark: SparkSession,
     root: str,
@@ -290,29 +422,20 @@ def validate_asset(
     *,
     key: str | list[str] | None = None,
     expected_columns: list[str] | None = None,
-) -> dict[str, Any]:
-    """Report on a stored table: name, row_count, columns, issues, needs_cleanup and, with a
-    key, key, key_nulls and key_duplicates where there are any."""
-    table = read_table(spark, root, name)
-    report: dict[str, Any] = {"name": name, "row_count": 0, "columns": table.columns, "issues": []}
-    missing = [c for c in expected_columns or [] if c not in table.columns]
-    if missing:
-        report["issues"].append(f"missing columns: {missing}")
+) -> TableReport:
+    """Report on a stored table: its columns against those expected, and the health of a key.
+
+    Without a key nothing but the table's note is read.
+    """
+    stored = read_table(spark, root, name)
+    columns = tuple(stored.columns)
+    wanted = dict.fromkeys([*(expected_columns or []), *(as_list(key) if key else [])])
+    absent = tuple(c for c in wanted if c not in columns)
+    findings = [Finding("absent", absent)] if absent else []
     if key is None:
-        report["row_count"] = table_rows(spark, root, name)
-    else:
-        keys = as_list(key)
-        report["key"] = keys
-        row = key_report(table, keys).first()
-        report["row_count"] = row.row_count
-        missing_keys = [k for k in keys if k not in table.columns]
-        if missing_keys:
-            report["issues"].append(f"key columns missing: {missing_keys}")
-        if row.key_nulls:
-            report["key_nulls"] = dict(row.key_nulls)
-            report["issues"].append(f"nulls in key columns: {dict(row.key_nulls)}")
-        if row.key_duplicates:
-            report["key_duplicates"] = row.key_duplicates
-            report["issues"].append(f"{row.key_duplicates} duplicate key combinations")
-    report["needs_cleanup"] = bool(report["issues"])
-    return report
+        return TableReport(name, table_rows(spark, root, name), columns, tuple(findings))
+    row = key_report(stored, key).first()
+    findings += [Finding("null", (k,), n) for k, n in sorted((row.key_nulls or {}).items())]
+    if row.key_duplicates:
+        findings.append(Finding("repeated", tuple(as_list(key)), row.key_duplicates))
+    return TableReport(name, row.row_count, columns, tuple(findings))

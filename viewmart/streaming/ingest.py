@@ -2,19 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewmart.functions.storage import delete, scratch_folder
 from viewmart.functions.text import DUMP_DAY, DUMP_GLOB, day_from_path
-from viewmart.sources.dumps import dump_facts, parse_rejects, read_dump, stream_dump
+from viewmart.sources.dumps import dump_facts, origin, parse_once, read_dump, stream_dump
 from viewmart.sources.facts import read_origins, write_facts
 
 
-def _store(lines: DataFrame, facts_path: str, project: str, strict: bool) -> None:
+def _store(lines: DataFrame, facts_path: str, project: str, rejects_path: str | None) -> None:
+    """Write the facts of lines, and with ``rejects_path`` what gave none; without, bad lines fail."""
     unknown = F.raise_error(F.concat(F.lit("no day in the path of "), F.col("source")))
     lines = lines.withColumn("date", F.coalesce("date", unknown.cast("string")))
-    write_facts(dump_facts(lines, project, strict=strict), facts_path)
+    if rejects_path is None:
+        write_facts(dump_facts(lines, project), facts_path)
+        return
+    # The files are read and parsed once; what they gave is parted afterwards.
+    spark = lines.sparkSession
+    parsed = scratch_folder(spark, "parsed")
+    try:
+        parse_once(lines, project).write.parquet(parsed)
+        rows = spark.read.parquet(parsed)
+        write_facts(rows.where("reason is null").select("date", "source", "fact.*"), facts_path)
+        (
+            rows.where("reason is not null")
+            .select("date", "source", "value", "reason")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date", "source")
+            .parquet(rejects_path)
+        )
+    finally:
+        delete(spark, parsed)
 
 
 def files_without_facts(
@@ -27,7 +47,7 @@ def files_without_facts(
 ) -> DataFrame:
     """``date, source`` of the dump files that left nothing in the fact table.
 
-    Compares names only: the listing of the dump with the partitions of the facts.
+    Compares names only: the listing of the dump with the folders of the facts. No file is read.
     """
     files = (
         spark.read.format("binaryFile")
@@ -36,10 +56,10 @@ def files_without_facts(
         .load(dump_path)
         .select(
             day_from_path(F.col("_metadata.file_path"), day_pattern).alias("date"),
-            F.col("_metadata.file_name").alias("source"),
+            origin(spark, dump_path).alias("source"),
         )
     )
-    loaded = read_origins(spark, facts_path).distinct()
+    loaded = read_origins(spark, facts_path)
     return files.join(loaded, ["date", "source"], "left_anti")
 
 
@@ -60,16 +80,18 @@ def ingest(
     *,
     glob: str = DUMP_GLOB,
     day_pattern: str = DUMP_DAY,
-    strict: bool = False,
     allow_empty: bool = False,
+    rejects_path: str | None = None,
 ) -> None:
     """Batch ingest of all matching dump files, replacing what these files gave before.
 
-    Use it to load re-issued files, which the stream does not read again. A file that gives
-    no facts raises ValueError at the end, unless ``allow_empty``.
+    Use it to load re-issued files, which the stream does not read again. Lines with bad bytes and kept
+    rows with a bad count fail the job, unless ``rejects_path`` is given, where they are kept by day
+    and file with the lines that have not six fields. A file that gives no facts raises ValueError at the
+    end, unless ``allow_empty``.
     """
     lines = read_dump(spark, dump_path, glob=glob, day_pattern=day_pattern)
-    _store(lines, facts_path, project, strict)
+    _store(lines, facts_path, project, rejects_path)
     if not allow_empty:
         _check_files(spark, dump_path, facts_path, glob, day_pattern)
 
@@ -84,7 +106,6 @@ def ingest_stream(
     glob: str = DUMP_GLOB,
     day_pattern: str = DUMP_DAY,
     files_per_batch: int = 32,
-    strict: bool = False,
     allow_empty: bool = False,
     rejects_path: str | None = None,
 ) -> int:
@@ -92,29 +113,13 @@ def ingest_stream(
 
     Returns the number of batches run. The checkpoint remembers finished batches. A batch
     that is repeated after a failure replaces its own partitions, so no fact is doubled.
-    ``rejects_path`` also keeps the lines that could not be used, by day and file. A file
-    that gave no facts raises ValueError at the end of this and later runs, unless
-    ``allow_empty``.
+    ``rejects_path`` as in :func:`ingest`. A file that gave no facts raises ValueError at the end
+    of a run that loaded something, unless ``allow_empty``; a run without new files checks nothing.
     """
     done = []
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        if rejects_path is None:
-            _store(batch, facts_path, project, strict)
-        else:
-            # Two outputs of one batch: keep its lines rather than read the files twice.
-            batch = batch.persist(StorageLevel.DISK_ONLY)
-            try:
-                _store(batch, facts_path, project, strict)
-                (
-                    parse_rejects(batch, project)
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("date", "source")
-                    .parquet(rejects_path)
-                )
-            finally:
-                batch.unpersist()
+        _store(batch, facts_path, project, rejects_path)
         done.append(batch_id)
 
     lines = stream_dump(
@@ -127,6 +132,6 @@ def ingest_stream(
         .start()
     )
     query.awaitTermination()
-    if not allow_empty:
+    if done and not allow_empty:
         _check_files(spark, dump_path, facts_path, glob, day_pattern)
     return len(done)
