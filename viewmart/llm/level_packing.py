@@ -12,7 +12,7 @@ padding. So no task sees the documents of another, nothing is shuffled, and a ta
 ``max_open`` windows at most.
 
 Ids are those of the ``tokenizers`` library. As this library spends most of its time on words it has seen
-before, texts are cut at spaces after a non-space, where the tokenizer of the file given always cuts
+before, texts are cut at spaces and newlines where a tokenizer with the byte-level pattern always cuts
 too, and each worker process keeps the ids of recent cuts in a table of bounded size.
 
 Defined results: null and empty texts are the end id alone; equal and repeated rows are packed each; an
@@ -35,8 +35,8 @@ WINDOW = 1024
 END_ID = 0
 #: Open windows that a task keeps before it closes them.
 MAX_OPEN = 4096
-#: Entries of a worker's table of known cuts, and the longest cut that is kept there.
-MAX_KNOWN, MAX_CUT = 400_000, 48
+#: Entries of a worker's table of known cuts (about 200 bytes each), and the longest cut kept there.
+MAX_KNOWN, MAX_CUT = 600_000, 48
 #: Characters encoded together.
 TOGETHER = 2_000_000
 
@@ -45,10 +45,20 @@ PIECES = (
     " offset bigint"
 )
 
-_UNSAFE = re.compile(r"\s ")
+_ADJACENT_BLANKS = re.compile(r"\s\s|\0")
 _CUTS = re.compile(r"(?<=\S)(?= )")
 
 
+def cuts_of(text: str) -> list[str]:
+    """The text cut where the tokenizer cuts too: before a space after a non-space, and around newlines.
+
+    Around newlines only where no blanks are side by side, as the tokenizer may take those together.
+    """
+    if _ADJACENT_BLANKS.search(text):
+        return _CUTS.split(text)
+    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes; the same as the tokenizer gives."""
 
@@ -57,40 +67,31 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # ids of " " + cut, and of cuts that begin a text without a space
-        self._inner: dict[str, bytes] = {}
-        self._first: dict[str, bytes] = {}
-
-    def _ids(self, cuts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(cuts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, known: dict[str, bytes], cuts: set[str], prefix: str) -> dict[str, bytes]:
-        """Ids of all ``cuts``; those that are short are kept."""
-        new = [c for c in cuts if c not in known]
-        got = dict(zip(new, self._ids([prefix + c for c in new])))
-        here = {c: known[c] for c in cuts if c not in got} | got
-        if len(known) + len(got) > MAX_KNOWN:
-            known.clear()
-        known.update((c, ids) for c, ids in got.items() if len(c) <= MAX_CUT)
-        return here
+        self._known: dict[str, bytes] = {}
+
+    def _learn(self, cuts: set[str]) -> dict[str, bytes]:
+        """Ids of ``cuts``; those that are short become known."""
+        new = list(cuts)
+        found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else []
+        got = {c: np.array(x.ids, "<u4").tobytes() for c, x in zip(new, found)}
+        self._known.update((c, ids) for c, ids in got.items() if len(c) <= MAX_CUT)
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
+        if len(self._known) > MAX_KNOWN:
+            self._known.clear()
+        known, missing, found = self._known.get, set(), []
         for text in texts:
-            parts = _CUTS.split(text) if _UNSAFE.search(text) else None
-            if parts is None:
-                first, *inner = text.split(" ")
-            else:
-                first, inner = parts[0], [p[1:] for p in parts[1:]]
-            if first.startswith(" "):
-                first, inner = None, [first[1:], *inner]
-            cut.append((first, inner))
-        inner_ids = self._learn(self._inner, {c for _, inner in cut for c in inner}, " ")
-        first_ids = self._learn(self._first, {first for first, _ in cut if first is not None}, "")
+            cuts = cuts_of(text)
+            ids = list(map(known, cuts))
+            lacks = None in ids
+            if lacks:
+                missing.update([c for c, x in zip(cuts, ids) if x is None])
+            found.append((cuts if lacks else None, ids))
+        more = self._learn(missing)
         return [
-            (b"" if first is None else first_ids[first]) + b"".join([inner_ids[c] for c in inner])
-            for first, inner in cut
+            b"".join(ids if cuts is None else [more[c] if x is None else x for c, x in zip(cuts, ids)])
+            for cuts, ids in found
         ]
 
 
