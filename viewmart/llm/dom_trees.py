@@ -7,10 +7,10 @@ hierarchical: over the whole tree, the most likely set of kept nodes is found in
 parent, so an article inside a dropped sidebar, or a kept footer with dropped lines, cannot come out of
 single guesses. The text of kept nodes is joined block by block.
 
-The trees are trained here. Pages carry no labels, so labelled pages are built from a sample of at most
-``TRAINING_PAGES`` pages: the blocks of each are taken apart by their semantic elements (article against nav, aside,
-footer, form and the like) and set again into several layouts with other elements and other names, whose
-parts are known. The sample is the only part that does not grow with the table; all pages are extracted whole,
+The trees are trained here, on a sample of at most ``TRAINING_PAGES`` pages. Pages carry no labels: those with one article or
+main element label themselves, and the blocks of each are also taken apart by their semantic elements (article
+against nav, aside, footer, form and the like) and set again into several layouts with other elements
+and other names, whose parts are known. The sample is the only part that does not grow with the table; all pages are extracted whole,
 where they lie, by trees of a fixed size.
 
 Defined results: null html is the empty page, with empty text; broken markup is read as browsers would
@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Pages of the training sample at most, and layouts that each is set into.
-TRAINING_PAGES, LAYOUTS = 150, 6
-TREES, DEPTH = 12, 5
+TRAINING_PAGES, LAYOUTS = 300, 4
+TREES, DEPTH = 20, 5
 #: Log odds that one node can have at most.
 SURE = 6.0
 #: Characters of pages looked at together.
@@ -115,7 +115,7 @@ class Page:
 
 
 def groups_of(tag: str, attributes: str) -> frozenset[int]:
-    names = [tag]
+    names = [] if tag in ("html", "body") else [tag]  # these hold everything
     if attributes:
         names += [a or b or c for _, a, b, c in _NAMES.findall(attributes)]
     return frozenset(GROUP_OF[w] for name in names for w in _WORDS.findall(name.lower()) if w in GROUP_OF)
@@ -323,6 +323,18 @@ def layouts(blocks: list[str], seed: int, number: int) -> Iterator[tuple[str, st
     def piece(tag: str, attributes: str, inner: str) -> str:
         return f"<{tag} {attributes}>{inner}</{tag}>"
 
+    def inline(text: str) -> str:
+        """The text with some inline markup, in part left open."""
+        words = html.escape(text).split(" ")
+        for opening in ("<b>", "<em>", '<a href="/z">', "<br>"):
+            if rng.random() < 0.2:
+                at = rng.randrange(len(words))
+                words[at] = opening + words[at]
+                if rng.random() < 0.7 and opening != "<br>":
+                    end = rng.randrange(at, min(len(words), at + 12))
+                    words[end] += "</" + opening[1:].split(" ")[0].rstrip(">") + ">"
+        return " ".join(words)
+
     def some(low: int, high: int) -> list[str]:
         return [html.escape(rng.choice(blocks)[: rng.choice([30, 80, 300, 1000])]) for _ in range(rng.randint(low, high))]
 
@@ -349,7 +361,7 @@ def layouts(blocks: list[str], seed: int, number: int) -> Iterator[tuple[str, st
         inside = rng.random() < 0.3
         for k, block in enumerate(rest):
             tag = "p" if rng.random() < 0.9 else rng.choice(["h2", "blockquote", "div", "li"])
-            body += piece(tag, "", html.escape(block))
+            body += piece(tag, "", inline(block))
             if inside and k == len(rest) // 2:
                 body += part(rng.choice(["advert", "side", "notice", "form"]))
         tag, attributes = rng.choice(MAIN)
@@ -390,6 +402,10 @@ def training_rows(sources: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ]
         if not blocks:
             continue
+        mains = [k for k, x in enumerate(page.nodes) if x.tag in ("article", "main")]
+        if len(mains) == 1:  # the page tells its own main part
+            rows.append(features(page))
+            labels.append(main_labels(page, mains[0]))
         for made, mark in layouts(blocks, seed, LAYOUTS):
             # the marker is found by its place, then the page is read without it
             before, _, after = made.partition(f' {mark}="1"')
