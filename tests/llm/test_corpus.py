@@ -17,8 +17,8 @@ SF = "/root/testdata/sf0.001"
 
 
 def docs_of(spark, rows):
-    schema = "doc_id bigint, text string, n bigint, key string, fold string"
-    return spark.createDataFrame([(*r, 5, "k", "f") for r in rows], schema).repartition(3)
+    schema = "doc_id bigint, text string, n bigint, key string, fold string, text_key int, component_id int, row int"
+    return spark.createDataFrame([(*r, 5, "k", "f", 1, 2, 3) for r in rows], schema).repartition(3)
 
 
 # --- Jaccard join --------------------------------------------------------------------------

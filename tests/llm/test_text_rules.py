@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from viewmart.llm import line_runs, quality_lines, secret_owners
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept int, line int"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept int, line int, removed int, lines int, text_key int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def table(spark, rows):
     """Documents from (doc_id, text, source), with two columns whose names operators use themselves."""
-    full = [(i, t, "en", s, None if t is None else len(t), 7, 8) for i, t, s in rows]
+    full = [(i, t, "en", s, None if t is None else len(t), 7, 8, 9, 10, 11) for i, t, s in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 

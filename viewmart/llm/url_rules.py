@@ -106,11 +106,11 @@ def mined_rules(
     )
     spark = pages.sparkSession
     none = spark.createDataFrame([], "key string, tokens array<string>, confidence double, support double")
-    # a token that is not in enough bad urls can be in no rule
     n = items.count()
     if n < min_pages:
         return none
     min_support = max(min_support, min_pages / n)
+    # without a token in enough bad urls there is no rule to mine
     frequent = (
         items.where(F.array_contains("items", BAD))
         .select(F.explode("items").alias("token"))
