@@ -6,8 +6,8 @@ A document that keeps too few of its words is depleted and rejected. A few rules
 (too short, repeating itself) come first.
 
 Copies of one document are no evidence that its lines are boilerplate. So documents that hold a line
-are told apart by their company: the least hash among the document's *other* lines. Exact copies
-agree in it, near copies mostly do, and unrelated documents do not.
+are told apart by their company: the opening words of the document's longest *other* line. Exact copies
+agree in it, near copies mostly do, and unrelated documents do not, whatever boilerplate they share.
 
 Only DataFrame functions are used. Text is never shuffled for the verdict: rows of line hashes
 are, after counts were joined per task.
@@ -34,6 +34,8 @@ MIN_SHARE_LEFT = 0.25
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
+#: Words of a line that tell documents apart.
+OPENING = 5
 
 
 def _text() -> Column:
@@ -104,15 +106,12 @@ def text_measures(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
-    return measured.select(
-        "doc_id",
-        "text_key",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        failed.alias("base_failed"),
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    measures = F.struct(*names, failed.alias("base_failed"))
+    # The explode of one struct keeps filters on the measures above it: moved below, they would compute each
+    # step as often as the next one names it.
+    return measured.select("doc_id", "text_key", F.explode(F.array(measures)).alias("m")).select(
+        "doc_id", "text_key", "m.*"
     )
 
 
@@ -125,8 +124,8 @@ def normalised(line: Column) -> Column:
 def document_lines(docs: DataFrame) -> DataFrame:
     """One row per line with a word: doc_id, text_key, source, line, line_hash, line_words, company.
 
-    ``line`` is the place among all lines of the text, from 0; ``company`` the least hash of the
-    document's other lines (empty if it has none).
+    ``line`` is the place among all lines of the text, from 0; ``company`` a hash of the first ``OPENING`` words
+    of the document's longest other line (of equally long ones the greatest; none if there is no other).
     """
     numbered = F.filter(
         F.transform(
@@ -141,30 +140,40 @@ def document_lines(docs: DataFrame) -> DataFrame:
             "rows",
             lambda s: F.struct(
                 s["i"].alias("i"),
-                F.md5(s["x"]).alias("hash"),
+                F.xxhash64(s["x"]).alias("hash"),
                 F.size(F.split(s["x"], " ")).cast("bigint").alias("words"),
+                s["x"].alias("x"),
             ),
         ),
     )
-    rows = rows.withColumn(
-        "least", F.slice(F.sort_array(F.array_distinct(F.col("rows.hash"))), 1, 2)
+    by_length = F.transform("rows", lambda s: F.struct(s["words"], s["x"], s["hash"]))
+    rows = rows.withColumn("by_length", by_length).withColumn("longest", F.array_max("by_length"))
+    others = F.filter("by_length", lambda s: s["hash"] != F.col("longest.hash"))
+    rows = rows.withColumn("longest", F.array(F.col("longest"), F.array_max(others))).drop("by_length")
+    longest = F.transform(
+        "longest",
+        lambda s: F.struct(
+            s["hash"].alias("hash"),
+            F.xxhash64(F.array_join(F.slice(F.split(s["x"], " "), 1, OPENING), " ")).alias("opening"),
+        ),
+    )
+    rows = rows.withColumn("longest", longest).withColumn(
+        "rows", F.transform("rows", lambda s: F.struct(s["i"].alias("i"), s["hash"].alias("hash"), s["words"].alias("words")))
     )
-    return rows.select(
-        "doc_id", "text_key", "source", "least", F.explode("rows").alias("row")
-    ).select(
+    # of an inner explode the optimizer derives a filter that computes the whole array once more
+    exploded = rows.select(
+        "doc_id", "text_key", "source", "longest", F.explode_outer("rows").alias("row")
+    ).where("row is not null")
+    first, second = F.get("longest", F.lit(0)), F.get("longest", F.lit(1))
+    company = F.when(F.col("row.hash") == first["hash"], second["opening"]).otherwise(first["opening"])
+    return exploded.select(
         "doc_id",
         "text_key",
         "source",
         F.col("row.i").alias("line"),
-        F.xxhash64("row.hash").alias("line_hash"),
+        F.col("row.hash").alias("line_hash"),
         F.col("row.words").alias("line_words"),
-        F.xxhash64(
-            F.coalesce(
-                F.when(F.col("row.hash") == F.get("least", F.lit(0)), F.get("least", F.lit(1)))
-                .otherwise(F.get("least", F.lit(0))),
-                F.lit(""),
-            )
-        ).alias("company"),
+        F.coalesce(company, F.lit(0)).alias("company"),
     )
 
 
@@ -244,13 +253,13 @@ def filtered(
     ``n_chars``, if there, is counted anew for texts that change.
     """
     verdict = judged(docs, max_documents, max_share).where("kept").select(
-        F.col("doc_id").alias("v_doc_id"), F.col("text_key").alias("v_text_key"), "removed"
-    ).dropDuplicates(["v_doc_id", "v_text_key"])
-    joined = docs.withColumn("v_key", F.xxhash64("text")).join(
+        F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__text_key"), F.col("removed").alias("__removed")
+    ).dropDuplicates(["__doc_id", "__text_key"])
+    joined = docs.withColumn("__key", F.xxhash64("text")).join(
         verdict,
-        F.col("doc_id").eqNullSafe(F.col("v_doc_id")) & (F.col("v_key") == F.col("v_text_key")),
+        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__text_key")),
     )
-    return without_lines(joined, "removed").select(docs.columns)
+    return without_lines(joined, "__removed").select(docs.columns)
 
 
 def without_lines(docs: DataFrame, numbers: str) -> DataFrame:

@@ -63,9 +63,11 @@ base as (
       '[0-9]+', '0', 'g'))) as norm
   from w left join rep using (r)),
 line as (select r, source, unnest(norm) as l, norm from base),
-met as (select r, source, l, len(string_split(l, ' ')) as words,
-  coalesce(list_min(list_transform(list_filter(norm, lambda x: x <> l), lambda x: md5(x))), '') as company
-  from line),
+other as (select r, source, l, len(string_split(l, ' ')) as words,
+  list_max(list_transform(list_filter(norm, lambda x: x <> l),
+    lambda x: {'n': len(string_split(x, ' ')), 'x': x})) as longest from line),
+met as (select r, source, l, words,
+  coalesce(array_to_string(string_split(longest.x, ' ')[1:5], ' '), '') as company from other),
 often as (
   select source, l from met group by source, l
   having count(distinct company) > 20 and count(distinct company) > 0.01 *
