@@ -39,7 +39,7 @@ from viewmart.llm.fragment_join import _MIX, _mixed
 
 #: Documents whose number modulo FOLDS is HELD_OUT are not learned from; DELETED are those that weights are learned on.
 FOLDS, HELD_OUT, DELETED = 7, 2, 5
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 1536
 #: Steps of an octave in the histogram of probabilities; EM rounds.
 STEPS, ROUNDS = 8, 60
 #: Step of a probability of zero.
@@ -109,6 +109,17 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(steps.reshape(-1).view(np.uint64), dtype=np.uint64)
 
 
+def _small(values: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest of them needs."""
+    most = values.max(initial=0)
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
 COUNTS = "part int, block bigint, kind int, keys binary, learned binary, deleted binary"
 
 
@@ -121,12 +132,12 @@ def block_counts(numbered: DataFrame, ranges: int) -> DataFrame:
         fold = np.repeat(np.array(folds), read.sizes)
         out: list[tuple] = []
         for kind, keys, at in ((1, read.uni, read.uni_at), (2, read.pairs, read.pairs_at)):
-            learned = np.bincount(at[fold != HELD_OUT], minlength=len(keys)).astype(np.uint32)
-            deleted = np.bincount(at[fold == DELETED], minlength=len(keys)).astype(np.uint32)
+            learned = np.bincount(at[fold != HELD_OUT], minlength=len(keys))
+            deleted = np.bincount(at[fold == DELETED], minlength=len(keys))
             borders = _ranges(keys, ranges)
             for part, (a, b) in enumerate(zip(borders[:-1], borders[1:])):
                 if a < b:
-                    out.append((part, block, kind, _pack(keys[a:b]), learned[a:b].tobytes(), deleted[a:b].tobytes()))
+                    out.append((part, block, kind, _pack(keys[a:b]), _small(learned[a:b]), _small(deleted[a:b])))
         columns = [
             pa.array([r[i] for r in out], kind)
             for i, kind in enumerate([pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()])
@@ -167,15 +178,15 @@ def totals(counts: DataFrame) -> DataFrame:
             distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
             summed = {}
             for name in ("learned", "deleted"):
-                flat = np.frombuffer(b"".join(of_kind[name]), np.uint32)
+                flat = np.concatenate([_wide(x) for x in of_kind[name]])
                 summed[name] = np.bincount(at, flat, len(distinct)).astype(np.int64)
             learned, kept = summed["learned"], summed["learned"] - summed["deleted"]
             if kind == 1:
                 sums = (learned.sum(), (learned > 0).sum(), kept.sum(), (kept > 0).sum())
                 out.append((-1, 0, 0, b"", b"", *map(int, sums)))
-            back = {name: np.split(x[at].astype(np.uint32), np.cumsum(sizes)[:-1]) for name, x in summed.items()}
+            back = {name: np.split(x[at], np.cumsum(sizes)[:-1]) for name, x in summed.items()}
             for block, part, a, b in zip(of_kind["block"], of_kind["part"], back["learned"], back["deleted"]):
-                out.append((block, part, kind, a.tobytes(), b.tobytes(), None, None, None, None))
+                out.append((block, part, kind, _small(a), _small(b), None, None, None, None))
         frame = pd.DataFrame(out, columns=names)
         return frame.astype({name: "Int64" for name in names[5:]})
 
@@ -188,16 +199,6 @@ DOCUMENTS = (
 )
 
 
-def _small(values: np.ndarray) -> bytes:
-    """Counts with a byte or two for most of them."""
-    kind = np.uint8 if values.max(initial=0) < 2**8 else np.uint16 if values.max(initial=0) < 2**16 else np.uint32
-    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
-
-
-def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]], offset=1).astype(np.int64)
-
-
 def bucket_of(context: np.ndarray) -> np.ndarray:
     """0 for contexts not seen, else 1 + floor(log2(count))."""
     return np.where(context > 0, np.frexp(np.maximum(context, 1))[1], 0)
@@ -233,10 +234,10 @@ def counted(numbered: DataFrame, summed: DataFrame, size: Size) -> DataFrame:
         for number, keys, at in ((1, read.uni, read.uni_at), (2, read.pairs, read.pairs_at)):
             rows = back[back["kind"] == number].sort_values("part")
             for name in ("learned", "deleted"):
-                values = np.frombuffer(b"".join(rows[name]), np.uint32)
+                values = np.concatenate([_wide(x) for x in rows[name]])
                 if len(values) != len(keys):
                     raise ValueError("a block of documents changed between two reads; cut its lineage first")
-                got[number, name] = values[at].astype(np.int64)
+                got[number, name] = values[at]
         words, pairs = got[1, "learned"], got[2, "learned"]
         ends = np.cumsum(read.sizes)
         starts = ends - read.sizes
