@@ -30,11 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pages of the training sample at most, and layouts that each is set into.
-TRAINING_PAGES, LAYOUTS = 300, 4
+TRAINING_PAGES, LAYOUTS = 200, 4
 TREES, DEPTH = 20, 5
 #: Log odds that one node can have at most.
 SURE = 6.0
@@ -451,13 +451,11 @@ class Trees:
 def fitted(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> Trees | None:
     """Trees trained on layouts of a sample of pages; None if there is nothing to learn from."""
     spark = pages.sparkSession
-    sample = (
-        pages.where("html is not null")
-        .select("html", F.xxhash64("html").alias("order"))
-        .orderBy("order")
-        .limit(training_pages)
-        .collect()
-    )
+    # the pages of the least hashes; only these pages leave the executors
+    hashed = pages.where("html is not null").select("html", F.xxhash64("html").alias("order"))
+    least = hashed.select("order").distinct().orderBy("order").limit(training_pages)
+    last = least.agg(F.max("order").alias("last")).first()["last"]
+    sample = hashed.where(F.col("order") <= F.lit(last).cast("bigint")).limit(training_pages).collect()
     rows, labels = training_rows([r["html"] for r in sample])
     if len(set(labels.tolist())) < 2:
         return None
