@@ -26,12 +26,13 @@ gives no rows; other columns of the input are kept by ``deduplicated`` and ignor
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewmart.llm.common import SPACES, materialised
+from viewmart.llm.common import materialised, words
 from viewmart.llm.quality_lines import without_lines
 
 #: Words that a repeated run must hold to be deleted.
@@ -66,34 +67,41 @@ def _reach(start: Column, limit: int, step: int) -> Column:
     )
 
 
-def sequence_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per line with a word: the document's key, pos, line, words, a, b, ahead, back.
-
-    ``pos`` is the place in the sequence, ``line`` among all lines of the text; (a, b) is the line's
-    hash; ``ahead`` and ``back`` are the lines that the window of ``min_words`` words takes from here.
-    """
+def _hashed_lines(docs: DataFrame, *more: Callable[[Column], Column]) -> DataFrame:
+    """The document's key and found: an array of the lines with a word as (line, a, b, further fields)."""
     found = F.filter(
         F.transform(
             F.split(F.coalesce("text", F.lit("")), "\n"),
-            lambda x, i: F.struct(
-                i.alias("line"), x.alias("x"), F.trim(F.regexp_replace(x, SPACES, " ")).alias("spaced")
-            ),
+            lambda x, i: F.struct(i.alias("line"), x.alias("x")),
         ),
-        lambda s: s["spaced"] != "",
+        lambda s: s["x"].rlike(r"[^\x20\x09-\x0D]"),
     )
-    rows = docs.select(*_keyed(docs), found.alias("found"))
-    rows = rows.withColumn(
-        "found",
-        F.transform(
-            "found",
-            lambda s: F.struct(
-                s["line"].alias("line"),
-                F.size(F.split(s["spaced"], " ")).cast("bigint").alias("words"),
-                F.xxhash64(s["x"]).alias("a"),
-                F.xxhash64(F.lit(10), s["x"]).alias("b"),
-            ),
-        ),
+    fields = lambda s: F.struct(
+        s["line"].alias("line"),
+        F.xxhash64(s["x"]).alias("a"),
+        F.xxhash64(F.lit(10), s["x"]).alias("b"),
+        *[field(s["x"]) for field in more],
     )
+    return docs.select(*_keyed(docs), F.transform(found, fields).alias("found"))
+
+
+def line_hashes(docs: DataFrame) -> DataFrame:
+    """a, b of every line with a word."""
+    return (
+        _hashed_lines(docs)
+        .select(F.explode_outer("found").alias("s"))
+        .where("s is not null")
+        .select("s.a", "s.b")
+    )
+
+
+def sequence_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per line with a word: the document's key, pos, line, words, a, b, ahead, back.
+
+    ``pos`` is the place in the sequence, ``line`` among all lines of the text; (a, b) is the line's
+    hash; ``ahead`` and ``back`` are the lines that the window of ``min_words`` words takes from here.
+    """
+    rows = _hashed_lines(docs, lambda x: F.size(words(x)).cast("bigint").alias("words"))
     rows = rows.withColumn(
         "found",
         F.transform(
@@ -136,7 +144,7 @@ def suffix_ranks(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame
     ends before.
     """
     lines = sequence_lines(docs, min_words)
-    first = _ranked(lines.select("a", "b"), ["a", "b"], "r0")
+    first = _ranked(line_hashes(docs), ["a", "b"], "r0")
     # a repeated row of the input repeats its lines: they count once
     suffixes = materialised(
         lines.join(first, ["a", "b"])
@@ -228,14 +236,14 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Documents that lose every line with a word are left out; all columns are kept.
     """
     copies = later_copies(docs, min_words).select(
-        F.col("doc_id").alias("c_doc_id"), F.col("text_key").alias("c_text_key"), F.col("lines").alias("c_lines")
+        F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__text_key"), F.col("lines").alias("__lines")
     )
-    joined = docs.withColumn("c_key", F.xxhash64("text")).join(
+    joined = docs.withColumn("__key", F.xxhash64("text")).join(
         copies,
-        F.col("doc_id").eqNullSafe(F.col("c_doc_id")) & (F.col("c_key") == F.col("c_text_key")),
+        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__text_key")),
         "left",
     )
-    emptied = F.col("c_lines").isNotNull() & ~F.coalesce(
+    emptied = F.col("__lines").isNotNull() & ~F.coalesce(
         F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)
     )
-    return without_lines(joined, "c_lines").where(~emptied).select(docs.columns)
+    return without_lines(joined, "__lines").where(~emptied).select(docs.columns)
