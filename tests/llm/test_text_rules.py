@@ -77,6 +77,26 @@ def test_boilerplate_is_counted_by_host_and_copies_count_once(spark):
     assert kept[3].line == 8 and kept[3].kept == 7
 
 
+def test_documents_are_told_apart_by_their_whole_text(spark):
+    menu = "Home About Contact"
+    notice = " ".join(["notice"] + [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(59)])
+    # letters, as numbers are one in normalised lines
+    own = lambda i: f"body {'x' * (i + 1)} " + " ".join(f"part{chr(97 + k)}" for k in range(18))
+    rows = [(i, f"{menu}\n{notice}\n{own(i)}", "a") for i in range(30)]
+    rows += [(100 + i, f"{menu}\n{notice}", "a") for i in range(5)]
+    # copies are one document: 15 documents hold this menu, in 45 rows
+    rows += [(200 + i, f"News Sport\n{own(i % 15)}", "b") for i in range(45)]
+    # 25 of the host's 26 documents; the 3,000 copies of one count once for the host's share too
+    rows += [(300 + i, f"Shop Cart\n{own(i)}", "c") for i in range(25)]
+    rows += [(400 + i, "one page that was copied very many times by the host itself", "c") for i in range(3000)]
+    out = {r.doc_id: r for r in quality_lines.judged(table(spark, rows), max_documents=20).collect()}
+    assert all(out[i].removed == [0, 1] for i in range(30))
+    assert all(out[100 + i].removed == [0, 1] and not out[100 + i].kept for i in range(5))
+    assert all(out[200 + i].removed is None and out[200 + i].kept for i in range(45))
+    assert all(out[300 + i].removed == [0] and out[300 + i].kept for i in range(25))
+    assert all(out[400 + i].removed is None and out[400 + i].kept for i in range(3000))
+
+
 def test_quality_of_odd_rows_and_empty_tables(spark):
     out = quality_lines.judged(table(spark, ODD))
     assert out.count() == len(ODD)

@@ -5,9 +5,9 @@ counted. A line in more documents than the limits allow is boilerplate of that h
 A document that keeps too few of its words is depleted and rejected. A few rules on single texts
 (too short, repeating itself) come first.
 
-Copies of one document are no evidence that its lines are boilerplate. So documents that hold a line
-are told apart by their company: the opening words of the document's longest *other* line. Exact copies
-agree in it, near copies mostly do, and unrelated documents do not, whatever boilerplate they share.
+Copies of one document are no evidence that its lines are boilerplate. So documents are told apart by the
+hash of their whole text, for the count of a line and for the count of its host alike: copies are one
+document, and documents that differ anywhere are two, whatever lines they share.
 
 Only DataFrame functions are used. Text is never shuffled for the verdict: rows of line hashes
 are, after counts were joined per task.
@@ -34,8 +34,6 @@ MIN_SHARE_LEFT = 0.25
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
-#: Words of a line that tell documents apart.
-OPENING = 5
 
 
 def _text() -> Column:
@@ -122,10 +120,9 @@ def normalised(line: Column) -> Column:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: doc_id, text_key, source, line, line_hash, line_words, company.
+    """One row per line with a word: doc_id, text_key, source, line, line_hash, line_words.
 
-    ``line`` is the place among all lines of the text, from 0; ``company`` a hash of the first ``OPENING`` words
-    of the document's longest other line (of equally long ones the greatest; none if there is no other).
+    ``line`` is the place among all lines of the text, from 0.
     """
     numbered = F.filter(
         F.transform(
@@ -142,30 +139,13 @@ def document_lines(docs: DataFrame) -> DataFrame:
                 s["i"].alias("i"),
                 F.xxhash64(s["x"]).alias("hash"),
                 F.size(F.split(s["x"], " ")).cast("bigint").alias("words"),
-                s["x"].alias("x"),
             ),
         ),
     )
-    by_length = F.transform("rows", lambda s: F.struct(s["words"], s["x"], s["hash"]))
-    rows = rows.withColumn("by_length", by_length).withColumn("longest", F.array_max("by_length"))
-    others = F.filter("by_length", lambda s: s["hash"] != F.col("longest.hash"))
-    rows = rows.withColumn("longest", F.array(F.col("longest"), F.array_max(others))).drop("by_length")
-    longest = F.transform(
-        "longest",
-        lambda s: F.struct(
-            s["hash"].alias("hash"),
-            F.xxhash64(F.array_join(F.slice(F.split(s["x"], " "), 1, OPENING), " ")).alias("opening"),
-        ),
-    )
-    rows = rows.withColumn("longest", longest).withColumn(
-        "rows", F.transform("rows", lambda s: F.struct(s["i"].alias("i"), s["hash"].alias("hash"), s["words"].alias("words")))
-    )
     # of an inner explode the optimizer derives a filter that computes the whole array once more
     exploded = rows.select(
-        "doc_id", "text_key", "source", "longest", F.explode_outer("rows").alias("row")
+        "doc_id", "text_key", "source", F.explode_outer("rows").alias("row")
     ).where("row is not null")
-    first, second = F.get("longest", F.lit(0)), F.get("longest", F.lit(1))
-    company = F.when(F.col("row.hash") == first["hash"], second["opening"]).otherwise(first["opening"])
     return exploded.select(
         "doc_id",
         "text_key",
@@ -173,7 +153,6 @@ def document_lines(docs: DataFrame) -> DataFrame:
         F.col("row.i").alias("line"),
         F.col("row.hash").alias("line_hash"),
         F.col("row.words").alias("line_words"),
-        F.coalesce(company, F.lit(0)).alias("company"),
     )
 
 
@@ -181,11 +160,11 @@ def boilerplate_lines(
     docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_share: float = MAX_SHARE
 ) -> DataFrame:
     """source, line_hash, documents of the lines that more documents of a host hold than allowed."""
-    hosts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("host_documents"))
+    hosts = docs.groupBy("source").agg(F.count_distinct(F.xxhash64("text")).alias("host_documents"))
     counted = (
         document_lines(docs)
         .groupBy("source", "line_hash")
-        .agg(F.count_distinct("company").alias("documents"))
+        .agg(F.count_distinct("text_key").alias("documents"))
         .where(F.col("documents") > max_documents)
     )
     return (
