@@ -288,6 +288,30 @@ def test_mined_rules_find_a_planted_combination(spark):
     assert url_rules.mined_rules(pages, labels.where("false")).count() == 0
 
 
+def hosts_judged(spark, hosts):
+    """Verdicts by host of pages from (host, bad pages, good pages)."""
+    rows = [(h, b) for h, bad, good in hosts for b in [1] * bad + [0] * good]
+    pages = pages_of(spark, [f"http://{h}/p/{k}" for k, (h, _) in enumerate(rows)])
+    labels = spark.createDataFrame([(k, 1 - b, 0) for k, (_, b) in enumerate(rows)], "doc_id bigint, quality int, toxic int")
+    out = {}
+    for r in url_rules.judged(pages, url_rules.mined_rules(pages, labels)).collect():
+        out.setdefault(r.host, set()).add(r.verdict)
+    return out
+
+
+def test_a_rare_bad_host_is_found_among_many_pages(spark):
+    good = [(f"good{chr(97 + k)}.com", 20, 480) for k in range(20)]
+    out = hosts_judged(spark, [*good, ("spam.com", 20, 0), ("few.com", 19, 0)])
+    assert out.pop("spam.com") == {"block"}
+    assert set(map(frozenset, out.values())) == {frozenset({"allow"})}
+
+
+def test_a_bad_majority_leaves_rules_to_mine(spark):
+    out = hosts_judged(spark, [("hot.com", 1600, 0), ("mixed.com", 150, 50), ("good.com", 10, 190), ("bad.com", 60, 0)])
+    assert out == {"hot.com": {"block"}, "mixed.com": {"allow"}, "good.com": {"allow"}, "bad.com": {"block"}}
+    assert hosts_judged(spark, [("a.com", 40, 0), ("b.com", 40, 0)]) == {"a.com": {"allow"}, "b.com": {"allow"}}
+
+
 def test_rules_match_as_all_rules_tested(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     tokens = {r.url: set(r.t) for r in pages.select("url", url_rules.tokens_of(F.col("url")).alias("t")).collect()}

@@ -2,9 +2,10 @@
 
 A url becomes a set of tokens: scheme, every suffix of the host, words of the host, segments of the path (numbers as
 one), file ending, names of the query and the fragment. FP-growth mines the token combinations that often
-stand together with a bad label (quality 0 or toxic 1 of the row of ``labels`` with the page's number);
-rules below the support, confidence or lift asked for are pruned, and so are rules that a part of their
-tokens already gives. Rules are indexed by their rarest token: a url looks up the rules of its own tokens and
+stand together with a bad label (quality 0 or toxic 1 of the row of ``labels`` with the page's number). A rule
+needs a fixed number of bad pages, however many pages there are, a confidence, and odds of a bad page well above
+those of all labelled pages: so many times as high, with the lower bound of the confidence above the base rate.
+Both can be reached at every base rate below 1. Rules that a part of their tokens already gives are pruned. Rules are indexed by their rarest token: a url looks up the rules of its own tokens and
 is tested against these alone.
 
 A list of host and path rules comes first: a rule fits its host and all subdomains if the url's path starts
@@ -12,7 +13,8 @@ with the rule's; the longest wins. Mined rules judge the urls that no listed rul
 
 Defined results: a null url, or one without ``://``, has an empty host and path and no tokens, so it is
 allowed; pages without labels are judged but not learned from; null labels are not bad; repeated rows are
-judged each; without labelled pages nothing is mined; an empty table gives no rows; other columns are ignored.
+judged each; without labelled pages, or when all are bad, nothing is mined; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +30,10 @@ LISTED = [
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 ]
-#: Share and number of labelled pages, confidence and lift that a mined rule needs.
-MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE, MIN_LIFT = 0.005, 20, 0.6, 1.5
+#: Bad pages, confidence and odds ratio (to all labelled pages) that a mined rule needs.
+MIN_PAGES, MIN_CONFIDENCE, MIN_ODDS = 20, 0.6, 2.25
+#: Standard deviations of the one-sided bound (Wilson's) of the confidence.
+BOUND = 2.0
 
 BAD = "label=bad"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -90,9 +94,8 @@ def tokens_of(url: Column) -> Column:
 def mined_rules(
     pages: DataFrame,
     labels: DataFrame,
-    min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    min_lift: float = MIN_LIFT,
+    min_odds: float = MIN_ODDS,
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """key, tokens, confidence, support of the token combinations that tell bad urls; key is the rarest token."""
@@ -106,23 +109,31 @@ def mined_rules(
     )
     spark = pages.sparkSession
     none = spark.createDataFrame([], "key string, tokens array<string>, confidence double, support double")
-    n = items.count()
-    if n < min_pages:
+    n, n_bad = items.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
+    if n_bad < min_pages or n_bad == n:
         return none
-    min_support = max(min_support, min_pages / n)
     # without a token in enough bad urls there is no rule to mine
     frequent = (
         items.where(F.array_contains("items", BAD))
         .select(F.explode("items").alias("token"))
+        .where(F.col("token") != BAD)
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= min_support * n)
+        .where(F.col("n") >= min_pages)
     )
     if frequent.isEmpty():
         return none
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    # half a page less: FP-growth rounds share times n up
+    model = FPGrowth(itemsCol="items", minSupport=(min_pages - 0.5) / n, minConfidence=min_confidence).fit(items)
+    base, sure = n_bad / n, F.col("confidence")
+    held = F.col("support") * n / sure
+    square = BOUND * BOUND / held
+    bound = (sure + square / 2 - BOUND * F.sqrt(sure * (1 - sure) / held + square / held / 4)) / (1 + square)
     rules = model.associationRules.where(
-        (F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= min_lift)
+        (F.size("consequent") == 1)
+        & (F.col("consequent")[0] == BAD)
+        & (sure * (1 - base) >= min_odds * base * (1 - sure))
+        & (bound > base)
     ).select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
     single = model.freqItemsets.where(F.size("items") == 1).select(
         F.col("items")[0].alias("token"), F.col("freq").alias("n")
