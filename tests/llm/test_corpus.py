@@ -174,6 +174,30 @@ def test_leaks_by_shards_and_odd_rows(spark):
     assert wand_decontamination.decontaminated(frame, bench_of(spark, [])).count() == len(docs)
 
 
+def test_copies_with_a_changed_or_missing_last_sentence_leak(spark):
+    question = " ".join(f"q{k}" for k in range(24)) + "."
+    short, four = "The answer word.", "One two three four."
+    long = " ".join(f"a{k}" for k in range(12)) + "."
+    single = " ".join(f"s{k}" for k in range(16))  # its last quarter is the answer
+    items = [(1, f"{question} {short}"), (2, f"{question.replace('q', 'r')} {four}"), (3, f"{question.replace('q', 't')} {long}"), (4, single)]
+    pad = " ".join(f"p{k}" for k in range(80))
+    docs = {
+        "changed": f"{question} The other word.",
+        "cut": question,
+        "middle": f"{question.replace('q', 'r')} One two five four.",
+        "single": " ".join(single.split()[:13]),
+        "question of a long answer": question.replace("q", "t"),
+        "half": " ".join(question.split()[:14]),
+        "answer": short,
+    }
+    frame = docs_of(spark, [(k, f"{pad} {text} {pad}") for k, text in enumerate(docs.values())])
+    names = list(docs)
+    got = {(names[r.doc_id], r.item_id) for r in wand_decontamination.leaks(frame, bench_of(spark, items)).collect()}
+    assert got == {("changed", 1), ("cut", 1), ("middle", 2), ("single", 4)}
+    kept = {names[r.doc_id] for r in wand_decontamination.decontaminated(frame, bench_of(spark, items)).collect()}
+    assert kept == {"question of a long answer", "half", "answer"}
+
+
 # --- language model ------------------------------------------------------------------------
 
 

@@ -7,7 +7,9 @@ Every document is cut into overlapping passages, two of the longest item long an
 of an item lies in one passage whole. For each passage the greatest impacts of its terms are added per
 block: a block whose sum stays under the threshold can hold no item above it and is skipped, the
 others are scored item by item. Nothing above the threshold is missed. A hit counts as a leak when
-enough of the word sequences of the item's question and of its answer occur in the passage.
+enough of the word sequences of the item's question and of its answer occur in the passage. Of an answer of
+few sequences one changed word takes away more than half; there it is also a leak when enough of the sequences
+of the whole item occur, in which the answer weighs by its length, so that edited and cut copies are found.
 
 Items are collected in index shards of bounded size (``SHARD_CHARS`` of item text), each read over all
 documents, so any number of items can be handled with bounded memory; usual benchmarks are one
@@ -41,6 +43,8 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 #: Shares of the word sequences of question and answer that make a leak, and their length.
 QUESTION_SHARE, ANSWER_SHARE, SEQUENCE = 0.6, 0.5, 3
+#: An answer of fewer sequences is judged with its question too: a changed word is in up to ``SEQUENCE`` of them.
+FEW = math.ceil(SEQUENCE / ANSWER_SHARE)
 #: Items of a block.
 BLOCK = 8
 #: Characters of item text in one index.
@@ -86,6 +90,13 @@ def overlap(part: list[bytes], passage: list[bytes]) -> float:
     return len(wanted & held) / len(wanted)
 
 
+def is_leak(question: list[bytes], answer: list[bytes], passage: list[bytes], shares: tuple[float, float]) -> bool:
+    """``shares`` are those of question and answer in the passage."""
+    if shares[0] >= QUESTION_SHARE and shares[1] >= ANSWER_SHARE:
+        return True
+    return len(sequences(answer)) < FEW and overlap(question + answer, passage) >= QUESTION_SHARE
+
+
 @dataclass
 class Index:
     """Postings of a shard. Term 0 is none; items are padded to whole blocks."""
@@ -206,7 +217,7 @@ def hits(index: Index, texts: list[str], threshold: float = THRESHOLD) -> list[t
         words = words_of[number][start:end]
         question = overlap(index.questions[item_no], words)
         answer = overlap(index.answers[item_no], words)
-        if question >= QUESTION_SHARE and answer >= ANSWER_SHARE:
+        if is_leak(index.questions[item_no], index.answers[item_no], words, (question, answer)):
             key = (number, item_no)
             found[key] = max(found.get(key, (0.0, 0.0, 0.0)), (score, question, answer))
     return [(*key, *value) for key, value in found.items()]
