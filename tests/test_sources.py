@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import viewmart as vm
 from viewmart.functions.storage import scratch_folder
+from viewmart.queries import QUERIES
 
 
 def test_asset_round_trips(spark, tmp_path):
@@ -149,3 +150,21 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = (scratch_folder(spark, "x") for _ in range(2))
     assert first.startswith(f"{shared}/viewmart/x-") and first != second
+
+
+def test_files_of_single_rows_are_written_by_their_tasks(spark, tmp_path, monkeypatch):
+    def one_value(*_):
+        raise AssertionError("a value passed through the driver")
+
+    monkeypatch.setattr("viewmart.sources.assets.storage.write_bytes", one_value)
+    rows = [(f"f{k}", bytes([k % 256, 10, 0]) * k) for k in range(1, 51)]
+    frame = spark.createDataFrame(rows, "name string, content binary").repartition(4)
+    for _ in range(2):  # the second write replaces the first
+        vm.write_files(frame, str(tmp_path), "many")
+        got = vm.read_asset(spark, str(tmp_path), "many", "binary").collect()
+        assert sorted((r.path.rsplit("/", 1)[1], bytes(r.content)) for r in got) == sorted(rows)
+    assert QUERIES["asset_document"](spark, "/root/testdata/sf0.001").count() and QUERIES["asset_binary"](spark, "/root/testdata/sf0.001").count() == 1
+    with pytest.raises(ValueError, match="not unique"):
+        vm.write_files(frame.withColumn("name", F.lit("same")), str(tmp_path), "twice")
+    with pytest.raises(ValueError, match="mounted"):
+        vm.write_files(frame, "hdfs://host/x", "far")

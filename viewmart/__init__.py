@@ -37,6 +37,7 @@ from viewmart.sources.assets import (
     read_asset,
     register_assets,
     write_asset,
+    write_files,
 )
 from viewmart.sources.dumps import (
     dump_facts,

@@ -5,6 +5,7 @@ Facts are made from ``lineitem`` (ship day, part, quantity) and ``events`` (day,
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1034,25 +1035,32 @@ def asset_exists(spark, sf_dir):
 
 @query("select md5(string_agg(text, '' order by item_id)) as content, sum(strlen(text))::bigint as length from benchmark")
 def asset_binary(spark, sf_dir):
-    """Bytes out and in as one file."""
+    """Bytes out and in, one file per item; the digest reads them in turn."""
     base = scratch_folder(spark, "assets")
-    docs = table(spark, sf_dir, "benchmark").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "text"))), lambda s: s["text"]), "")
-        .cast("binary")
-        .alias("content")
-    )
-    vm.write_asset(docs, base, "texts", "binary")
-    return vm.read_asset(spark, base, "texts", "binary").select(F.md5("content").alias("content"), "length")
+    name = F.concat(F.lit("item-"), F.col("item_id").cast("string"))
+    items = table(spark, sf_dir, "benchmark").select(name.alias("name"), F.col("text").cast("binary").alias("content"))
+    vm.write_files(items, base, "texts")
+    files = vm.read_asset(spark, base, "texts", "binary")
+    number = F.regexp_extract("path", "item-(-?[0-9]+)$", 1).cast("bigint")
+    digest, length = hashlib.md5(), 0
+    for row in files.select(number.alias("number"), "content").orderBy("number").toLocalIterator():
+        digest.update(row.content)
+        length += len(row.content)
+    return spark.createDataFrame([(digest.hexdigest(), length)], "content string, length bigint")
 
 
 @query("select p_partkey, p_name from part")
 def asset_document(spark, sf_dir):
-    """One JSON document that holds an array of all rows."""
+    """JSON documents of at most a thousand rows, each an array of the rows of a range of keys."""
     base = scratch_folder(spark, "assets")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    document = part.agg(F.to_json(F.collect_list(F.struct("p_partkey", "p_name"))).cast("binary").alias("content"))
-    vm.write_asset(document, base, "parts", "binary", extension="json")
-    return vm.read_asset(spark, base, "parts", "json", schema=part.schema)
+    bucket = F.floor(F.col("p_partkey") / 1000)
+    documents = part.groupBy(bucket.alias("bucket")).agg(
+        F.to_json(F.collect_list(F.struct("p_partkey", "p_name"))).alias("content")
+    )
+    name = F.concat(F.lit("part-"), F.col("bucket").cast("string"))
+    vm.write_files(documents.select(name.alias("name"), "content"), base, "parts", extension="json")
+    return vm.read_asset(spark, base, "parts", "json", schema=part.schema, multiLine=True)
 
 
 # --- dimension sync ------------------------------------------------------------------------
