@@ -126,7 +126,7 @@ def top_pages_wide(spark, sf_dir):
     join {ranked(LINE_FACTS, 100)} t on p.page_id = t.page_id""")
 def restrict_to_top(spark, sf_dir):
     facts = line_facts(spark, sf_dir)
-    return vm.restrict_to_top(facts, vm.top_pages(facts, 100), top_rows=100)
+    return vm.restrict_to_top(facts, vm.top_pages(facts, 100))
 
 
 @query(f"""select substr(date, 1, 7) as month, page_id, entity, sum(views)::bigint as views
