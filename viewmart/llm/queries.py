@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from viewmart.llm import (
     chat_grammar,
+    cover_tree_codes,
     deleted_interpolation,
     dom_trees,
+    filter_diagrams,
     fragment_join,
     level_packing,
     line_runs,
@@ -19,6 +21,7 @@ from viewmart.llm import (
     secret_owners,
     url_rules,
     wand_decontamination,
+    zstd_quality,
 )
 from viewmart.llm.common import table, tokenizer_path
 
@@ -317,6 +320,98 @@ def op8_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interpolation.scored(table(spark, sf_dir, "documents"))
 
 
+# --- 11: quality classifier ----------------------------------------------------------------
+
+
+@query()
+def op11_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by two compression dictionaries."""
+    return zstd_quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# --- 12: vector code compression -----------------------------------------------------------
+
+
+def _codes_sql() -> str:
+    """The rounds as one common table expression after another."""
+    parts, entries = cover_tree_codes.PARTS, cover_tree_codes.ENTRIES
+    assign = """n{k} as materialized (select p.r, p.part, x, arg_min(entry, (d, entry)) as entry, min(d) as d
+    from (select r, p.part, x, entry, list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) ** 2))::bigint as d
+      from p join e{k} on p.part = e{k}.part) p group by all)"""
+    move = """m{k} as (select part, entry, list(floor(s / n)::bigint order by i) as y
+    from (select part, entry, i, sum(x[i])::double as s, count(*) as n
+      from n{k}, unnest(range(1, len(x) + 1)) as u(i) group by part, entry, i) group by part, entry),
+  e{next} as materialized (select part, entry, coalesce(m{k}.y, e{k}.y) as y
+    from e{k} left join m{k} using (part, entry))"""
+    steps = []
+    for k in range(cover_tree_codes.ROUNDS):
+        steps += [assign.format(k=k), move.format(k=k, next=k + 1)]
+    last = cover_tree_codes.ROUNDS
+    steps.append(assign.format(k=last))
+    return f"""
+with v as materialized (select row_number() over () as r, vec_id, label::bigint as label,
+    list_transform(embedding, lambda x: floor({cover_tree_codes.SCALE} * x::double)::bigint) as c
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  p as materialized (select r, vec_id, part, c[part * len(c) // {parts} + 1:(part + 1) * len(c) // {parts}] as x
+    from v, unnest(range({parts})) as u(part)),
+  e0 as materialized (select part, row_number() over (partition by part order by vec_id) - 1 as entry, x as y
+    from p where vec_id in (select vec_id from v order by vec_id limit {entries})),
+  {", ".join(steps)},
+  c as (select r, string_agg(printf('%02x', entry::int), '' order by part) as code, sum(d)::bigint as error
+    from n{last} group by r),
+  s as (select sha256(string_agg(t, ',' order by part, entry)) as codebooks_sha256
+    from (select part, entry, array_to_string(y, ',') as t from e{last}))
+select vec_id, label, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from v join c using (r), s
+"""
+
+
+@query(_codes_sql())
+def op12_cover_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, by codebooks of six rounds."""
+    return cover_tree_codes.coded(table(spark, sf_dir, "embeddings"))
+
+
+# --- 13: filter interaction audit ----------------------------------------------------------
+
+FILTERS_SQL = r"""
+with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as body from documents),
+w as (select *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') as words,
+    min(doc_id) over (partition by body) as first from d),
+l as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+m as (select part, [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+    100 * length(regexp_replace(body, '[^A-Z]+', '', 'g')) > 5 * length(body),
+    regexp_matches(body, '[#$%&*|]'), coalesce(w.doc_id > first, false)] as fails, good, toxic
+  from w left join l on w.doc_id = l.doc_id),
+cells as materialized (select part, fails, count(*) as n, count(*) filter (good) as good,
+    count(*) filter (toxic) as toxic from m group by part, fails),
+f as (select unnest(range(1, 6)) as f),
+orders as (select [a.f, b.f, c.f, d.f, e.f] as o from f a, f b, f c, f d, f e
+  where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+placed as (select part, o, step, o[step] as own, n, good, toxic, fails,
+    len(list_filter(o[1:step - 1], lambda x: fails[x])) > 0 as gone
+  from cells, orders, unnest(range(1, 6)) as u(step)),
+steps as (select part, o, step, own, coalesce(sum(n) filter (not gone and not fails[own]), 0)::bigint as kept,
+    coalesce(sum(n) filter (not gone and fails[own]), 0)::bigint as removed,
+    coalesce(sum(n) filter (gone and fails[own]), 0)::bigint as redundant,
+    coalesce(sum(n) filter (fails[own] and len(list_filter(fails, lambda x: x)) = 1), 0)::bigint as unique_fails,
+    coalesce(sum(good) filter (not gone and fails[own]), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (not gone and fails[own]), 0)::bigint as toxic_lost
+  from placed group by part, o, step, own)
+select part, array_to_string(list_transform(o, lambda x: 'ABCDE'[x]), '') as filter_order, step::int as step,
+  kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, own))::bigint as shapley
+from steps
+"""
+
+
+@query(FILTERS_SQL)
+def op13_filter_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of all orders of five filters in every part."""
+    return filter_diagrams.steps_by_order(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # --- the pipeline --------------------------------------------------------------------------
 
 
