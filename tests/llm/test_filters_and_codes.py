@@ -10,7 +10,6 @@ from collections import Counter
 import numpy as np
 import pytest
 import zstandard
-from pyspark.sql import functions as F
 
 from viewmart.llm import cover_tree_codes as codes
 from viewmart.llm import filter_diagrams as diagrams
@@ -271,8 +270,7 @@ def test_sizes_scores_and_folds(spark):
     known = zstd_quality.learning_labels(marks)
     ids = {r.l_id for r in known.collect()}
     assert ids == {i for i, _, _ in labels if i not in (None, 1, 3) and zlib.crc32(str(i).encode()) % 5}
-    texts = docs.select("doc_id", "text").join(known.where(zstd_quality.makes_dictionaries(F.col("l_id"))), F.col("doc_id") == F.col("l_id"))
-    made = zstd_quality.dictionaries(texts.select("quality", F.coalesce("text", F.lit("")).alias("text")))
+    made = zstd_quality.dictionaries(zstd_quality.sampled_texts(docs.select("doc_id", "text"), known))
     found = zstd_quality.scored(docs, marks).collect()
     assert len(found) == len(rows)
     sizes = {}
@@ -296,6 +294,20 @@ def test_sizes_scores_and_folds(spark):
     assert Counter(map(tuple, again)) == Counter(map(tuple, found))
 
 
+def test_the_sample_is_bounded(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(400)), "s") for i in range(300)]
+    rows += [(i % 7, "same text " * 200, "s") for i in range(500)] + [(400, "long " * 50_000, "s"), (401, "", "s")]
+    labels = [(i, i % 3 and 1, 0) for i in range(402)]
+    docs, known = docs_of(spark, rows).select("doc_id", "text"), zstd_quality.learning_labels(labels_of(spark, labels))
+    ids = zstd_quality.sampled_ids(docs, known, most=64).collect()
+    assert len({r.s_id for r in ids}) == len(ids) and not {400, 401} & {r.s_id for r in ids}
+    for quality in (0, 1):
+        n = {r.s_id: -(-len(rows[r.s_id][1]) // 1024) for r in ids if r.quality == quality}
+        assert 50 < sum(n.values()) <= 64
+    texts = docs.join(known, docs["doc_id"] == known["l_id"]).select("quality", "text")
+    assert max(Counter(r.quality for r in zstd_quality.sampled_pieces(texts, most=50).collect()).values()) == 50
+
+
 def test_scores_see_no_other_column(spark):
     rows, labels = quality_rows(200, seed=2)
     twice = [*rows, *((i + 100_000, t, "other source") for i, t, _ in rows)]

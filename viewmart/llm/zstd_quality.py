@@ -1,8 +1,8 @@
 """Quality classifier by compression: how much better a text packs with a dictionary of good text than of bad.
 
-Labelled rows are dealt in two halves by a hash of their number. The texts of one half are cut into pieces of
-1,024 bytes, a bounded sample of different pieces is drawn for each label by their hash, and a zstandard dictionary is
-made from each sample. Every text of the table is then compressed piece by piece, each piece by itself, so that a
+Labelled rows are dealt in two halves by a hash of their number. From one half a bounded sample of texts is drawn
+for each label by another hash and cut into pieces of 1,024 bytes, and a zstandard dictionary is made from each
+sample. Every text of the table is then compressed piece by piece, each piece by itself, so that a
 long text does not teach the compressor, once with the bad dictionary and once with the good one. The difference of
 the sizes, over the length of the text, is the measure; short texts are drawn to the mean of the labelled rows as if
 64 such bytes stood before them. The other half of the labelled rows calibrates it: counts of both labels
@@ -10,7 +10,7 @@ per step of the measure give a monotone curve (isotonic regression) and a logist
 of the first and one of the second, which keeps ranks where the first is flat.
 
 Only text goes into a score. What is fitted is bounded: ``SAMPLE_PIECES`` pieces a label for the dictionaries
-(one task makes each) and a count per step of the measure for the curves. All texts are compressed whole, once,
+(of texts of an eighth of that at most; one task makes each) and a count per step of the measure for the curves. All texts are compressed whole, once,
 spread over the tasks, and only their sizes are written to the scratch folder.
 
 Defined results: a null or empty text has size 0 and so the mean of the labelled rows; a null doc_id is not held out
@@ -85,19 +85,42 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([labels, pa.array(pieces, pa.binary())], names=["quality", "piece"])
 
 
-def sampled_pieces(texts: DataFrame, most: int = SAMPLE_PIECES) -> DataFrame:
-    """quality, piece: the ``most`` different pieces of each quality with the least hashes."""
-    size = F.octet_length("text")
-    counts = texts.groupBy("quality").agg(F.sum(F.ceil(size / PIECE_BYTES)).alias("n")).collect()  # 2 rows
-    # far more than needed pass this filter, few enough to sort
+def sampled_ids(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_PIECES) -> DataFrame:
+    """s_id, quality of numbers whose texts have ``most`` pieces for each quality, taken by a hash of the number.
+
+    Only numbers and lengths are shuffled. At most ``most`` numbers of each quality.
+    """
+    size = F.ceil(F.octet_length("text") / PIECE_BYTES)
+    own = labels.where(makes_dictionaries(F.col("l_id")))
+    sizes = docs.select("doc_id", size.alias("n")).where(size.between(1, most // 8)).join(
+        own, F.col("doc_id") == F.col("l_id")
+    )
+    sizes = materialised(sizes.groupBy("l_id", "quality").agg(F.max("n").alias("n")), "zstd-lengths")
+    totals = {r.quality: r.n for r in sizes.groupBy("quality").agg(F.sum("n").alias("n")).collect()}  # 2 rows
     share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("quality") == r.quality, min(1.0, 4 * most / max(1, r.n or 0))).otherwise(share)
-    place = F.pmod(F.xxhash64("piece"), F.lit(1 << 30))
-    pieces = texts.mapInArrow(_cut, "quality int, piece binary").select("*", place.alias("place"))
-    few = pieces.where(F.col("place") <= share * (1 << 30)).dropDuplicates(["quality", "piece"])
-    rank = F.row_number().over(Window.partitionBy("quality").orderBy("place", "piece"))
-    return few.withColumn("rank", rank).where(F.col("rank") <= most).select("quality", "piece")
+    for quality, n in totals.items():
+        share = F.when(F.col("quality") == quality, min(1.0, 4 * most / n)).otherwise(share)
+    place = F.pmod(F.xxhash64("l_id", F.lit("sample")), F.lit(1 << 30))
+    # far more than needed pass this filter, few enough to sort in one task
+    few = sizes.withColumn("place", place).where(F.col("place") < share * (1 << 30))
+    running = F.sum("n").over(Window.partitionBy("quality").orderBy("place", "l_id"))
+    return few.withColumn("running", running).where(F.col("running") <= most).select(
+        F.col("l_id").alias("s_id"), "quality"
+    )
+
+
+def sampled_pieces(texts: DataFrame, most: int = SAMPLE_PIECES) -> DataFrame:
+    """quality, piece: the different pieces of each quality, ``most`` at most, those with the least hashes."""
+    pieces = texts.mapInArrow(_cut, "quality int, piece binary").dropDuplicates(["quality", "piece"])
+    rank = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("piece"), "piece"))
+    return pieces.withColumn("rank", rank).where(F.col("rank") <= most).select("quality", "piece")
+
+
+def sampled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """quality, text of the sampled numbers."""
+    ids = materialised(sampled_ids(docs, labels), "zstd-sample")
+    # 2 * SAMPLE_PIECES numbers at most, so no text is shuffled for them
+    return docs.join(F.broadcast(ids), F.col("doc_id") == F.col("s_id")).select("quality", "text")
 
 
 def dictionary_of(pieces: list[bytes]) -> bytes:
@@ -188,8 +211,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, measure and sizes of every document."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = materialised(learning_labels(labels), "zstd-labels")
-    texts = docs.join(known.where(makes_dictionaries(F.col("l_id"))), F.col("doc_id") == F.col("l_id"))
-    made = dictionaries(texts.select("quality", F.coalesce("text", F.lit("")).alias("text")))
+    made = dictionaries(sampled_texts(docs, known))
     if len(made) == 2:
         sizes = measured(docs, made[BAD_LABEL], made[GOOD_LABEL])
         rows = calibrated(sizes, known)
