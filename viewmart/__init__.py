@@ -28,6 +28,15 @@ from viewmart.operators.rank import (
     with_month,
 )
 from viewmart.plans.reports import build_all, top_pages_daily, top_pages_monthly
+from viewmart.plans.rollups import (
+    monthly_from_sums,
+    read_day_sums,
+    read_month_sums,
+    read_window,
+    refresh_sums,
+    totals_from_sums,
+    update_window,
+)
 from viewmart.sources.assets import (
     asset_exists,
     delete_asset,

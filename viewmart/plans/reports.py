@@ -16,7 +16,9 @@ from viewmart.operators.rank import (
     ranked_titles,
     repeated,
     top_ids,
+    top_rows,
 )
+from viewmart.plans.rollups import monthly_from_sums
 from viewmart.sources.facts import read_recent, window_start
 from viewmart.sources.tables import WriteResult, overwrite, read_table, table_exists
 
@@ -49,19 +51,23 @@ def top_pages_daily(
     aggregate: bool = False,
     allow_gaps: bool = False,
     present: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """``date, page_id, entity, views`` of the ``n`` pages with the most views in the ``days``
     days ending at ``last``, sorted by page and date.
 
+    ``totals`` (``page_id, entity, total_views`` of the window, such as
+    :func:`viewmart.plans.rollups.read_window`) spare the scan that ranks and the one for titles.
+
     One row per fact; a page with several facts on a day has several rows, which
     ``aggregate`` sums up. Days of the window without facts raise, see
     :func:`viewmart.sources.facts.read_recent`.
     """
     recent = read_recent(facts, last, days, allow_gaps=allow_gaps, present=present)
-    pages = top_ids(recent, n)
+    pages = top_ids(recent, n) if totals is None else top_rows(totals, n, "total_views", "page_id")
     if aggregate:
         return period_views(recent, pages, "date", F.col("date"), pages_rows=n)
-    titles = ranked_titles(recent, pages, n)
+    titles = ranked_titles(recent, pages, n) if totals is None else pages.select("page_id", "entity")
     # Equal facts are one row with a count until they are sorted, so no task gets all copies.
     copies = F.count("*").alias("copies")
     if is_small(n):
@@ -101,12 +107,16 @@ def build_all(
     aggregate: bool = False,
     allow_gaps: bool = False,
     days: DataFrame | None = None,
+    sums: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> BuildResult:
     """Build, check and store both reports if the facts reach yesterday and are new.
 
     Days of the window without facts raise ValueError; with ``allow_gaps`` they are reported.
     ``days`` (``date``) gives the days that have facts, such as
-    :func:`viewmart.sources.facts.read_days`; the gate then reads no fact.
+    :func:`viewmart.sources.facts.read_days`; the gate then reads no fact. ``sums``
+    (:func:`viewmart.plans.rollups.read_month_sums`) make the monthly report without reading facts, ``totals``
+    (:func:`viewmart.plans.rollups.read_window`, of this window) the daily one with one scan of its days.
 
     Each report is written, checked on the written files and only then made visible. The
     day it was built from is stored last, so a build that failed runs again.
@@ -129,7 +139,7 @@ def build_all(
 
     columns = ["page_id", "entity", "views"]
     monthly = overwrite(
-        top_pages_monthly(facts, top_monthly),
+        top_pages_monthly(facts, top_monthly) if sums is None else monthly_from_sums(sums, top_monthly),
         root,
         monthly_name,
         clustered_by=["page_id", "month"],
@@ -137,8 +147,9 @@ def build_all(
     )
     daily = overwrite(
         top_pages_daily(
-            facts, gate.last_ingested, window_days, top_daily, aggregate=aggregate, allow_gaps=True
-        ),  # told above
+            facts, gate.last_ingested, window_days, top_daily,
+            aggregate=aggregate, allow_gaps=True, totals=totals,
+        ),  # fmt: skip  # gaps are told above
         root,
         daily_name,
         clustered_by=["page_id", "date"],

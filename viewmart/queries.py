@@ -8,11 +8,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import viewmart as vm
-from viewmart.functions.storage import scratch_folder
+from viewmart.functions.storage import delete, scratch_folder
 from viewmart.operators import quality as q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,17 +176,56 @@ BUILT = "(select * from {0} where date between '2024-01-01' and '2024-01-30')".f
     union all select 'daily', p.date, t.page_id, t.entity, p.views from {BUILT} p
     join {ranked(BUILT, 50)} t on p.page_id = t.page_id""")
 def build_all(spark, sf_dir):
-    """Both reports built, checked, stored and read back."""
+    """Both reports built, checked, stored and read back; a window of 30 days without gaps."""
     root = scratch_folder(spark, "build")
     vm.build_all(
-        event_facts(spark, sf_dir),
-        root,
-        today="2024-01-31",
-        top_monthly=100,
-        top_daily=50,
-        window_days=30,
-        min_rows=1,
+        event_facts(spark, sf_dir), root, today="2024-01-31", top_monthly=100, top_daily=50, window_days=30, min_rows=1
     )
+    return built_reports(spark, root)
+
+
+BUILT_90 = "(select * from {0} where date between '2023-11-02' and '2024-01-30')".format(EVENT_FACTS)
+GAPS_90 = """(select strftime(d, '%Y-%m-%d') as date
+    from range(timestamp '2023-11-02', timestamp '2024-01-31', interval 1 day) r(d)
+    where strftime(d, '%Y-%m-%d') not in (select strftime(ts, '%Y-%m-%d') from events))"""
+
+
+@query(f"""select 'monthly' as report, month as period, page_id, entity, views
+    from ({monthly_sql(EVENT_FACTS, 100)})
+    union all select 'daily', p.date, t.page_id, t.entity, p.views from {BUILT_90} p
+    join {ranked(BUILT_90, 50)} t on p.page_id = t.page_id
+    union all select 'missing', date, null, null, null from {GAPS_90}""")
+def build_all_gaps(spark, sf_dir):
+    """The default window of 90 days, of which many have no facts; those days are reported."""
+    root = scratch_folder(spark, "build")
+    done = vm.build_all(
+        event_facts(spark, sf_dir), root, today="2024-01-31", top_monthly=100, top_daily=50, min_rows=1, allow_gaps=True
+    )
+    missing = spark.createDataFrame([(d,) for d in done.missing], "period string")
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in
+               (("page_id", "string"), ("entity", "string"), ("views", "bigint"))]
+    return built_reports(spark, root).union(missing.select(F.lit("missing").alias("report"), "period", *nothing))
+
+
+@query(f"""select 'monthly' as report, month as period, page_id, entity, views
+    from ({monthly_sql(EVENT_FACTS, 100)})
+    union all select 'daily', p.date, t.page_id, t.entity, p.views from {BUILT} p
+    join {ranked(BUILT, 50)} t on p.page_id = t.page_id""")
+def build_all_kept(spark, sf_dir):
+    """Both reports from sums and window totals that are kept up to date."""
+    root = scratch_folder(spark, "build")
+    path = f"{root}/facts"
+    vm.write_facts(event_facts(spark, sf_dir), path)
+    vm.refresh_sums(spark, path, root)
+    vm.update_window(spark, root, LAST_DAY, 30)
+    vm.build_all(
+        vm.read_facts(spark, path), root, today="2024-01-31", top_monthly=100, top_daily=50, window_days=30, min_rows=1,
+        days=vm.read_days(spark, path), sums=vm.read_month_sums(spark, root), totals=vm.read_window(spark, root),
+    )
+    return built_reports(spark, root)
+
+
+def built_reports(spark: SparkSession, root: str) -> DataFrame:
     monthly = vm.read_table(spark, root, "top_pages_monthly").withColumnRenamed("month", "period")
     daily = vm.read_table(spark, root, "top_pages_daily_recent").withColumnRenamed("date", "period")
     columns = ["period", "page_id", "entity", "views"]
@@ -219,6 +258,79 @@ def top_rows_ties(spark, sf_dir):
     return vm.top_rows(rows, 600, "v", "doc_id")
 
 
+# --- sums kept up to date ------------------------------------------------------------------
+
+FIRST_DAYS = 27
+
+
+def spread_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of all events, those of different users up to three months later."""
+    return event_facts(spark, sf_dir).withColumn(
+        "date", F.date_add(F.col("date").cast("date"), (F.col("page_id").cast("int") % 4) * 31).cast("string")
+    )
+
+
+SPREAD_FACTS = """(select strftime(ts::date + (user_id % 4 * 31)::int, '%Y-%m-%d') as date, event_type as entity,
+    user_id::varchar as page_id, floor(value)::bigint as views from events)"""
+
+
+def loaded_days(facts: DataFrame, path: str, root: str, late: Column) -> None:
+    """Facts stored in two loads, with a refresh of the sums after each; the second one has the ``late`` facts."""
+    for part in (~late, late):
+        vm.write_facts(facts.where(part), path)
+        vm.refresh_sums(facts.sparkSession, path, root)
+
+
+@query(monthly_sql(SPREAD_FACTS, 100))
+def top_pages_monthly_kept(spark, sf_dir):
+    """From month sums that were built, then refreshed with three more days."""
+    folder = scratch_folder(spark, "sums")
+    late = F.col("date").isin("2024-01-28", "2024-02-29", "2024-04-15")
+    loaded_days(spread_facts(spark, sf_dir), f"{folder}/facts", folder, late)
+    return vm.monthly_from_sums(vm.read_month_sums(spark, folder), 100)
+
+
+REISSUED = f"""(select date, entity, page_id, views from {SPREAD_FACTS} where date not in ('2024-01-20', '2024-02-10')
+    union all select date, entity || '-again', page_id, views + 1 from {SPREAD_FACTS}
+    where date = '2024-01-20' and views % 2 = 0)"""
+
+
+@query(f"""select page_id, arg_max(entity, (date, entity)) as entity, sum(views)::bigint as total_views
+    from {REISSUED} group by page_id""")
+def page_totals_reissued(spark, sf_dir):
+    """Totals and titles from sums, after one day was issued anew and another one deleted."""
+    folder = scratch_folder(spark, "sums")
+    facts = spread_facts(spark, sf_dir)
+    vm.write_facts(facts, f"{folder}/facts")
+    vm.refresh_sums(spark, f"{folder}/facts", folder)
+    again = facts.where((F.col("date") == "2024-01-20") & (F.col("views") % 2 == 0))
+    again = again.select("date", F.concat("entity", F.lit("-again")).alias("entity"), "page_id", F.col("views") + 1)
+    vm.write_facts(again.toDF("date", "entity", "page_id", "views"), f"{folder}/facts")
+    delete(spark, f"{folder}/facts/date=2024-02-10")
+    vm.refresh_sums(spark, f"{folder}/facts", folder)
+    return vm.totals_from_sums(vm.read_month_sums(spark, folder))
+
+
+def window_sql(last: str, first: str) -> str:
+    facts = f"(select * from {EVENT_FACTS} where date between '{first}' and '{last}')"
+    return f"select '{last}' as last, * from {ranked(facts, 50)}"
+
+
+@query(f"{window_sql('2024-01-29', '2024-01-23')} union all {window_sql('2024-01-30', '2024-01-24')}")
+def top_pages_sliding(spark, sf_dir):
+    """Pages of two windows; the second one is the first, moved by a day."""
+    folder = scratch_folder(spark, "sums")
+    vm.write_facts(event_facts(spark, sf_dir), f"{folder}/facts")
+    vm.refresh_sums(spark, f"{folder}/facts", folder)
+    out = None
+    for last in ("2024-01-29", "2024-01-30"):
+        vm.update_window(spark, folder, last, 7)
+        top = vm.top_rows(vm.read_window(spark, folder), 50, "total_views", "page_id")
+        top = top.select(F.lit(last).alias("last"), "page_id", "entity", "total_views")
+        out = top if out is None else out.union(top)
+    return out
+
+
 # --- calendars -----------------------------------------------------------------------------
 
 
