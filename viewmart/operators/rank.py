@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewmart.functions.text import month_of
+from viewmart.operators.bloom import thinned
 
 # A ranking is broadcast only if its limit proves it has at most this many rows of one
 # id and one title. Beyond it, facts are summed before they meet the ranking.
@@ -142,13 +143,16 @@ def own_exchange(ranking: DataFrame) -> DataFrame:
     return ranking.withColumn("page_id", F.concat("page_id", F.lit("")))
 
 
-def restrict_to_top(facts: DataFrame, top: DataFrame) -> DataFrame:
+def restrict_to_top(facts: DataFrame, top: DataFrame, *, pages_rows: int | None = None) -> DataFrame:
     """Facts of the pages in ``top`` (``page_id, entity``), under the title given there.
 
     A plain join: Spark broadcasts ``top`` if its size allows it, and AQE splits a page with very
-    many facts otherwise, equal facts included.
+    many facts otherwise, equal facts included. ``pages_rows``, about how many pages ``top`` has, lets
+    a Bloom filter of their ids drop most other facts before that shuffle; ``top`` is read once more for it.
     """
     titles = top.select("page_id", F.col("entity").alias("title"))
+    if pages_rows is not None:
+        facts = thinned(facts, "page_id", top, pages_rows)
     return facts.join(own_exchange(titles), "page_id").select(
         "date", "page_id", F.col("title").alias("entity"), "views"
     )

@@ -129,6 +129,16 @@ def restrict_to_top(spark, sf_dir):
     return vm.restrict_to_top(facts, vm.top_pages(facts, 100))
 
 
+@query(f"""select p.date, t.page_id, t.entity, p.views from {LINE_FACTS} p
+    join {ranked(LINE_FACTS, 700)} t on p.page_id = t.page_id""")
+def restrict_to_top_wide(spark, sf_dir):
+    """A Bloom filter of the ranked ids thins the facts before they are shuffled to a stored ranking."""
+    root = scratch_folder(spark, "ranking")
+    facts = line_facts(spark, sf_dir)
+    vm.overwrite(vm.top_pages(facts, 700), root, "ranking")
+    return vm.restrict_to_top(facts, vm.read_table(spark, root, "ranking").hint("merge"), pages_rows=700)
+
+
 @query(f"""select substr(date, 1, 7) as month, page_id, entity, sum(views)::bigint as views
     from {FLAG_FACTS} group by 1, 2, 3""")
 def monthly_views(spark, sf_dir):
