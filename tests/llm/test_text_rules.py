@@ -97,6 +97,21 @@ def test_documents_are_told_apart_by_their_whole_text(spark):
     assert all(out[400 + i].removed is None and out[400 + i].kept for i in range(3000))
 
 
+    # the query's SQL says the same
+    import duckdb
+
+    from viewmart.llm.queries import QUALITY_SQL
+
+    db = duckdb.connect()
+    db.sql("create table documents (doc_id bigint, text varchar, source varchar)")
+    db.executemany("insert into documents values (?, ?, ?)", [list(r) for r in [*rows, *ODD[:3]]])
+    odd = {r.doc_id: r for r in quality_lines.judged(table(spark, [*rows, *ODD[:3]])).collect()}
+    told = db.sql(f"select doc_id, kept, removed_words from ({QUALITY_SQL})").fetchall()
+    assert len(told) == len(rows) + 3 and any(gone for _, _, gone in told)
+    # numbers 1 to 3 stand in two rows with different texts
+    assert all((odd[i].kept, odd[i].removed_words) == (kept, gone) for i, kept, gone in told if i > 3)
+
+
 def test_quality_of_odd_rows_and_empty_tables(spark):
     out = quality_lines.judged(table(spark, ODD))
     assert out.count() == len(ODD)
@@ -193,6 +208,18 @@ def test_ownership_tells_examples_from_live_values(spark):
     assert out[11] == ("assign:0:26", ["live"])  # the token inside is covered
 
 
+def test_repeated_rows_count_each_owner(spark):
+    value = "q7Zk29XcVb31MnLp8RtY"
+    one = [(1, f"use {value} here", f"o{k}") for k in range(3)]
+    three = [(k, f"use {value} here", f"o{k}") for k in range(3)]
+    for rows in (one, three):
+        found = secret_owners.ownership(secret_owners.matches(table(spark, rows))).collect()
+        assert [(r.owners, r.repositories) for r in found] == [(3, 3)]
+        assert all(r.found == [] for r in secret_owners.reported(table(spark, rows)).collect())  # an example
+    same = [(1, f"use {value} here", "o1")] * 5
+    assert [len(r.found) for r in secret_owners.reported(table(spark, same)).collect()] == [1] * 5
+
+
 def test_secrets_of_odd_rows(spark):
     rows = [*ODD, (8, None, None), (9, "token=abcdef12", None)]
     out = secret_owners.reported(table(spark, rows)).collect()

@@ -56,7 +56,7 @@ wins as (select r, i, count(*) over (partition by r, words[i:i + 4]) as n from f
 rep as (select r, count(distinct i + k) as n_repeat_words
   from wins, (select unnest(range(0, 5)) as k) where n > 1 group by r),
 base as (
-  select w.r, doc_id, source, len(words)::bigint as n_words,
+  select w.r, doc_id, source, text, len(words)::bigint as n_words,
     length(array_to_string(words, ''))::bigint as word_chars,
     length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
     (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
@@ -65,18 +65,14 @@ base as (
       regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'), '^ | $', '', 'g'),
       '[0-9]+', '0', 'g'))) as norm
   from w left join rep using (r)),
-line as (select r, source, unnest(norm) as l, norm from base),
-other as (select r, source, l, len(string_split(l, ' ')) as words,
-  list_max(list_transform(list_filter(norm, lambda x: x <> l),
-    lambda x: {'n': len(string_split(x, ' ')), 'x': x})) as longest from line),
-met as (select r, source, l, words,
-  coalesce(array_to_string(string_split(longest.x, ' ')[1:5], ' '), '') as company from other),
+line as (select r, source, text, unnest(norm) as l from base),
+hosts as (select source, count(distinct [text]) as documents from documents group by source),
 often as (
-  select source, l from met group by source, l
-  having count(distinct company) > 20 and count(distinct company) > 0.01 *
-    (select count(*) from documents d where d.source is not distinct from met.source)),
-cut as (select r, sum(words) as removed_words from met
-  where exists (select 1 from often o where o.l = met.l and o.source is not distinct from met.source)
+  select line.source, l from line join hosts on line.source is not distinct from hosts.source
+  group by line.source, l, hosts.documents
+  having count(distinct text) > 20 and count(distinct text) > 0.01 * hosts.documents),
+cut as (select r, sum(len(string_split(l, ' '))) as removed_words from line
+  where exists (select 1 from often o where o.l = line.l and o.source is not distinct from line.source)
   group by r),
 all_rows as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
   coalesce(removed_words, 0)::bigint as gone from base left join cut using (r))

@@ -10,13 +10,13 @@ covers them.
 The owner of a document is its ``source``, its repository the pair of ``source`` and ``lang``.
 
 Only DataFrame functions are used. A match's place is the running sum of the lengths of the matches and of
-what lies between them, so all spans are code points of the whole text. Texts are not shuffled, only
-candidates are; counts are pre-aggregated per task, and the join back to candidates can be split by
-AQE if one example is everywhere.
+what lies between them, so all spans are code points of the whole text. Texts are matched once and not shuffled,
+only matches are; counts are pre-aggregated per task, and the join back to candidates is by a key of its own, so
+that AQE splits it if one example is everywhere.
 
 Defined results: null text is empty; null owners or languages are one unknown owner or language; rows of
-equal ``doc_id`` and text are one document and get the same result; an empty table gives no rows;
-other columns of the input are ignored.
+equal ``doc_id`` and text are one document and get the same result, but the owners and repositories of each of them
+count; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from viewmart.llm.common import materialised
+
 # Kinds in the order of reports, with pattern, group of the secret, least length of it.
 KINDS = [
     (
@@ -81,8 +83,11 @@ def _matches(number: int, kind: str, least: int) -> Column:
     return F.coalesce(F.transform(f"all_{kind}", match), F.array())
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """One row per candidate: doc_id, text_key, owner, repository, kind, start, end, value."""
+def matches(docs: DataFrame) -> DataFrame:
+    """One row per match of a row of ``docs``: doc_id, text_key, owner, repository, kind, i, gap, size, value.
+
+    Written to the scratch folder, so that texts are matched once; matches are few and short.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         "doc_id",
@@ -105,28 +110,39 @@ def candidates(docs: DataFrame) -> DataFrame:
     # of an inner explode the optimizer derives a filter that computes the whole array once more
     rows = rows.select(*DOC, "owner", "repository", F.explode_outer(F.concat(*kinds)).alias("m"))
     rows = rows.where("m is not null")
+    return materialised(rows.select(*DOC, "owner", "repository", "m.*"), "secret-matches")
+
+
+def candidates(found: DataFrame) -> DataFrame:
+    """One row per candidate of a document: doc_id, text_key, kind, start, end, value."""
     before = Window.partitionBy(*DOC, "kind").orderBy("i")
+    # rows of equal number and text are folded in their tasks first
+    one = found.dropDuplicates([*DOC, "kind", "i", "gap", "size", "value"]).drop("owner", "repository")
     return (
-        rows.select(*DOC, "owner", "repository", "m.*")
-        .repartition(*DOC)
-        .dropDuplicates([*DOC, "kind", "i"])
-        .withColumn("end", F.sum(F.col("gap") + F.col("size")).over(before))
+        one.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(before))
         .where("value is not null")
         .withColumn("start", F.col("end") - F.col("size"))
-        .select(*DOC, "owner", "repository", "kind", "start", "end", "value")
+        .select(*DOC, "kind", "start", "end", "value")
     )
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """a, b (hash of the value), owners, repositories."""
-    return found.groupBy(*_hashes("value")).agg(
-        F.count_distinct("owner").alias("owners"),
-        F.count_distinct("repository").alias("repositories"),
+    """value_key, owners, repositories, counted over the matches of all rows, repeated ones too."""
+    return (
+        found.where("value is not null")
+        .select(_hash("value").alias("value_key"), "owner", "repository")
+        .distinct()
+        .groupBy("value_key")
+        .agg(
+            F.count_distinct("owner").alias("owners"),
+            F.count_distinct("repository").alias("repositories"),
+        )
     )
 
 
-def _hashes(value: str) -> list[Column]:
-    return [F.xxhash64(value).alias("a"), F.xxhash64(F.lit(6), F.col(value)).alias("b")]
+def _hash(value: str) -> Column:
+    """128 bits of a value's hash."""
+    return F.concat_ws(":", F.xxhash64(value), F.xxhash64(F.lit(6), F.col(value)))
 
 
 def spans(
@@ -136,8 +152,10 @@ def spans(
 
     verdict: ``example`` (widely copied), ``live`` (owner-specific and random-looking) or ``weak``.
     """
-    found = candidates(docs)
-    spread = ownership(found)
+    found = matches(docs)
+    # a key of its own: the counts are laid out by theirs, and only a join that shuffles both sides for itself is
+    # split by AQE where one value is everywhere
+    spread = ownership(found).select(F.concat("value_key", F.lit("")).alias("value_key"), "owners", "repositories")
     verdict = (
         F.when(
             (F.col("owners") > max_owners) | (F.col("repositories") > max_repositories), "example"
@@ -146,7 +164,10 @@ def spans(
         .otherwise("weak")
     )
     judged = (
-        found.select("*", *_hashes("value")).join(spread, ["a", "b"]).withColumn("verdict", verdict)
+        candidates(found)
+        .withColumn("value_key", _hash("value"))
+        .join(spread, "value_key")
+        .withColumn("verdict", verdict)
     )
     judged = judged.where((F.col("kind") < BASE) | (F.col("verdict") == "live"))
     # the furthest end of base spans that begin before the token's end
@@ -158,7 +179,7 @@ def spans(
     return (
         judged.withColumn("covered", F.coalesce(covered, F.lit(0)))
         .where(base | (F.col("covered") <= F.col("start")))
-        .drop("a", "b", "covered")
+        .drop("value_key", "covered")
     )
 
 
