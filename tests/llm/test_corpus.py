@@ -1,5 +1,6 @@
 """Jaccard join, decontamination, language model, url rules and page text against brute force."""
 
+import itertools
 import math
 import random
 import re
@@ -336,6 +337,56 @@ def test_a_bad_majority_leaves_rules_to_mine(spark):
     assert hosts_judged(spark, [("a.com", 40, 0), ("b.com", 40, 0)]) == {"a.com": {"allow"}, "b.com": {"allow"}}
 
 
+def passes(bad, held, n_bad, n, min_pages):
+    """The thresholds of a rule, written out."""
+    base, sure = n_bad / n, bad / held
+    if bad < min_pages or sure < 0.6 or sure * (1 - base) < 2.25 * base * (1 - sure):
+        return False
+    z = 4 / held
+    return (sure + z / 2 - 2 * math.sqrt(sure * (1 - sure) / held + z / held / 4)) / (1 + z) > base
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mining_equals_trying_every_combination(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(160):
+        host = rng.choice(["a.com", "b.com", "b.com"])
+        path = "/".join(x for x in ("long/common", "p", "q", "r") if rng.random() < 0.6)
+        likely = 0.9 if "p/q" in path or host == "a.com" and "r" in path else 0.15
+        rows.append((f"http://{host}/{path}/{k}" + rng.choice(["", "?x=1", "?x=1&y=2"]), rng.random() < likely))
+    rows += rows[:20]  # repeated urls
+    open_ = ["http://a.com/long/1", "http://b.com/p/q", "http://b.com/q/r?y=3", "http://c.com/common/p", "http://a.com/r"]
+    pages = pages_of(spark, [u for u, _ in rows] + open_)
+    labels = spark.createDataFrame([(k, 1 - b, 0) for k, (_, b) in enumerate(rows)], "doc_id bigint, quality int, toxic int")
+    own = {r.page_id: frozenset(r.t) for r in pages.select("page_id", url_rules.tokens_of(F.col("url")).alias("t")).collect()}
+    n, n_bad = len(rows), sum(b for _, b in rows)
+    every = sorted(frozenset().union(*(own[k] for k, (_, b) in enumerate(rows) if b)))
+    good = set()
+    for size in range(1, len(every) + 1):
+        for tokens in map(frozenset, itertools.combinations(every, size)):
+            held = [b for k, (_, b) in enumerate(rows) if tokens <= own[k]]
+            if held and not any(g < tokens for g in good) and passes(sum(held), len(held), n_bad, n, 20):
+                good.add(tokens)
+    assert good and any(len(g) > 1 for g in good)
+    rules = url_rules.mined_rules(pages, labels).collect()
+    mined = {frozenset(choice) for r in rules for choice in itertools.product(*r.choices)}
+    assert mined == good
+    for r in url_rules.judged(pages, url_rules.mined_rules(pages, labels)).collect():
+        assert (r.verdict == "block") == any(g <= own[r.page_id] for g in good)
+
+
+def test_long_common_paths_do_not_multiply(spark):
+    path = "/".join(f"s{chr(97 + k)}" for k in range(25))
+    good = [f"http://good.com/{path}/{k}" for k in range(60)]
+    bad = [f"http://spam.com/{path}/x{path}/{k}?{'&'.join(f'q{i}=1' for i in range(25))}" for k in range(30)]
+    pages = pages_of(spark, good + bad + ["http://other.com/?q7=2", "http://other.com/sb"])
+    labels = spark.createDataFrame([(k, int(k < 60), 0) for k in range(90)], "doc_id bigint, quality int, toxic int")
+    out = {r.url: r.verdict for r in url_rules.judged(pages, url_rules.mined_rules(pages, labels)).collect()}
+    assert {out[u] for u in bad} == {"block"} and {out[u] for u in good} == {"allow"}
+    assert out["http://other.com/?q7=2"] == "block" and out["http://other.com/sb"] == "allow"
+
+
 def test_rules_match_as_all_rules_tested(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     tokens = {r.url: set(r.t) for r in pages.select("url", url_rules.tokens_of(F.col("url")).alias("t")).collect()}

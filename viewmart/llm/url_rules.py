@@ -5,8 +5,11 @@ one), file ending, names of the query and the fragment. FP-growth mines the toke
 stand together with a bad label (quality 0 or toxic 1 of the row of ``labels`` with the page's number). A rule
 needs a fixed number of bad pages, however many pages there are, a confidence, and odds of a bad page well above
 those of all labelled pages: so many times as high, with the lower bound of the confidence above the base rate.
-Both can be reached at every base rate below 1. Rules that a part of their tokens already gives are pruned. Rules are indexed by their rarest token: a url looks up the rules of its own tokens and
-is tested against these alone.
+Both can be reached at every base rate below 1. Only bad pages are mined, and only tokens that enough of them have;
+tokens that stand in exactly the same labelled pages are one item, since their rules have the same counts, so a long
+path or query that urls share does not multiply. Each combination is then counted over all labelled pages by one join.
+Rules that a part of their tokens already gives are pruned. Rules are indexed by their rarest token: a url looks up the
+rules of its own tokens and is tested against these alone.
 
 A list of host and path rules comes first: a rule fits its host and all subdomains if the url's path starts
 with the rule's; the longest wins. Mined rules judge the urls that no listed rule fits.
@@ -20,9 +23,11 @@ columns are ignored.
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from viewmart.llm.common import materialised
+
 #: The listed rules as (host, path, verdict).
 LISTED = [
     ("net", "/", "block"),
@@ -35,7 +40,6 @@ MIN_PAGES, MIN_CONFIDENCE, MIN_ODDS = 20, 0.6, 2.25
 #: Standard deviations of the one-sided bound (Wilson's) of the confidence.
 BOUND = 2.0
 
-BAD = "label=bad"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -91,6 +95,39 @@ def tokens_of(url: Column) -> Column:
     return F.when(F.coalesce(url.contains("://"), F.lit(False)), every).otherwise(F.array().cast("array<string>"))
 
 
+#: Columns of mined rules.
+RULES = "key string, tokens array<string>, choices array<array<string>>, confidence double, support double"
+
+
+def token_sets(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """tokens, n, n_bad: labelled pages and bad ones of every distinct token set."""
+    bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
+    labelled = labels.groupBy(F.col("doc_id").alias("l_doc_id")).agg(F.max(bad).alias("bad"))
+    items = pages.select("page_id", tokens_of(F.col("url")).alias("tokens")).join(
+        labelled, F.col("page_id") == F.col("l_doc_id")
+    )
+    return items.where(F.size("tokens") > 0).groupBy("tokens").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("n_bad")
+    )
+
+
+def token_classes(sets: DataFrame, min_pages: int) -> DataFrame:
+    """token, class, held, bad of the tokens in ``min_pages`` bad pages or more.
+
+    Tokens that stand in exactly the same labelled pages are one class, named by the least of them; ``held`` and
+    ``bad`` are its pages and bad pages. Equal pages are told by two sums of 64-bit hashes of the token sets.
+    """
+    places = sets.select("n", "n_bad", F.explode("tokens").alias("token"),
+                         *[F.xxhash64(F.lit(k), "tokens").cast("decimal(38,0)").alias(f"h{k}") for k in (1, 2)])
+    tokens = (
+        places.groupBy("token")
+        .agg(F.sum("n").alias("held"), F.sum("n_bad").alias("bad"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+        .where(F.col("bad") >= min_pages)
+    )
+    own = F.min("token").over(Window.partitionBy("held", "bad", "h1", "h2"))
+    return tokens.select("token", own.alias("class"), "held", "bad")
+
+
 def mined_rules(
     pages: DataFrame,
     labels: DataFrame,
@@ -98,64 +135,68 @@ def mined_rules(
     min_odds: float = MIN_ODDS,
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
-    """key, tokens, confidence, support of the token combinations that tell bad urls; key is the rarest token."""
-    bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
-    labelled = labels.groupBy(F.col("doc_id").alias("l_doc_id")).agg(F.max(bad).alias("bad"))
-    items = (
-        pages.select("page_id", tokens_of(F.col("url")).alias("tokens"))
-        .join(labelled, F.col("page_id") == F.col("l_doc_id"))
-        .where(F.size("tokens") > 0)
-        .select(F.when(F.col("bad"), F.array_append("tokens", BAD)).otherwise(F.col("tokens")).alias("items"))
-    )
+    """Rules (``RULES``) of the token combinations that tell bad urls.
+
+    A url fits a rule if it has one token of each of its ``choices``, which are classes of tokens that stand in the same
+    labelled pages; ``tokens`` names the classes. A rule has a row for every token of its rarest class, the ``key``.
+    """
     spark = pages.sparkSession
-    none = spark.createDataFrame([], "key string, tokens array<string>, confidence double, support double")
-    n, n_bad = items.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
-    if n_bad < min_pages or n_bad == n:
+    none = spark.createDataFrame([], RULES)
+    sets = materialised(token_sets(pages, labels), "url-tokens")
+    n, n_bad = sets.agg(F.sum("n"), F.sum("n_bad")).first()
+    if not n or n_bad < min_pages or n_bad == n:
         return none
-    # without a token in enough bad urls there is no rule to mine
-    frequent = (
-        items.where(F.array_contains("items", BAD))
-        .select(F.explode("items").alias("token"))
-        .where(F.col("token") != BAD)
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= min_pages)
-    )
-    if frequent.isEmpty():
+    classes = materialised(token_classes(sets, min_pages), "url-classes")
+    if classes.isEmpty():  # without a token in enough bad urls there is no rule to mine
         return none
-    # half a page less: FP-growth rounds share times n up
-    model = FPGrowth(itemsCol="items", minSupport=(min_pages - 0.5) / n, minConfidence=min_confidence).fit(items)
-    base, sure = n_bad / n, F.col("confidence")
-    held = F.col("support") * n / sure
+    # the classes of every token set; equal ones are one row with its pages
+    own = sets.select("tokens", "n", "n_bad", F.explode("tokens").alias("token")).join(
+        classes.select("token", "class"), "token"
+    )
+    own = own.groupBy("tokens", "n", "n_bad").agg(F.sort_array(F.collect_set("class")).alias("items"))
+    own = own.groupBy("items").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"))
+    own = materialised(own, "url-items")
+    # only bad pages are mined; half a page less, as FP-growth rounds the share times their number up
+    bad_pages = own.where("n_bad > 0").select("items", F.explode(F.sequence(F.lit(1), "n_bad")).alias("copy"))
+    model = FPGrowth(itemsCol="items", minSupport=(min_pages - 0.5) / n_bad, minConfidence=1.0).fit(
+        bad_pages.select("items")
+    )
+    sizes = classes.groupBy("class").agg(
+        F.first("held").alias("held"), F.sort_array(F.collect_list("token")).alias("members")
+    )
+    found = model.freqItemsets.select(F.sort_array("items").alias("tokens"), F.col("freq").alias("bad"))
+    parts = found.select("*", F.explode("tokens").alias("class")).join(sizes, "class")
+    found = parts.groupBy("tokens", "bad").agg(
+        F.min(F.struct("held", "class"))["class"].alias("rarest"),
+        F.sort_array(F.collect_list(F.struct("class", "members")))["members"].alias("choices"),
+    )
+    found = materialised(found, "url-found")
+    # all labelled pages that fit: looked up by the rarest class
+    fits = own.select("items", "n", F.explode("items").alias("rarest")).join(
+        found.select("tokens", "rarest"), "rarest"
+    )
+    fits = fits.where(F.size(F.array_except("tokens", "items")) == 0).groupBy("tokens").agg(F.sum("n").alias("held"))
+    base, sure, held = n_bad / n, F.col("confidence"), F.col("held")
     square = BOUND * BOUND / held
     bound = (sure + square / 2 - BOUND * F.sqrt(sure * (1 - sure) / held + square / held / 4)) / (1 + square)
-    rules = model.associationRules.where(
-        (F.size("consequent") == 1)
-        & (F.col("consequent")[0] == BAD)
-        & (sure * (1 - base) >= min_odds * base * (1 - sure))
-        & (bound > base)
-    ).select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
-    single = model.freqItemsets.where(F.size("items") == 1).select(
-        F.col("items")[0].alias("token"), F.col("freq").alias("n")
-    )
-    rarest = (
-        rules.select("*", F.explode("tokens").alias("token"))
-        .join(single, "token")
-        .groupBy("tokens")
-        .agg(
-            F.min(F.struct("n", "token")).alias("least"),
-            F.first("confidence").alias("confidence"),
-            F.first("support").alias("support"),
+    rules = (
+        found.join(fits, "tokens")
+        .withColumn("confidence", F.col("bad") / held)
+        .where(
+            (sure >= min_confidence) & (sure * (1 - base) >= min_odds * base * (1 - sure)) & (bound > base)
         )
-        .select(F.col("least.token").alias("key"), "tokens", "confidence", "support")
+        .select("tokens", "choices", "rarest", "confidence", (F.col("bad") / n).alias("support"))
     )
+    rules = materialised(rules, "url-rules")
     # A rule is not needed where some of its tokens are a rule. A part has its key among the rule's tokens.
-    parts = rarest.select(F.col("key").alias("p_key"), F.col("tokens").alias("p_tokens"))
-    whole = rarest.select(F.col("tokens").alias("w_tokens"), F.explode("tokens").alias("p_key"))
-    covered = whole.join(parts, "p_key").where(
+    less = rules.select(F.col("rarest").alias("p_rarest"), F.col("tokens").alias("p_tokens"))
+    whole = rules.select(F.col("tokens").alias("w_tokens"), F.explode("tokens").alias("p_rarest"))
+    covered = whole.join(less, "p_rarest").where(
         (F.size("p_tokens") < F.size("w_tokens")) & (F.size(F.array_except("p_tokens", "w_tokens")) == 0)
     )
-    return rarest.join(covered, F.col("tokens") == F.col("w_tokens"), "left_anti")
+    rules = rules.join(covered, F.col("tokens") == F.col("w_tokens"), "left_anti")
+    keys = F.explode(F.get("choices", F.array_position("tokens", F.col("rarest")).cast("int") - 1)).alias("key")
+    return rules.select(keys, "tokens", "choices", "confidence", "support")
 
 
 def judged(pages: DataFrame, rules: DataFrame, listed: list[tuple[str, str, str]] | None = None) -> DataFrame:
@@ -167,9 +208,11 @@ def judged(pages: DataFrame, rules: DataFrame, listed: list[tuple[str, str, str]
     )
     open_ = every.where("listed is null").select("url").distinct()
     tokens = open_.select("url", tokens_of(url).alias("own")).select("*", F.explode_outer("own").alias("key"))
+    if "choices" not in rules.columns:
+        rules = rules.withColumn("choices", F.transform("tokens", lambda t: F.array(t)))
     hits = (
         tokens.join(rules, "key")
-        .where(F.size(F.array_except("tokens", "own")) == 0)
+        .where(F.forall("choices", lambda c: F.arrays_overlap(c, F.col("own"))))
         .groupBy(F.col("url").alias("h_url"))
         .agg(F.max(F.struct("confidence", "support", "tokens")).alias("best"))
     )
