@@ -480,6 +480,30 @@ def test_reading(source, blocks):
     assert [t for _, t in dom_trees.read_page(source).blocks] == blocks
 
 
+@pytest.mark.parametrize(
+    ("source", "blocks"),
+    [
+        ("<a b " * 100_000, 1),
+        ('<a "' * 100_001, 1),
+        ("<aaaa" * 100_000, 1),
+        ("<div>" * 50_000 + "x", 1),
+        ("<p><table>" + "<div>x" * 20_000 + "</b>" * 20_000, 20_000),
+        ("<b><table>" + "<div>" * 20_000 + "</b>" * 20_000 + "y", 1),
+        ("<script/>" * 50_000 + "z", 1),
+        ("<a x='\"" * 50_000, 1),
+        ("<" * 300_000, 1),
+        ("<ul><li><div>q" * 15_000, 15_000),
+    ],
+)
+def test_reading_takes_time_in_proportion(source, blocks):
+    import time
+
+    begun = time.process_time()
+    page = dom_trees.read_page(source)
+    assert time.process_time() - begun < 15 and len(page.blocks) == blocks
+    assert dom_trees.features(page).shape[0] == len(page.nodes)
+
+
 def test_pages_of_odd_rows(spark):
     trees = dom_trees.fitted(spark.read.parquet(f"{SF}/pages.parquet"))
     rows = [(1, None, None), (1, "u", ""), (None, "u", "<p>" * 30_000), (2, "u", "<"), (2, "u", "<")]

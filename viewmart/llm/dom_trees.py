@@ -7,14 +7,16 @@ hierarchical: over the whole tree, the most likely set of kept nodes is found in
 parent, so an article inside a dropped sidebar, or a kept footer with dropped lines, cannot come out of
 single guesses. The text of kept nodes is joined block by block.
 
-The trees are trained here, on a sample of at most ``TRAINING_PAGES`` pages. Pages carry no labels: those with one article or
+The trees are trained here, on a sample of at most ``TRAINING_PAGES`` pages of ``TRAINING_LENGTH`` characters at most,
+which are read in tasks. Pages carry no labels: those with one article or
 main element label themselves, and the blocks of each are also taken apart by their semantic elements (article
 against nav, aside, footer, form and the like) and set again into several layouts with other elements
 and other names, whose parts are known. The sample is the only part that does not grow with the table; all pages are extracted whole,
 where they lie, by trees of a fixed size.
 
 Defined results: null html is the empty page, with empty text; broken markup is read as browsers would
-read it in the main (unknown end tags ignored, open elements closed by their parent); repeated rows and equal ids are
+read it in the main (unknown end tags ignored, open elements closed by their parent, a tag without end is text), in
+time linear in its length however many tags lack an end and however deep elements nest; repeated rows and equal ids are
 extracted each; an empty table gives no rows; other columns are ignored.
 """
 
@@ -33,8 +35,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages of the training sample at most, and layouts that each is set into.
-TRAINING_PAGES, LAYOUTS = 200, 4
+from viewmart.llm.common import materialised
+
+#: Pages of the training sample at most, characters of each at most, and layouts that each is set into.
+TRAINING_PAGES, TRAINING_LENGTH, LAYOUTS = 200, 100_000, 4
 TREES, DEPTH = 20, 5
 #: Log odds that one node can have at most.
 SURE = 6.0
@@ -82,9 +86,8 @@ GROUP_OF = {word: k for k, words in enumerate(GROUPS.values()) for word in words
 TAGS = "article main section div p li ul nav aside header footer form h1 h2 h3 td table blockquote pre".split()
 TAG_OF = {tag: k for k, tag in enumerate(TAGS)}
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
+_NAME_ENDS = re.compile(r"[\s/>]")
+_ATTRIBUTE_MARKS = re.compile(r"[>\"']")
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _POINTS = re.compile(r"[.,;:!?]")
@@ -124,6 +127,129 @@ def groups_of(tag: str, attributes: str) -> frozenset[int]:
 _EMPTY: frozenset[int] = frozenset()
 
 
+class Markup:
+    """Tags, comments and declarations of an HTML text, found by one way forward.
+
+    What a search ahead has found, or that it found nothing, is kept, so that a text full of ``<`` or quotes without an
+    end is not searched again and again.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self._ahead: dict[str, int] = {}
+        #: Places of quotes from which no tag ends.
+        self._endless: set[int] = set()
+
+    def _next(self, what: str, at: int) -> int:
+        """Place of the next ``what`` (text, or a pattern by its name) from ``at``; the length if there is none."""
+        known = self._ahead.get(what, -1)
+        if known >= at:
+            return known
+        if what == "name end":
+            found = _NAME_ENDS.search(self.source, at)
+            place = found.start() if found else -1
+        elif what == "mark":
+            found = _ATTRIBUTE_MARKS.search(self.source, at)
+            place = found.start() if found else -1
+        else:
+            place = self.source.find(what, at)
+        self._ahead[what] = place = len(self.source) if place < 0 else place
+        return place
+
+    def _tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends attributes from ``at``, quoted ones left out; -1 if there is none."""
+        source, walked = self.source, []
+        mark = self._next("mark", at)
+        while mark < len(source) and source[mark] != ">" and mark not in self._endless:
+            walked.append(mark)
+            closing = source.find(source[mark], mark + 1)
+            if closing < 0:
+                mark = len(source)
+            else:
+                found = _ATTRIBUTE_MARKS.search(source, closing + 1)
+                mark = found.start() if found else len(source)
+        if mark < len(source) and source[mark] == ">":
+            return mark
+        self._endless.update(walked)
+        return -1
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start, end, whether it's an end tag, tag and attributes of the first markup from ``at``; no tag for
+        comments and declarations."""
+        source = self.source
+        while (start := source.find("<", at)) >= 0:
+            head = source[start + 1 : start + 4]
+            if head == "!--":
+                end = self._next("-->", start + 4)
+                return start, min(end + 3, len(source)), False, "", ""
+            if head[:1] in ("!", "?"):
+                return start, min(self._next(">", start + 2) + 1, len(source)), False, "", ""
+            ending = head[:1] == "/"
+            name = start + 1 + ending
+            if source[name : name + 1].isascii() and source[name : name + 1].isalpha():
+                stop = self._next("name end", name)
+                end = self._tag_end(stop) if stop < len(source) else -1
+                if end >= 0:
+                    return start, end + 1, ending, source[name:stop], source[stop:end]
+            at = start + 1
+        return None
+
+
+_RULES = list(CLOSED_BY.items())
+#: Of a tag: the rules that it plays a part in, and whether it is their border.
+_ROLES = {
+    tag: [(k, tag in border) for k, (_, (inner, border)) in enumerate(_RULES) if tag in inner or tag in border]
+    for _, sets in _RULES
+    for tag in sets[0] | sets[1]
+}
+_RULE_OF = {tag: k for k, (tag, _) in enumerate(_RULES)}
+
+
+class OpenTags:
+    """How many elements of a tag are open, in the innermost scope and altogether, and since the last border of each
+    rule of ``CLOSED_BY``; told without a walk over the open elements."""
+
+    def __init__(self) -> None:
+        self.all: dict[str, int] = {}
+        self.scopes: list[dict[str, int]] = [{}]
+        self.since: list[list[int]] = [[0] for _ in _RULES]
+
+    def opened(self, tag: str) -> None:
+        self.all[tag] = self.all.get(tag, 0) + 1
+        if tag in SCOPES:
+            self.scopes.append({})
+        else:
+            self.scopes[-1][tag] = self.scopes[-1].get(tag, 0) + 1
+        for k, border in _ROLES.get(tag, ()):
+            if border:
+                self.since[k].append(0)
+            else:
+                self.since[k][-1] += 1
+
+    def closed(self, tag: str) -> None:
+        self.all[tag] -= 1
+        if tag in SCOPES:
+            self.scopes.pop()
+        else:
+            self.scopes[-1][tag] -= 1
+        for k, border in _ROLES.get(tag, ()):
+            if border:
+                self.since[k].pop()
+            else:
+                self.since[k][-1] -= 1
+
+    def ends(self, tag: str) -> bool:
+        """True if an end tag has an element to close."""
+        return (self.all if tag in SCOPES else self.scopes[-1]).get(tag, 0) > 0
+
+    def gives_way(self, tag: str) -> frozenset[str]:
+        """Tags of which an open element ends where ``tag`` begins; empty if none is open."""
+        if tag in _RULE_OF:
+            k = _RULE_OF[tag]
+            return _RULES[k][1][0] if self.since[k][-1] else frozenset()
+        return frozenset(["p"]) if tag in CLOSES_P and self.scopes[-1].get("p", 0) else frozenset()
+
+
 def read_page(source: str) -> Page:
     """Nodes in the order of their beginnings, and text blocks, of an HTML text."""
     nodes = [Node("", -1, 0, _EMPTY, _EMPTY)]
@@ -158,47 +284,44 @@ def read_page(source: str) -> Page:
         if any(tag not in INLINE for tag, _ in stack[to:]):
             flush()
         for tag, node in reversed(stack[to:]):
+            opened.closed(tag)
             if tag == "a":
                 links -= 1
             elif tag not in INLINE:
                 nodes[node].end = len(nodes)
         del stack[to:]
 
+    def close_nearest(tags: frozenset[str]) -> None:
+        place = len(stack) - 1
+        while stack[place][0] not in tags:
+            place -= 1
+        close(place)
+
+    markup, opened = Markup(source), OpenTags()
     at, length = 0, len(source)
     while at < length:
-        found = _MARKUP.search(source, at)
+        found = markup.after(at)
         if not found:
             add(source[at:])
             break
-        add(source[at : found.start()])
-        at = found.end()
-        ending, tag, attributes = found[1], found[2], found[3]
+        start, end, ending, tag, attributes = found
+        add(source[at:start])
+        at = end
         if not tag:
             continue
         tag = tag.lower()
         if ending:
-            for place in range(len(stack) - 1, 0, -1):
-                if stack[place][0] == tag:
-                    close(place)
-                    break
-                if stack[place][0] in SCOPES:
-                    if tag in SCOPES:
-                        continue
-                    break
+            if opened.ends(tag):
+                close_nearest(frozenset([tag]))
             continue
         if tag in RAW:
-            over = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
             if not attributes.endswith("/"):
+                over = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
                 at = over.end() if over else length
             continue
         if tag in CLOSES_P or tag in CLOSED_BY:
-            inner, border = CLOSED_BY.get(tag, (frozenset(["p"]), SCOPES))
-            for place in range(len(stack) - 1, 0, -1):
-                if stack[place][0] in border:
-                    break
-                if stack[place][0] in inner:
-                    close(place)
-                    break
+            if ended := opened.gives_way(tag):
+                close_nearest(ended)
             # inline elements stay open in principle, but their node ends with the block
             while stack[-1][0] in INLINE:
                 close(len(stack) - 1)
@@ -210,6 +333,7 @@ def read_page(source: str) -> Page:
             elif tag not in VOID:
                 links += tag == "a"
                 stack.append((tag, node))
+                opened.opened(tag)
             continue
         flush()
         if tag in VOID:
@@ -218,6 +342,7 @@ def read_page(source: str) -> Page:
         nodes.append(Node(tag, node, nodes[node].depth + 1, groups_of(tag, attributes), above))
         if not attributes.endswith("/"):
             stack.append((tag, len(nodes) - 1))
+            opened.opened(tag)
         else:
             nodes[-1].end = len(nodes)
     flush()
@@ -390,32 +515,34 @@ def main_labels(page: Page, main: int) -> np.ndarray:
     return labels
 
 
-def training_rows(sources: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the nodes of layouts made from pages."""
-    rows, labels = [], []
-    for seed, source in enumerate(sources):
-        page = read_page(source)
-        blocks = [
-            text
-            for node, text in page.blocks
-            if not (page.nodes[node].own | page.nodes[node].above) - {GROUP_OF["content"]} and len(text) > 20
-        ]
-        if not blocks:
-            continue
-        mains = [k for k, x in enumerate(page.nodes) if x.tag in ("article", "main")]
-        if len(mains) == 1:  # the page tells its own main part
-            rows.append(features(page))
-            labels.append(main_labels(page, mains[0]))
-        for made, mark in layouts(blocks, seed, LAYOUTS):
-            # the marker is found by its place, then the page is read without it
-            before, _, after = made.partition(f' {mark}="1"')
-            place = read_page(before + ">").nodes
-            made_page = read_page(before + after)
-            rows.append(features(made_page))
-            labels.append(main_labels(made_page, len(place) - 1))
-    if not rows:
-        return np.zeros((0, N_FEATURES)), np.zeros(0)
-    return np.concatenate(rows), np.concatenate(labels)
+def training_rows(source: str, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and labels of the nodes of a page that tells its main part, and of layouts made from it."""
+    page = read_page(source)
+    blocks = [
+        text
+        for node, text in page.blocks
+        if not (page.nodes[node].own | page.nodes[node].above) - {GROUP_OF["content"]} and len(text) > 20
+    ]
+    if not blocks:
+        return
+    mains = [k for k, x in enumerate(page.nodes) if x.tag in ("article", "main")]
+    if len(mains) == 1:  # the page tells its own main part
+        yield features(page), main_labels(page, mains[0])
+    for made, mark in layouts(blocks, seed, LAYOUTS):
+        # the marker is found by its place, then the page is read without it
+        before, _, after = made.partition(f' {mark}="1"')
+        place = read_page(before + ">").nodes
+        made_page = read_page(before + after)
+        yield features(made_page), main_labels(made_page, len(place) - 1)
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for seed, source in zip(batch["seed"].to_pylist(), batch["html"], strict=True):
+            for rows, labels in training_rows(source.as_py(), seed):
+                values = pa.FixedSizeListArray.from_arrays(pa.array(rows.reshape(-1)), N_FEATURES)
+                columns = [pa.array(labels), values.cast(pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["label", "row"])
 
 
 # --- the trees -----------------------------------------------------------------------------
@@ -449,23 +576,23 @@ class Trees:
 
 
 def fitted(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> Trees | None:
-    """Trees trained on layouts of a sample of pages; None if there is nothing to learn from."""
-    spark = pages.sparkSession
-    # the pages of the least hashes; only these pages leave the executors
-    hashed = pages.where("html is not null").select("html", F.xxhash64("html").alias("order"))
+    """Trees trained on layouts of a sample of pages; None if there is nothing to learn from.
+
+    Pages are read in tasks; only features of their nodes are written to the scratch folder.
+    """
+    # the different pages of the least hashes
+    hashed = pages.where(F.length("html") <= TRAINING_LENGTH).select("html", F.xxhash64("html").alias("order"))
     least = hashed.select("order").distinct().orderBy("order").limit(training_pages)
-    last = least.agg(F.max("order").alias("last")).first()["last"]
-    sample = hashed.where(F.col("order") <= F.lit(last).cast("bigint")).limit(training_pages).collect()
-    rows, labels = training_rows([r["html"] for r in sample])
-    if len(set(labels.tolist())) < 2:
+    places = {r.order: k for k, r in enumerate(least.collect())}  # numbers of the sample
+    if not places:
         return None
-    table = pa.table(
-        {
-            "label": pa.array(labels),
-            "row": pa.FixedSizeListArray.from_arrays(pa.array(rows.reshape(-1)), N_FEATURES).cast(pa.list_(pa.float64())),
-        }
-    )
-    data = spark.createDataFrame(table).select("label", array_to_vector("row").alias("features"))
+    seeds = pages.sparkSession.createDataFrame(list(places.items()), "order bigint, seed int")
+    sample = hashed.join(F.broadcast(seeds), "order").dropDuplicates(["order"]).select("seed", "html")
+    rows = materialised(sample.mapInArrow(_train, "label double, row array<double>"), "dom-training")
+    if rows.agg(F.count_distinct("label")).first()[0] < 2:
+        return None
+    # in one order, so that the trees come out the same each time
+    data = rows.coalesce(1).sortWithinPartitions("row", "label").select("label", array_to_vector("row").alias("features"))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3, minInstancesPerNode=10).fit(data)
     return _as_arrays(model)
 
