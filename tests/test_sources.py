@@ -163,8 +163,22 @@ def test_files_of_single_rows_are_written_by_their_tasks(spark, tmp_path, monkey
         vm.write_files(frame, str(tmp_path), "many")
         got = vm.read_asset(spark, str(tmp_path), "many", "binary").collect()
         assert sorted((r.path.rsplit("/", 1)[1], bytes(r.content)) for r in got) == sorted(rows)
-    assert QUERIES["asset_document"](spark, "/root/testdata/sf0.001").count() and QUERIES["asset_binary"](spark, "/root/testdata/sf0.001").count() == 1
+    assert QUERIES["asset_document"](spark, "/root/testdata/sf0.001").count() and QUERIES["asset_binary"](spark, "/root/testdata/sf0.001").count() == 40
     with pytest.raises(ValueError, match="not unique"):
         vm.write_files(frame.withColumn("name", F.lit("same")), str(tmp_path), "twice")
     with pytest.raises(ValueError, match="mounted"):
         vm.write_files(frame, "hdfs://host/x", "far")
+
+
+def test_a_failed_write_of_files_leaves_the_old_ones(spark, tmp_path):
+    base = str(tmp_path)
+    good = spark.createDataFrame([("a", b"1"), ("b", b"2")], "name string, content binary")
+    vm.write_files(good, base, "set")
+    for rows in ([("a", b"3"), ("a", b"4")], [("c", b"5"), (None, b"6")]):
+        with pytest.raises(Exception):  # noqa: B017
+            vm.write_files(spark.createDataFrame(rows, "name string, content binary"), base, "set")
+        found = vm.read_asset(spark, base, "set", "binary").select("content").collect()
+        assert sorted(bytes(r.content) for r in found) == [b"1", b"2"]
+    vm.write_files(good.where("name = 'b'"), base, "set")
+    assert vm.read_asset(spark, base, "set", "binary").count() == 1
+    assert [x.name for x in tmp_path.iterdir()] == ["set.bin"]

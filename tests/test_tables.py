@@ -300,3 +300,53 @@ def test_clustered_files_spread_a_hot_first_value(spark, tmp_path):
     )
     ranges = sorted((r.lo, r.hi) for r in by_file.collect())
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def content_of(spark, root, name):
+    return vm.fingerprint(vm.read_table(spark, root, name), content=True).first().content_hash
+
+
+def test_the_content_hash_is_kept_through_writes(spark, tmp_path):
+    root, kind = str(tmp_path), "k bigint, v string, p string"
+    rows = spark.createDataFrame([(k, f"v{k}", "ab"[k % 2]) for k in range(50)], kind)
+    vm.overwrite(rows, root, "t", partition_by=["p"], content_hash=True)
+    assert vm.table_content(spark, root, "t") == content_of(spark, root, "t")
+    vm.append(spark.createDataFrame([(99, "b"), (99, "a")], "k bigint, p string"), root, "t")
+    assert vm.table_content(spark, root, "t") == content_of(spark, root, "t")
+    changed = [(3, None, "a"), (4, "new", "b"), (1000, "x", "a")]
+    vm.merge(spark.createDataFrame(changed, kind), root, "t", key="k")
+    assert vm.table_content(spark, root, "t") == content_of(spark, root, "t")
+    vm.append(spark.createDataFrame([(7, "c", 1)], "k bigint, p string, more int"), root, "t")
+    assert vm.table_content(spark, root, "t") == content_of(spark, root, "t")
+    vm.merge(spark.createDataFrame([(5, "z", "a", 2)], kind + ", more int"), root, "t", key="k")
+    assert vm.table_content(spark, root, "t") == content_of(spark, root, "t")
+    vm.drop_versions(spark, root, "t")
+    assert vm.table_content(spark, root, "t") == content_of(spark, root, "t")
+    vm.overwrite(rows, root, "t")
+    assert vm.table_content(spark, root, "t") is None
+
+
+def test_rows_and_nulls_are_observed_while_writing(spark, tmp_path, monkeypatch):
+    from viewmart.sources import tables
+
+    root = str(tmp_path)
+    rows = spark.createDataFrame([(k, None if k == 7 else "x") for k in range(30)], "k bigint, v string")
+    read = []
+    monkeypatch.setattr(tables, "_read", lambda *a: read.append(a))
+    assert vm.overwrite(rows, root, "t", expect={"not_null": ["k"], "min_rows": 30, "columns": {"k": "int"}}).rows == 30
+    assert not read  # the written files are not read again
+    for spec, message in [
+        ({"not_null": ["v"]}, "not_null v: got 1"),
+        ({"max_rows": 29}, "max_rows 29: got 30"),
+        ({"min_rows": 31}, "min_rows 31: got 30"),
+        ({"columns": {"v": "int"}}, "column v: got string"),
+        ({"not_null": ["none"], "unique": ["gone"]}, "not_null none: got missing; unique gone: got missing"),
+    ]:
+        with pytest.raises(AssertionError, match=message):
+            vm.overwrite(rows, root, "t", expect=spec)
+    monkeypatch.undo()
+    assert vm.table_rows(spark, root, "t") == 30
+    with pytest.raises(AssertionError, match="unique v: got 28"):
+        vm.overwrite(rows, root, "t", expect={"unique": ["v"]})
+    assert vm.overwrite(rows.where("false"), root, "t", expect={"min_rows": 1}) is None
+    assert vm.table_rows(spark, root, "t") == 30

@@ -70,6 +70,7 @@ from viewmart.sources.tables import (
     merge,
     overwrite,
     read_table,
+    table_content,
     table_exists,
     table_rows,
     validate_asset,

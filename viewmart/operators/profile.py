@@ -139,27 +139,37 @@ def _canonical(column: Column, kind: T.DataType) -> Column:
     return column.cast("string")
 
 
-def row_text(schema: T.StructType) -> Column:
+def row_text(schema: T.StructType, present: list[str] | None = None) -> Column:
     """The row as one text: of each value its length, a colon and the value, or ``-`` for NULL.
 
-    Rows differ in it wherever they differ, also where a NULL or a separator moves.
+    Rows differ in it wherever they differ, also where a NULL or a separator moves. Columns that are not
+    among ``present`` are NULL.
     """
     parts = []
     for field in schema:
+        if present is not None and field.name not in present:
+            parts.append(F.lit("-"))
+            continue
         text = _canonical(F.col(quoted(field.name)), field.dataType)
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.concat(*parts) if parts else F.lit("")
 
 
+def content_sum(schema: T.StructType, present: list[str] | None = None) -> Column:
+    """Aggregate: the sum over all rows of the first 60 bits of the md5 of :func:`row_text`, 0 without rows.
+
+    It does not depend on the order of rows, and those of two sets of rows add up to that of both.
+    """
+    digits = F.conv(F.substring(F.md5(row_text(schema, present)), 1, 15), 16, 10)
+    return F.coalesce(F.sum(digits.cast("decimal(38,0)")), F.lit(0)).cast("string")
+
+
 def fingerprint(df: DataFrame, *, content: bool = False) -> DataFrame:
     """One row: ``tag`` of row count and schema, a cheap sign of change.
 
-    It cannot see edits that keep the row count. ``content`` adds ``content_hash``, the
-    sum over all rows of the first 60 bits of the md5 of :func:`row_text`; it does not depend on row order.
+    It cannot see edits that keep the row count. ``content`` adds ``content_hash``, see :func:`content_sum`.
     """
     columns = [tag(F.count("*"), df.schema).alias("tag")]
     if content:
-        digits = F.conv(F.substring(F.md5(row_text(df.schema)), 1, 15), 16, 10)
-        row_hash = digits.cast("decimal(38,0)")
-        columns.append(F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("content_hash"))
+        columns.append(content_sum(df.schema).alias("content_hash"))
     return df.agg(*columns)

@@ -209,59 +209,80 @@ def arrow_name(kind: T.DataType) -> str:
     return names.get(kind.simpleString(), kind.simpleString())
 
 
-def validation(df: DataFrame, spec: dict[str, Any]) -> DataFrame:
-    """A table contract as rows ``check, subject, actual, ok``.
+def _unique(spec: dict[str, Any]) -> list[str]:
+    unique = spec.get("unique") or []
+    return [unique] if isinstance(unique, str) else list(unique)
 
-    ``spec`` may hold ``columns`` ({name: part of the Arrow type name}), ``not_null``, ``unique``
-    (a name or a list, composite), ``min_rows`` and ``max_rows``. A missing column that is to
-    be non-null or unique fails its check. Rows and NULLs take one pass, uniqueness another.
-    """
-    spark, present = df.sparkSession, set(df.columns)
-    types = {f.name: arrow_name(f.dataType) for f in df.schema}
-    literal = F.array().cast("array<struct<check:string,subject:string,actual:string,ok:boolean>>")
 
-    def line(check: str, subject: str, actual, ok) -> Column:
-        return F.struct(
-            F.lit(check).alias("check"),
-            F.lit(subject).alias("subject"),
-            (actual if isinstance(actual, Column) else F.lit(actual)).cast("string").alias("actual"),
-            (ok if isinstance(ok, Column) else F.lit(ok)).alias("ok"),
-        )
+def contract_measures(schema: T.StructType, spec: dict[str, Any]) -> dict[str, Column]:
+    """Aggregates that tell the parts of a contract about rows and NULLs, by name."""
+    measures = {}
+    if spec.get("min_rows") or spec.get("max_rows") is not None:
+        measures["rows"] = F.count("*")
+    for i, name in enumerate(spec.get("not_null") or []):
+        if name in schema.names:
+            measures[f"nulls{i}"] = F.count_if(F.col(quoted(name)).isNull())
+    return measures
 
-    lines, aggregates = [], []
+
+def contract_report(counts: DataFrame, schema: T.StructType, spec: dict[str, Any]) -> DataFrame:
+    """The parts of a contract but uniqueness, as in :func:`validation`, from one row of :func:`contract_measures`."""
+    present, types = set(schema.names), {f.name: arrow_name(f.dataType) for f in schema}
+    literal = F.array().cast("array<struct<check:string,subject:string,actual:string,ok:boolean>>")
+    lines = []
     if spec.get("min_rows"):
-        lines.append(line("min_rows", str(spec["min_rows"]), F.col("rows"), F.col("rows") >= spec["min_rows"]))
+        lines.append(_line("min_rows", str(spec["min_rows"]), F.col("rows"), F.col("rows") >= spec["min_rows"]))
     if spec.get("max_rows") is not None:
-        lines.append(line("max_rows", str(spec["max_rows"]), F.col("rows"), F.col("rows") <= spec["max_rows"]))
-    if lines:
-        aggregates.append(F.count("*").alias("rows"))
+        lines.append(_line("max_rows", str(spec["max_rows"]), F.col("rows"), F.col("rows") <= spec["max_rows"]))
     for name, expected in (spec.get("columns") or {}).items():
         actual = types.get(name)
-        lines.append(line("column", name, actual or "missing", actual is not None and expected in actual))
+        lines.append(_line("column", name, actual or "missing", actual is not None and expected in actual))
     for i, name in enumerate(spec.get("not_null") or []):
         if name not in present:
-            lines.append(line("not_null", name, "missing", False))
+            lines.append(_line("not_null", name, "missing", False))
             continue
-        aggregates.append(F.count_if(F.col(quoted(name)).isNull()).alias(f"nulls{i}"))
-        lines.append(line("not_null", name, F.col(f"nulls{i}"), F.col(f"nulls{i}") == 0))
-    unique = spec.get("unique") or []
-    unique = [unique] if isinstance(unique, str) else list(unique)
-    absent = [k for k in unique if k not in present]
-    if absent:
-        lines.append(line("unique", ", ".join(unique), "missing", False))
-
-    counts = df.agg(*aggregates) if aggregates else spark.range(1)
-    report = counts.select(F.inline(F.concat(literal, F.array(*lines)) if lines else literal))
-    if unique and not absent:
+        lines.append(_line("not_null", name, F.col(f"nulls{i}"), F.col(f"nulls{i}") == 0))
+    unique = _unique(spec)
+    if any(k not in present for k in unique):
+        lines.append(_line("unique", ", ".join(unique), "missing", False))
+    return counts.select(F.inline(F.concat(literal, F.array(*lines)) if lines else literal))
+
+
+def _line(check: str, subject: str, actual, ok) -> Column:
+    return F.struct(
+        F.lit(check).alias("check"),
+        F.lit(subject).alias("subject"),
+        (actual if isinstance(actual, Column) else F.lit(actual)).cast("string").alias("actual"),
+        (ok if isinstance(ok, Column) else F.lit(ok)).alias("ok"),
+    )
+
+
+def validation(df: DataFrame, spec: dict[str, Any]) -> DataFrame:
+    """A table contract as rows ``check, subject, actual, ok``.
+
+    ``spec`` may hold ``columns`` ({name: part of the Arrow type name}), ``not_null``, ``unique``
+    (a name or a list, composite), ``min_rows`` and ``max_rows``. A missing column that is to
+    be non-null or unique fails its check. Rows and NULLs take one pass, uniqueness another.
+    """
+    measures = contract_measures(df.schema, spec)
+    counts = df.agg(*[m.alias(n) for n, m in measures.items()]) if measures else df.sparkSession.range(1)
+    report = contract_report(counts, df.schema, spec)
+    unique = _unique(spec)
+    if unique and set(unique) <= set(df.columns):
         twice = F.col("duplicates")
-        key_line = F.array(line("unique", ", ".join(unique), twice, twice == 0))
+        key_line = F.array(_line("unique", ", ".join(unique), twice, twice == 0))
         report = report.unionByName(duplicate_keys(df, unique).select(F.inline(key_line)))
     return report
 
 
 def validate(df: DataFrame, spec: dict[str, Any]) -> None:
     """Raise AssertionError for the parts of the contract that do not hold."""
-    failed = validation(df, spec).where(~F.col("ok")).collect()  # a few rows
+    raise_failed(validation(df, spec))
+
+
+def raise_failed(report: DataFrame) -> None:
+    """Raise AssertionError for the rows of a report that are not ok."""
+    failed = report.where(~F.col("ok")).collect()  # a few rows
     if failed:
         lines = [f"{r.check} {r.subject}: got {r.actual}" for r in failed]
         raise AssertionError("; ".join(lines))

@@ -5,7 +5,6 @@ Facts are made from ``lineitem`` (ship day, part, quantity) and ``events`` (day,
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -576,7 +575,7 @@ def ingest_rejects(spark, sf_dir):
 
 @query(EVENT_DUMP)
 def ingest_stream_equal_names(spark, sf_dir):
-    """Files of one name in several folders, one file per batch."""
+    """Files of one name in several folders, forty files a batch."""
     folder = scratch_folder(spark, "names")
     lines = spark.read.text(event_dump(spark, sf_dir))  # with the day of its folder
     lines = lines.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)))
@@ -945,6 +944,27 @@ def merge_table(spark, sf_dir):
     return vm.read_table(spark, root, "orders")
 
 
+KEPT = f"""(select o_orderkey, o_custkey, o_orderstatus, o_orderpriority from ({MERGED})
+    union all select -o_orderkey, o_custkey, 'again', o_orderpriority from orders where o_custkey % 3 = 0)"""
+
+
+@query(f"""select count(*) as rows, coalesce(sum(('0x' || substr(md5({" || ".join(
+    map(framed, ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]))}), 1, 15))::bigint), 0)::varchar
+    as content_hash from {KEPT}""")
+def content_kept(spark, sf_dir):
+    """The content hash that a table carries through an append and a merge, from its note."""
+    root = scratch_folder(spark, "content")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    again = orders.where("o_custkey % 3 = 0").withColumns(
+        {"o_orderkey": -F.col("o_orderkey"), "o_orderstatus": F.lit("again")}
+    )
+    vm.overwrite(orders, root, "orders", content_hash=True)
+    vm.append(again, root, "orders")
+    vm.merge(order_changes(spark, sf_dir).drop("o_orderdate"), root, "orders", key="o_orderkey")
+    row = (vm.table_rows(spark, root, "orders"), vm.table_content(spark, root, "orders"))
+    return spark.createDataFrame([row], "rows bigint, content_hash string")
+
+
 APPENDED = """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
         o_orderpriority, null::bigint as lines from orders
     union all select l_orderkey, null, max(l_returnflag), null, null, null, count(*)
@@ -1139,36 +1159,40 @@ def list_assets(spark, sf_dir):
     )
 
 
-@query("""select 'there' as asset, true as found union all select 'fresh', true
-    union all select 'absent', false union all select 'deleted', false""")
+@query("""select n_name, rich and n_nationkey % 3 <> 0 as found, rich as written, rich and n_nationkey % 3 = 0 as deleted
+    from (select n_name, n_nationkey, exists (select 1 from customer where c_nationkey = n_nationkey
+        and c_acctbal > 9000) as rich from nation)""")
 def asset_exists(spark, sf_dir):
+    """One asset for each nation that has rich customers, some of them deleted again."""
     base = scratch_folder(spark, "assets")
-    for name in ("events", "gone"):
-        vm.write_asset(table(spark, sf_dir, "events"), base, name)
-    vm.delete_asset(spark, base, "gone")
-    rows = [
-        ("there", vm.asset_exists(spark, base, "events")),
-        ("fresh", vm.asset_exists(spark, base, "events", max_age_days=1)),
-        ("absent", vm.asset_exists(spark, base, "none")),
-        ("deleted", vm.asset_exists(spark, base, "gone")),
-    ]
-    return spark.createDataFrame(rows, "asset string, found boolean")
-
-
-@query("select md5(string_agg(text, '' order by item_id)) as content, sum(strlen(text))::bigint as length from benchmark")
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    folder = F.concat(F.col("c_nationkey").cast("string"), F.lit(".parquet")).alias("nation")
+    rich = customers.where("c_acctbal > 9000").select(folder, "c_custkey", "c_name")
+    # all of them in one job: a folder of parquet files each
+    rich.hint("rebalance", "nation").write.partitionBy("nation").parquet(f"{base}/rich")
+    rows = []
+    for n in nations.select("n_name", "n_nationkey").collect():  # 25 nations
+        asset = f"rich/nation={n.n_nationkey}"
+        written = vm.asset_exists(spark, base, asset, max_age_days=1)
+        if written and n.n_nationkey % 3 == 0:
+            vm.delete_asset(spark, base, asset)
+        found = vm.asset_exists(spark, base, asset)
+        rows.append((n.n_name, found, written, written and not found))
+    return spark.createDataFrame(rows, "n_name string, found boolean, written boolean, deleted boolean")
+
+
+@query("""select item_id, md5(text) as content, strlen(text)::bigint as length from benchmark
+    where strlen(text) > 0""")
 def asset_binary(spark, sf_dir):
-    """Bytes out and in, one file per item; the digest reads them in turn."""
+    """Bytes out and in, one file per item."""
     base = scratch_folder(spark, "assets")
     name = F.concat(F.lit("item-"), F.col("item_id").cast("string"))
     items = table(spark, sf_dir, "benchmark").select(name.alias("name"), F.col("text").cast("binary").alias("content"))
     vm.write_files(items, base, "texts")
-    files = vm.read_asset(spark, base, "texts", "binary")
     number = F.regexp_extract("path", "item-(-?[0-9]+)$", 1).cast("bigint")
-    digest, length = hashlib.md5(), 0
-    for row in files.select(number.alias("number"), "content").orderBy("number").toLocalIterator():
-        digest.update(row.content)
-        length += len(row.content)
-    return spark.createDataFrame([(digest.hexdigest(), length)], "content string, length bigint")
+    return vm.read_asset(spark, base, "texts", "binary").select(
+        number.alias("item_id"), F.md5("content").alias("content"), "length"
+    )
 
 
 @query("select p_partkey, p_name from part")

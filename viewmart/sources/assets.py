@@ -103,7 +103,8 @@ def write_files(df: DataFrame, base: str, asset_id: str, *, extension: str = "bi
     """Write an asset as a folder with one file per row (``name``, ``content``); returns its path.
 
     Each file is written by the task that holds its row, so no value reaches the driver. The folder must lie on
-    a file system that all executors mount (no scheme, or ``file``). Names are plain and differ, or it raises.
+    a file system that all executors mount (no scheme, or ``file``). Names are plain and differ, or it raises; the
+    files become visible together, and if a task fails the old asset stays.
     Empty values become empty files, which Spark's ``binaryFile`` does not list.
     """
     spark, path = df.sparkSession, asset_path(base, asset_id, extension)
@@ -111,23 +112,29 @@ def write_files(df: DataFrame, base: str, asset_id: str, *, extension: str = "bi
     if parts.scheme not in ("", "file"):
         raise ValueError(f"files of single rows need a mounted file system, not '{parts.scheme}'")
     folder = storage.absolute(spark, path)
-    storage.delete(spark, path)
-    os.makedirs(folder)
+    made = f"{folder}.{uuid.uuid4().hex}.draft"
+    os.makedirs(made)
 
     def write(rows: Iterator[Row]) -> Iterator[int]:
         for row in rows:
             if row.content is None or not row.name or row.name[0] in "_." or "/" in row.name:
                 raise ValueError(f"no file can be written for the name {row.name!r}")
-            draft = f"{folder}/.{uuid.uuid4().hex}"
+            draft = f"{made}/.{uuid.uuid4().hex}"
             with open(draft, "wb") as file:
                 file.write(row.content)
-            os.replace(draft, f"{folder}/{row.name}")
+            os.replace(draft, f"{made}/{row.name}")
             yield 1
 
-    rows = df.select("name", F.col("content").cast("binary").alias("content")).rdd.mapPartitions(write).sum()
-    files = sum(1 for x in os.scandir(folder) if x.name[0] != ".")
-    if rows != files:
-        raise ValueError(f"{rows} rows gave {files} files: names are not unique")
+    try:
+        rows = df.select("name", F.col("content").cast("binary").alias("content")).rdd.mapPartitions(write).sum()
+        files = sum(1 for x in os.scandir(made) if x.name[0] != ".")
+        if rows != files:
+            raise ValueError(f"{rows} rows gave {files} files: names are not unique")
+        storage.delete(spark, path)
+        os.replace(made, folder)
+    except BaseException:
+        storage.delete(spark, made)
+        raise
     return path
 
 

@@ -8,7 +8,8 @@ lost job leaves the table as it was::
     <root>/<name>/full=00000003/_part=00000004/   appended or merged since
 
 A merge writes the rows of the files that it changes, with the new rows, as one more part; its note names
-the old files that no longer count. One writer per table at a time; :func:`drop_versions` removes what
+the old files that no longer count. Rows, NULLs and the content hash of a write are observed while it runs, so its
+files are not read again for them. One writer per table at a time; :func:`drop_versions` removes what
 the table no longer reads.
 """
 
@@ -21,14 +22,14 @@ from functools import reduce
 from operator import and_
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewmart.functions import storage
 from viewmart.operators.changes import as_list, check_keys, clashing_updates, conform, merged_parts
-from viewmart.operators.profile import quoted
-from viewmart.operators.quality import key_report, validate
+from viewmart.operators.profile import content_sum, quoted
+from viewmart.operators.quality import contract_measures, contract_report, key_report, raise_failed, validate
 
 NOTE = "_note.json"
 
@@ -53,6 +54,8 @@ class _State:
     schema: T.StructType | None
     partition_by: tuple[str, ...]
     rows: int
+    #: Content hash of all rows, if the table keeps one.
+    content: int | None = None
     #: Files of the parts that merges have replaced, relative to the table's folder.
     removed: frozenset[str] = frozenset()
 
@@ -90,6 +93,7 @@ def _state(spark: SparkSession, uri: str) -> _State:
                 T.StructType.fromJson(last["schema"]),
                 tuple(last["partition_by"]),
                 last["rows"],
+                None if last.get("content") is None else int(last["content"]),
                 frozenset(last.get("removed", ())),
             )
     return _State(used, None, (), None, (), 0)
@@ -143,6 +147,18 @@ def table_rows(spark: SparkSession, root: str, name: str) -> int:
     return state.rows
 
 
+def table_content(spark: SparkSession, root: str, name: str) -> str | None:
+    """Content hash of all rows as :func:`viewmart.operators.profile.fingerprint` gives it, from the table's note.
+
+    None if the table keeps none. Appends and merges update it from the rows that they write and replace.
+    """
+    uri = _uri(root, name)
+    state = _state(spark, uri)
+    if state.full is None:
+        raise FileNotFoundError(f"no table at {uri}")
+    return None if state.content is None else str(state.content)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])
 
@@ -158,16 +174,28 @@ def _write(
     replaced: list[str] | None = None,
     clustered_by: list[str] | None = None,
     expect: dict[str, Any] | None = None,
+    content_hash: bool = False,
 ) -> tuple[int, int, int] | None:
     """Write ``df`` as the next part; ``(version, rows written, rows in table)``, None if empty.
 
-    ``replaced`` are files that the new part stands for.
+    ``replaced`` are files that the new part stands for. A content hash is made if ``content_hash`` asks for it, and
+    carried on if the table has one: that of replaced rows is subtracted, that of the new part added.
     """
     spark = df.sparkSession
     before = state.rows if append_to is not None else 0
     removed = state.removed if append_to is not None else frozenset()
+    content = 0 if append_to is None and content_hash else state.content if append_to is not None else None
+    if content is not None and append_to is not None and state.schema.names != schema.names:
+        # every row has another text now
+        wider = T.StructType(schema.fields)
+        content = int(_read(spark, uri, state).agg(content_sum(wider, state.schema.names)).first()[0])
     if replaced:
-        before -= _rows_of(spark, uri, state, replaced).count()  # from their footers
+        old = _rows_of(spark, uri, state, replaced)
+        if content is None:
+            before -= old.count()  # from their footers
+        else:
+            gone = old.agg(F.count("*"), content_sum(schema, state.schema.names)).first()
+            before, content = before - gone[0], content - int(gone[1])
         base = storage.absolute(spark, uri)
         removed |= {f.removeprefix(f"{base}/") for f in replaced}
     version = state.used + 1
@@ -178,19 +206,30 @@ def _write(
     elif partition_by:
         # One shuffle by partition value; AQE splits large values over several tasks.
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.option("compression", "snappy")
+    # observed right before the rows are written, after the last shuffle: each row once, whatever tasks are repeated
+    measures = contract_measures(df.schema, expect or {}) | {"rows": F.count(F.lit(1))}
+    if content is not None:
+        measures["content"] = content_sum(schema, df.columns)
+    seen = Observation()
+    writer = df.observe(seen, *[m.alias(n) for n, m in measures.items()]).write.option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(folder)
-    draft = _State(version, full, (folder,), schema, tuple(partition_by), 0)
-    written = _read(spark, uri, draft).count()  # from the footers of the new files
+    got = seen.get
+    written = got["rows"]
     if written == 0:
         storage.delete(spark, folder)
         return None
     rows = written + before
     if expect:
-        validate(_read(spark, uri, draft), expect)
+        counts = spark.range(1).select(*[F.lit(got[n]).alias(n) for n in measures if n != "content"])
+        raise_failed(contract_report(counts, schema, expect))
+        if expect.get("unique"):  # needs a shuffle, so it's told from the files
+            draft = _State(version, full, (folder,), schema, tuple(partition_by), 0)
+            validate(_read(spark, uri, draft), {"unique": expect["unique"]})
     note = {"schema": schema.jsonValue(), "partition_by": partition_by, "rows": rows, "removed": sorted(removed)}
+    if content is not None:
+        note["content"] = str(content + int(got["content"]))
     storage.write_note(spark, f"{folder}/{NOTE}", json.dumps(note))
     return version, written, rows
 
@@ -208,12 +247,14 @@ def overwrite(
     partition_by: list[str] | None = None,
     clustered_by: list[str] | None = None,
     expect: dict[str, Any] | None = None,
+    content_hash: bool = False,
 ) -> WriteResult | None:
     """Replace the table, schema included. An empty source changes nothing and gives None.
 
     ``clustered_by`` sorts the files by these columns (see :func:`cluster`). ``expect``
-    is a contract as in :func:`viewmart.operators.quality.validate`; it is checked on the
-    written files, and if it fails the old table stays.
+    is a contract as in :func:`viewmart.operators.quality.validate`; it is checked on what is
+    written, and if it fails the old table stays. ``content_hash`` makes the table keep one, see
+    :func:`table_content`; appends and merges then carry it on.
     """
     spark, uri = source.sparkSession, _uri(root, name)
     if partition_by and clustered_by:
@@ -227,6 +268,7 @@ def overwrite(
         partition_by=list(partition_by or []),
         clustered_by=clustered_by,
         expect=expect,
+        content_hash=content_hash,
     )
     if done is None:
         return None
