@@ -226,3 +226,15 @@ def test_secrets_of_odd_rows(spark):
     assert len(out) == len(rows)
     assert sum(len(r.found) for r in out) == 1
     assert secret_owners.reported(table(spark, [])).count() == 0
+
+
+def test_columns_named_as_helpers_keep_their_values(spark):
+    from viewmart.llm import fragment_join
+
+    names = ["__key", "__doc_id", "__text_key", "__removed", "__lines", "__KEY_"]
+    rows = [(i, f"document {'x' * (i + 1)} has words of its own and no copy anywhere " + "y" * i, "a", *[f"mine {i}"] * 6) for i in range(4)]
+    schema = "doc_id bigint, text string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    frame = spark.createDataFrame(rows, schema)
+    for keep in (quality_lines.filtered, line_runs.deduplicated, fragment_join.one_of_each):
+        out = keep(frame)
+        assert out.columns == frame.columns and sorted(map(tuple, out.collect())) == rows

@@ -33,6 +33,17 @@ def materialised(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def unused(docs: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, longer where ``docs`` has a column of that name (in any case) already."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for a text without words, null for null."""
     return F.array_remove(F.split(text, SPACES), "")

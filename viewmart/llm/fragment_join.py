@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewmart.llm.common import connected, materialised
+from viewmart.llm.common import connected, materialised, unused
 
 WORDS = 4
 PERCENT = 85
@@ -400,15 +400,16 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     Documents without words link with nothing and stay. Of repeated rows of that document one stays; rows
     with a null ``doc_id`` stay if they are alone.
     """
+    key, doc_id, text_key = unused(docs, "__key", "__doc_id", "__text_key")
     joined_ = joined(docs, words, percent)
     keep = (
         joined_.where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-        .select(F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__text_key"))
+        .select(F.col("doc_id").alias(doc_id), F.col("text_key").alias(text_key))
         .distinct()
     )
-    kept = docs.withColumn("__key", F.xxhash64("text")).join(
+    kept = docs.withColumn(key, F.xxhash64("text")).join(
         keep,
-        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__text_key")),
+        F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(key) == F.col(text_key)),
         "left_semi",
     )
     return kept.select(docs.columns)

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewmart.llm.common import materialised, words
+from viewmart.llm.common import materialised, unused, words
 from viewmart.llm.quality_lines import without_lines
 
 #: Words that a repeated run must hold to be deleted.
@@ -235,15 +235,16 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Documents that lose every line with a word are left out; all columns are kept.
     """
+    key, doc_id, text_key, lines = unused(docs, "__key", "__doc_id", "__text_key", "__lines")
     copies = later_copies(docs, min_words).select(
-        F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__text_key"), F.col("lines").alias("__lines")
+        F.col("doc_id").alias(doc_id), F.col("text_key").alias(text_key), F.col("lines").alias(lines)
     )
-    joined = docs.withColumn("__key", F.xxhash64("text")).join(
+    joined = docs.withColumn(key, F.xxhash64("text")).join(
         copies,
-        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__text_key")),
+        F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(key) == F.col(text_key)),
         "left",
     )
-    emptied = F.col("__lines").isNotNull() & ~F.coalesce(
+    emptied = F.col(lines).isNotNull() & ~F.coalesce(
         F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)
     )
-    return without_lines(joined, "__lines").where(~emptied).select(docs.columns)
+    return without_lines(joined, lines).where(~emptied).select(docs.columns)

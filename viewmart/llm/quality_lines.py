@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewmart.llm.common import SPACES, words
+from viewmart.llm.common import SPACES, unused, words
 
 #: A line is boilerplate when more distinct documents of its host hold it than both limits say.
 MAX_DOCUMENTS = 20
@@ -231,14 +231,15 @@ def filtered(
 
     ``n_chars``, if there, is counted anew for texts that change.
     """
+    key, doc_id, text_key, removed = unused(docs, "__key", "__doc_id", "__text_key", "__removed")
     verdict = judged(docs, max_documents, max_share).where("kept").select(
-        F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__text_key"), F.col("removed").alias("__removed")
-    ).dropDuplicates(["__doc_id", "__text_key"])
-    joined = docs.withColumn("__key", F.xxhash64("text")).join(
+        F.col("doc_id").alias(doc_id), F.col("text_key").alias(text_key), F.col("removed").alias(removed)
+    ).dropDuplicates([doc_id, text_key])
+    joined = docs.withColumn(key, F.xxhash64("text")).join(
         verdict,
-        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__text_key")),
+        F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(key) == F.col(text_key)),
     )
-    return without_lines(joined, "__removed").select(docs.columns)
+    return without_lines(joined, removed).select(docs.columns)
 
 
 def without_lines(docs: DataFrame, numbers: str) -> DataFrame:
