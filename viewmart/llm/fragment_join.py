@@ -381,9 +381,12 @@ def joined(
     ends = links.select(F.explode(F.array(name("a", "n_a"), name("b", "n_b"))).alias("node"))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     least = every.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
+    # a key of its own: only a join that shuffles both sides for itself is split by AQE where one component is large
+    least = least.select(F.concat(F.col("component").cast("string"), F.lit("")).alias("of"), "least")
     return (
         every.join(degree, "node", "left")
-        .join(least, "component", "left")
+        .withColumn("of", F.col("component").cast("string"))
+        .join(least, "of", "left")
         .select(
             "doc_id",
             "text_key",

@@ -216,7 +216,9 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     intervals = whole.groupBy("m", "head", "tail").agg(
         F.min(F.struct(*DOC, "start")).alias("first"), F.count(F.lit(1)).alias("n")
     ).where("n > 1").drop("n")
-    copies = whole.join(intervals, ["m", "head", "tail"]).where(
+    # a key of its own: only a join that shuffles both sides for itself is split by AQE where one run is everywhere
+    run = F.concat_ws(":", "m", "head", "tail").alias("run")
+    copies = whole.select(*DOC, "start", "m", run).join(intervals.select(run, "first"), "run").where(
         F.struct(*DOC, "start") != F.col("first")
     )
     covered = copies.select(
