@@ -105,34 +105,66 @@ def test_join_of_odd_rows(spark):
 # --- decontamination -----------------------------------------------------------------------
 
 
+def plain_words(text):
+    """Letters, digits and characters outside ASCII; A-Z lower-cased."""
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", lowered)
+
+
+def runs_of_three(words):
+    if len(words) < 3:
+        return {tuple(words)} if words else set()
+    return set(zip(words, words[1:], words[2:]))
+
+
+def share_in(part, words):
+    wanted = runs_of_three(part)
+    n = min(3, len(part))
+    held = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
+    return len(wanted & held) / len(wanted) if wanted else 1.0
+
+
+def split_item(text):
+    """Question and answer: all sentences but the last and the last, or three quarters and the rest."""
+    parts = [w for w in (plain_words(x) for x in re.split(r"(?<=[.!?])\s+|\n+", text)) if w]
+    if len(parts) > 1:
+        return sum(parts[:-1], []), parts[-1]
+    rest = max(1, len(parts[0]) // 4)
+    return parts[0][:-rest], parts[0][-rest:]
+
+
 def brute_leaks(docs, items):
-    """BM25 of every passage against every item, without an index."""
-    terms = {i: wand_decontamination.terms_of(t or "") for i, t in items}
+    """BM25 of every passage against every item, without an index and without the operator's own helpers."""
+    terms = {i: plain_words(t) for i, t in items}
     terms = {i: w for i, w in terms.items() if w}
+    parts = {i: split_item(t) for i, t in items if i in terms}
     df = Counter(w for words in terms.values() for w in set(words))
     mean = sum(map(len, terms.values())) / len(terms)
-    k1, b = wand_decontamination.K1, wand_decontamination.B
     impact = {}
     for i, words in terms.items():
         raw = {
-            w: math.log1p((len(terms) - df[w] + 0.5) / (df[w] + 0.5)) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(words) / mean))
+            w: math.log1p((len(terms) - df[w] + 0.5) / (df[w] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
             for w, tf in Counter(words).items()
         }
         impact[i] = {w: x / sum(raw.values()) for w, x in raw.items()}
     longest = max(map(len, terms.values()))
     found = set()
     for d, text in docs:
-        words = wand_decontamination.terms_of(text or "")
-        for start, end in wand_decontamination.passages(len(words), longest):
-            held = set(words[start:end])
-            for i in impact:
-                if sum(x for w, x in impact[i].items() if w in held) >= wand_decontamination.THRESHOLD - 1e-9:
-                    question, answer = wand_decontamination.question_and_answer(dict(items)[i])
-                    if (
-                        wand_decontamination.overlap(question, words[start:end]) >= wand_decontamination.QUESTION_SHARE
-                        and wand_decontamination.overlap(answer, words[start:end]) >= wand_decontamination.ANSWER_SHARE
-                    ):
-                        found.add((d, i))
+        words = plain_words(text)
+        # windows of twice the longest item, one longest item apart, the last one up to the end
+        start = 0
+        while True:
+            held = words[start : start + 2 * longest]
+            for i, (question, answer) in parts.items():
+                if sum(x for w, x in impact[i].items() if w in set(held)) < 0.5 - 1e-9:
+                    continue
+                both = share_in(question, held) >= 0.6 and share_in(answer, held) >= 0.5
+                short = len(runs_of_three(answer)) < 6 and share_in(question + answer, held) >= 0.6
+                if both or short:
+                    found.add((d, i))
+            if start + 2 * longest >= len(words):
+                break
+            start += longest
     return found
 
 
@@ -175,6 +207,42 @@ def test_leaks_by_shards_and_odd_rows(spark):
     assert wand_decontamination.decontaminated(frame, bench_of(spark, [])).count() == len(docs)
 
 
+def test_lists_of_terms_before_the_pivot_are_not_walked(monkeypatch):
+    """Every item holds the same three words, and so does every passage: no block is opened by them."""
+    items = [(k, f"which of these x{k} y{k} z{k} v{k} u{k} t{k}. the w{k}") for k in range(4_000)]
+    df = Counter(w for _, t in items for w in set(wand_decontamination.terms_of(t)))
+    index = wand_decontamination.build_index(items, len(items), 10.0, df)
+    walked = []
+    plain = wand_decontamination._expanded
+    monkeypatch.setattr(
+        wand_decontamination, "_expanded", lambda starts, terms: walked.append(int((starts[terms + 1] - starts[terms]).sum())) or plain(starts, terms)
+    )
+    assert wand_decontamination.hits(index, ["which of these the " * 500]) == [] and sum(walked) == 0
+    got = wand_decontamination.hits(index, ["which of these the " * 50 + items[77][1], "x5 y6 z7 of these"])
+    assert [(number, index.items[item]) for number, item, *_ in got] == [(0, 77)]
+    assert sum(walked) < 100  # the four common words alone stand in 500 blocks each
+
+
+def test_memory_does_not_grow_with_a_text():
+    """A text of a million words against 20,000 short items, a word of each in it."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    items = [(k, f"a{rng.randrange(900)} b{rng.randrange(900)} c{k} d{k}. e{k}") for k in range(20_000)]
+    df = Counter(w for _, t in items for w in set(wand_decontamination.terms_of(t)))
+    index = wand_decontamination.build_index(items, len(items), 5.0, df)
+    text = " ".join(f"{rng.choice('abc')}{rng.randrange(900)}" for _ in range(1_000_000))
+    most = []
+    for part in (text[: len(text) // 4], text):
+        tracemalloc.start()
+        got = wand_decontamination.hits(index, [part + " " + items[123][1]])
+        most.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert 123 in {index.items[item] for _, item, *_ in got}
+    # beyond one portion, only the words themselves and their numbers
+    assert most[1] - most[0] < 120 * 750_000
+
+
 def test_copies_with_a_changed_or_missing_last_sentence_leak(spark):
     question = " ".join(f"q{k}" for k in range(24)) + "."
     short, four = "The answer word.", "One two three four."

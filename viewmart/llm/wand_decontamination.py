@@ -4,16 +4,24 @@ Test items are indexed by term: the impact of a term on an item is its BM25 weig
 weight of all the item's terms, so the score of a passage is the share of the item that it holds and one
 threshold serves all items. Items lie in blocks; the index keeps each term's greatest impact per block.
 Every document is cut into overlapping passages, two of the longest item long and one apart, so any copy
-of an item lies in one passage whole. For each passage the greatest impacts of its terms are added per
-block: a block whose sum stays under the threshold can hold no item above it and is skipped, the
-others are scored item by item. Nothing above the threshold is missed. A hit counts as a leak when
+of an item lies in one passage whole. A passage's terms are put in the order of their greatest impact on any
+item; the pivot is the term at which the sum from the least one on reaches the threshold. Items that hold only
+terms before the pivot cannot reach it, so lists of those terms are never walked: blocks are opened by the
+lists from the pivot on alone, and a passage without a pivot opens none. In an open block the terms before the pivot
+are looked up from the greatest down, each adding its greatest impact in that block, and the block is
+left as soon as that and the sum of those still to come stay under the threshold. What is left is scored
+item by item. This is block-max WAND with all blocks of some passages moved on together, for numpy, and not
+one cursor after the other. Nothing above the threshold is missed.
+
+Passages are searched in portions of ``WORDS`` words, also within one text, and lists are walked ``CELLS`` entries at a
+time (or those of one passage), so memory does not grow with a text. A hit counts as a leak when
 enough of the word sequences of the item's question and of its answer occur in the passage. Of an answer of
 few sequences one changed word takes away more than half; there it is also a leak when enough of the sequences
 of the whole item occur, in which the answer weighs by its length, so that edited and cut copies are found.
 
-Items are collected in index shards of bounded size (``SHARD_CHARS`` of item text), each read over all
-documents, so any number of items can be handled with bounded memory; usual benchmarks are one
-shard. Documents are neither shuffled nor joined: hits are found where the text lies.
+Items are collected in index shards of bounded size (``SHARD_CHARS`` of item text), each searched over all
+documents; usual benchmarks are one shard. ``leaks`` holds one index at a time; ``decontaminated`` filters by
+all in one pass over the documents, so there the indexes of all shards are on the executors together. Documents are neither shuffled nor joined: hits are found where the text lies.
 
 The benchmark has one text per item. Its last sentence is taken for the answer, the rest for the
 question; of a single sentence, the last quarter of its words is the answer.
@@ -37,6 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from viewmart.llm.common import materialised
+
 #: BM25 saturation and length correction.
 K1, B = 1.2, 0.75
 #: Share of an item's impact that a passage must hold to be looked at.
@@ -51,6 +61,8 @@ BLOCK = 8
 SHARD_CHARS = 4_000_000
 #: Characters of documents that a task looks at together.
 TOGETHER = 1_000_000
+#: Words of passages searched together, list entries walked together, and what sums may differ by from rounding.
+WORDS, CELLS, SLACK = 200_000, 1_000_000, 1e-9
 
 HITS = "doc_id {doc}, item_id {item}, score double, question_share double, answer_share double"
 
@@ -113,6 +125,11 @@ class Index:
     block_starts: np.ndarray
     blocks: np.ndarray
     block_impacts: np.ndarray
+    #: Greatest impact of each term on any item.
+    best: np.ndarray
+    #: Postings and blocks as one sorted number each: of term and item, of term and block.
+    posting_keys: np.ndarray
+    block_keys: np.ndarray
     #: Words of the longest item.
     longest: int
 
@@ -141,6 +158,9 @@ def build_index(items: list[tuple[object, str]], n_items: int, mean: float, df:
         best[key] = max(best.get(key, 0.0), impact)
     by_block = sorted((t, b, x) for (t, b), x in best.items())
     terms = np.arange(len(vocabulary) + 2)
+    n_blocks = -(-len(items) // BLOCK)
+    greatest = np.zeros(len(vocabulary) + 1)
+    np.maximum.at(greatest, np.array([t for t, *_ in by_block], np.int64), np.array([x for *_, x in by_block]))
     return Index(
         items=[i for i, _, _ in items],
         questions=[question_and_answer(text)[0] for _, text, _ in items],
@@ -152,6 +172,9 @@ def build_index(items: list[tuple[object, str]], n_items: int, mean: float, df:
         block_starts=np.searchsorted(np.array([r[0] for r in by_block], np.int64), terms),
         blocks=np.array([r[1] for r in by_block], np.int64),
         block_impacts=np.array([r[2] for r in by_block], np.float64),
+        best=greatest,
+        posting_keys=np.array([t * n_blocks * BLOCK + i for t, i, _ in rows], np.int64),
+        block_keys=np.array([t * n_blocks + b for t, b, _ in by_block], np.int64),
         longest=max((len(words) for *_, words in items), default=0),
     )
 
@@ -169,57 +192,92 @@ def passages(n_words: int, longest: int) -> list[tuple[int, int]]:
     return [(k * longest, min(n_words, (k + 2) * longest)) for k in range(count)]
 
 
+def _groups(costs: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose costs add up to about ``most``; a dearer one is a range with few others."""
+    number = np.cumsum(costs) // most
+    borders = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(costs)]]).tolist()
+    return ((a, b) for a, b in zip(borders[:-1], borders[1:]) if a < b)
+
+
+def _open_cells(
+    index: Index, offsets: np.ndarray, terms: np.ndarray, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(passage, block) in which an item may reach the threshold.
+
+    The terms of passage ``p`` lie from ``offsets[p]`` to ``offsets[p + 1]``, by their greatest impact.
+    """
+    sums = np.concatenate([[0.0], np.cumsum(index.best[terms])])
+    upto = sums[1:] - np.repeat(sums[offsets[:-1]], np.diff(offsets))
+    passage = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    before = upto < threshold - SLACK
+    pivot = offsets[:-1] + np.bincount(passage[before], minlength=len(offsets) - 1)
+    lengths = index.block_starts[terms + 1] - index.block_starts[terms]
+    costs = np.bincount(passage[~before], lengths[~before], minlength=len(offsets) - 1).astype(np.int64)
+    n_blocks = -(-len(index.items) // BLOCK)
+    for first, last in _groups(costs, CELLS):
+        walked = np.flatnonzero(~before[offsets[first] : offsets[last]]) + offsets[first]
+        at, of = _expanded(index.block_starts, terms[walked])
+        cells, group = np.unique(passage[walked][of] * n_blocks + index.blocks[at], return_inverse=True)
+        bounds = np.bincount(group, index.block_impacts[at], minlength=len(cells))
+        # the term looked up next, from the one before the pivot down
+        place = pivot[cells // n_blocks] - 1
+        while len(cells):
+            open_ = place >= offsets[cells // n_blocks]
+            fine = bounds + np.where(open_, upto[place], 0.0) >= threshold - SLACK
+            cells, bounds, place, open_ = cells[fine], bounds[fine], place[fine], open_[fine]
+            if not open_.any():
+                break
+            keys = terms[place[open_]] * n_blocks + cells[open_] % n_blocks
+            spot = np.minimum(np.searchsorted(index.block_keys, keys), len(index.block_keys) - 1)
+            bounds[open_] += np.where(index.block_keys[spot] == keys, index.block_impacts[spot], 0.0)
+            place[open_] -= 1
+        yield cells // n_blocks, cells % n_blocks
+
+
+def _scores(
+    index: Index, offsets: np.ndarray, terms: np.ndarray, passage: np.ndarray, block: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(passage, item, score) of the items of the given blocks that hold a term of the passage."""
+    span = -(-len(index.items) // BLOCK) * BLOCK
+    for first, last in _groups(np.diff(offsets)[passage], CELLS):
+        at, of = _expanded(offsets, passage[first:last])
+        keys = terms[at] * span + block[first:last][of] * BLOCK
+        low = np.searchsorted(index.posting_keys, keys)
+        count = np.searchsorted(index.posting_keys, keys + BLOCK) - low
+        posting = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        of = np.repeat(of, count)
+        pairs, group = np.unique(passage[first:last][of] * span + index.postings[posting], return_inverse=True)
+        yield pairs // span, pairs % span, np.bincount(group, index.impacts[posting], minlength=len(pairs))
+
+
 def hits(index: Index, texts: list[str], threshold: float = THRESHOLD) -> list[tuple[int, int, float, float, float]]:
     """(text, item, score, question share, answer share) of the best passage for each text and item."""
     if not index.items:
         return []
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
-    words_of = [terms_of(text) for text in texts]
     known = index.vocabulary.get
-    where: list[tuple[int, int, int]] = []
-    ids, first = [], 0
-    starts, ends = [], []
-    for number, words in enumerate(words_of):
-        for start, end in passages(len(words), index.longest):
-            where.append((number, start, end))
-            starts.append(first + start)
-            ends.append(first + end)
-        ids += [known(w, 0) for w in words]
-        first += len(words)
-    terms = np.array(ids, np.int64)
-    sizes = np.array(ends) - np.array(starts)
-    passage = np.repeat(np.arange(len(where)), sizes)
-    place = np.arange(len(passage)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
-    terms = terms[place]
-    n_terms = len(index.vocabulary) + 1
-    distinct = np.unique((passage * n_terms + terms)[terms > 0])
-    passage, terms = distinct // n_terms, distinct % n_terms
-    # upper bounds per passage and block
-    n_blocks = -(-len(index.items) // BLOCK)
-    at, of = _expanded(index.block_starts, terms)
-    cells = passage[of] * n_blocks + index.blocks[at]
-    bounds = np.bincount(cells, index.block_impacts[at], minlength=1)
-    open_cells = np.flatnonzero(bounds >= threshold - 1e-9)
-    if not len(open_cells):
-        return []
-    # exact scores in the blocks that are left
-    left = np.isin(passage, np.unique(open_cells // n_blocks))
-    passage, terms = passage[left], terms[left]
-    at, of = _expanded(index.starts, terms)
-    item = index.postings[at]
-    looked_at = np.isin(passage[of] * n_blocks + item // BLOCK, open_cells)
-    at, of, item = at[looked_at], of[looked_at], item[looked_at]
-    pairs, group = np.unique(passage[of] * len(index.items) + item, return_inverse=True)
-    scores = np.bincount(group, index.impacts[at], minlength=len(pairs))
-    for pair, score in zip(pairs[scores >= threshold - 1e-9].tolist(), scores[scores >= threshold - 1e-9].tolist()):
-        number, start, end = where[pair // len(index.items)]
-        item_no = pair % len(index.items)
-        words = words_of[number][start:end]
-        question = overlap(index.questions[item_no], words)
-        answer = overlap(index.answers[item_no], words)
-        if is_leak(index.questions[item_no], index.answers[item_no], words, (question, answer)):
-            key = (number, item_no)
-            found[key] = max(found.get(key, (0.0, 0.0, 0.0)), (score, question, answer))
+    words_of = [terms_of(text) for text in texts]
+    ids_of = [np.array([known(w, 0) for w in words], np.int64) for words in words_of]
+    where = [(k, *cut) for k, words in enumerate(words_of) for cut in passages(len(words), index.longest)]
+    for first, last in _groups(np.array([end - start for _, start, end in where], np.int64), WORDS):
+        cuts = where[first:last]
+        terms = np.concatenate([ids_of[k][start:end] for k, start, end in cuts])
+        passage = np.repeat(np.arange(len(cuts)), [end - start for _, start, end in cuts])
+        n_terms = len(index.vocabulary) + 1
+        distinct = np.unique((passage * n_terms + terms)[terms > 0])
+        passage, terms = distinct // n_terms, distinct % n_terms
+        terms = terms[np.lexsort((index.best[terms], passage))]
+        offsets = np.searchsorted(passage, np.arange(len(cuts) + 1))
+        for cells in _open_cells(index, offsets, terms, threshold):
+            for at, items, scores in _scores(index, offsets, terms, *cells):
+                above = scores >= threshold - SLACK
+                for p, item, score in zip(at[above].tolist(), items[above].tolist(), scores[above].tolist()):
+                    number, start, end = cuts[p]
+                    words = words_of[number][start:end]
+                    question, answer = overlap(index.questions[item], words), overlap(index.answers[item], words)
+                    if is_leak(index.questions[item], index.answers[item], words, (question, answer)):
+                        key = (number, item)
+                        found[key] = max(found.get(key, (0.0, 0.0, 0.0)), (score, question, answer))
     return [(*key, *value) for key, value in found.items()]
 
 
@@ -289,7 +347,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
                 if found:
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(search, schema))
+        # hits are written, so that no index outlives its search
+        out = out.union(materialised(docs.select("doc_id", "text").mapInArrow(search, schema), "leaks"))
+        shared.destroy()
     return out
 
 
