@@ -17,6 +17,7 @@ from viewmart.operators.profile import (
     profile,
     row_count,
 )
+from viewmart.operators.interleave import interleave, write_interleaved
 from viewmart.operators.quality import expect, key_report, validate, validation, violations
 from viewmart.operators.rank import (
     monthly_views,

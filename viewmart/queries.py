@@ -1079,6 +1079,14 @@ def write_clustered(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(f"select date, entity, page_id, views from {LINE_FACTS}")
+def write_interleaved(spark, sf_dir):
+    """Laid out for lookups by page and by day alike, and read back."""
+    path = f"{scratch_folder(spark, 'interleaved')}/facts"
+    vm.write_interleaved(line_facts(spark, sf_dir), path, ["page_id", "date"], bloom=["page_id"])
+    return spark.read.parquet(path)
+
+
 @query(f"select date, entity, page_id, views from {EVENT_FACTS}")
 def write_facts(spark, sf_dir):
     """Written twice by day: the second write replaces the first."""
