@@ -84,6 +84,30 @@ def test_components_without_pivots_that_reach_all(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == components(rows)
 
 
+def test_size_bands_of_sizes_that_may_link_are_neighbours(spark):
+    for percent in (50, 80, 85, 99, 100):
+        n = 400
+        sizes = spark.range(1, n + 1)
+        band = [r[0] for r in sizes.orderBy("id").select(fragment_join.size_band("id", percent)).collect()]
+        for b in range(1, n + 1):
+            for a in range(-(-percent * b // 100), b + 1):
+                assert abs(band[a - 1] - band[b - 1]) <= 1, (percent, a, b)
+
+
+def test_last_round_makes_pairs_of_like_sizes_only(spark):
+    """One bucket of sets of all sizes that do not link: every pair that may link is made, and no other meets."""
+    rng = random.Random(3)
+    rows = [(7, k, rng.choice([10, 11, 12, 40, 43, 160, 200, 235]), 0, 0) for k in range(120)]
+    members = spark.createDataFrame(rows, "gram bigint, key bigint, n bigint, own bigint, place bigint").withColumn(
+        "component", F.struct("n", "key")
+    )
+    got = {frozenset([(r.a, r.n_a), (r.b, r.n_b)]) for r in fragment_join.all_pairs_apart(members, 85).collect()}
+    sizes = [(k, n) for _, k, n, *_ in rows]
+    assert got == {frozenset([x, y]) for x in sizes for y in sizes if x < y and 100 * min(x[1], y[1]) >= 85 * max(x[1], y[1])}
+    plan = fragment_join.all_pairs_apart(members, 85)._jdf.queryExecution().optimizedPlan().toString()
+    assert "band" in plan
+
+
 def test_components_on_the_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]

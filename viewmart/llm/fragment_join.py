@@ -34,6 +34,7 @@ each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -200,6 +201,13 @@ def _may_link(percent: int) -> Column:
     return (100 * small >= percent * large) & differ
 
 
+def size_band(n: str, percent: int) -> Column:
+    """Number of a size's band; those of two sizes that may link differ by one at most."""
+    # a little wider than the ratio that a link allows, so that rounding of logarithms does no harm
+    width = max(math.log(100 / percent), 1e-3) * 1.001
+    return F.floor(F.log(F.col(n).cast("double")) / width).cast("int")
+
+
 def _ordered_pairs(pairs: DataFrame) -> DataFrame:
     """a, n_a, b, n_b of distinct pairs with (a, n_a) before (b, n_b)."""
     swap = (F.col("b") < F.col("a")) | ((F.col("b") == F.col("a")) & (F.col("n_b") < F.col("n_a")))
@@ -235,7 +243,9 @@ def all_pairs_apart(members: DataFrame, percent: int) -> DataFrame:
     """Pairs between different components of a bucket that their places allow to link: a, n_a, b, n_b.
 
     The members of the pivot's component are the one side that may be large; the other side are those
-    outside it, so pairs inside a component of copies are never made.
+    outside it, so pairs inside a component of copies are never made. Members meet by n-gram and size band only:
+    sizes that may link are in the same band or in neighbouring ones, so a passage that sets of all sizes share does
+    not bring them all together, and the join has keys of its own that AQE can split.
     """
     pivots = members.groupBy("gram").agg(F.min(F.struct("own", "key", "n", "component")).alias("p"))
     sided = members.join(pivots, "gram").withColumn("outside", F.col("component") != F.col("p.component"))
@@ -262,7 +272,9 @@ def all_pairs_apart(members: DataFrame, percent: int) -> DataFrame:
     # at its first common n-gram, a pair that links has enough n-grams left in both sets
     needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     possible = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
-    pairs = left.join(right, "gram").where(
+    left = left.withColumn("band", size_band("n_a", percent))
+    near = F.explode(F.sequence(size_band("n_b", percent) - 1, size_band("n_b", percent) + 1))
+    pairs = left.join(right.withColumn("band", near), ["gram", "band"]).where(
         (F.col("c_a") != F.col("c_b"))
         & (~F.col("out_b") | (F.col("a") < F.col("b")) | ((F.col("a") == F.col("b")) & (F.col("n_a") < F.col("n_b"))))
         & _may_link(percent)
