@@ -264,8 +264,22 @@ def op6_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CONFLICT = r"\### Assistant: </turn> ok"
 
+# for roles of small letters, which no rendering has to code; a text is escaped where it holds a mark
+CHAT_SQL = rf"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as body from conversations
+  union all select -7, unnest([0, 1]), unnest(['user', 'assistant']), '{CONFLICT}'),
+r as (select *, regexp_replace(body, '(\\*)(### |</turn>)', '\1\1\\\2', 'g') as shown from c)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || body || chr(10), '' order by turn nulls first, role, shown)) as turns_sha256,
+  coalesce(sum(length(body)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(body, '' order by turn nulls first, role, shown) filter (role = 'assistant'), ''))
+    as loss_sha256,
+  sum(length('### ' || role || ': ' || shown || chr(10) || '</turn>' || chr(10)))::bigint as formatted_chars
+from r group by conv_id
+"""
 
-@query()
+
+@query(CHAT_SQL)
 def op4_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of every conversation as read back from its rendering, with conversation -7."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
