@@ -169,6 +169,30 @@ def test_stream_loads_each_file_once_and_resumes(spark, tmp_path):
     assert {r.reason: r["count"] for r in reasons} == {"fields": 3, "count": 1}
 
 
+def test_outcomes_of_files(spark, tmp_path):
+    dump, paths = tmp_path / "dump", {n: str(tmp_path / n) for n in ("facts", "rejects", "outcomes")}
+    run = lambda: vm.ingest_stream(
+        spark, str(dump), paths["facts"], str(tmp_path / "c"), "aa.site", files_per_batch=40, allow_empty=True,
+        rejects_path=paths["rejects"], outcomes_path=paths["outcomes"],
+    )
+    expected = {}
+    for k in range(1, 41):  # as many files as a batch may have, of every length
+        day = f"2024{1 + k // 28:02}{1 + k % 28:02}"
+        lines = ["aa.site P 1 d 3 x"] * (k % 7) + ["bb.site P 1 d 3 x"] * k + ["aa.site P 1"] * (k % 3)
+        write_dump(dump, day, lines)
+        expected[f"{day[:4]}-{day[4:6]}-{day[6:]}"] = (len(lines), k % 7, k % 3)
+    assert run() == 1
+    found = vm.read_outcomes(spark, paths["outcomes"]).collect()
+    assert {r.date: (r.lines, r.kept, r.rejected) for r in found} == expected and len(found) == 40
+    assert {r.source for r in found if r.date == "2024-01-05"} == {"2024/2024-01/pageviews-20240105-user.bz2"}
+    write_dump(dump, "20240401", ["aa.site P 1 d 3 x", "", ""])
+    assert run() == 1
+    found = vm.read_outcomes(spark, paths["outcomes"])
+    assert found.count() == 41 and found.where("date = '2024-04-01'").first()[2:] == (2, 1, 0)
+    with pytest.raises(ValueError, match="rejects_path"):
+        vm.ingest_stream(spark, str(dump), paths["facts"], "c", "aa.site", outcomes_path=paths["outcomes"])
+
+
 def test_batch_ingest_replaces_a_reissued_file(spark, tmp_path):
     dump, facts = tmp_path / "dump", tmp_path / "facts"
     write_dump(dump, "20240101", ["aa.site P 1 d 3 x"])

@@ -77,4 +77,4 @@ from viewmart.sources.tables import (
     validate_asset,
     write_clustered,
 )
-from viewmart.streaming.ingest import ingest, ingest_stream
+from viewmart.streaming.ingest import ingest, ingest_stream, read_outcomes

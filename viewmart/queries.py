@@ -535,15 +535,8 @@ def ingest_stream(spark, sf_dir):
     return vm.read_facts(spark, facts)
 
 
-@query("""select 'fact' as kind, strftime(l_shipdate, '%Y') as year, count(*) as lines,
-        sum(l_quantity)::bigint as views from lineitem
-        where l_linestatus = 'O' and l_quantity <> 50 and l_linenumber < 6 group by 2
-    union all select case when l_linenumber >= 6 then 'fields' else 'count' end,
-        strftime(l_shipdate, '%Y'), count(*), null from lineitem
-        where l_linenumber >= 6 or (l_linestatus = 'O' and l_quantity = 50) group by 1, 2""")
-def ingest_rejects(spark, sf_dir):
-    """Batch ingest of files with bad lines, which are kept; one file of the same name per year."""
-    folder = scratch_folder(spark, "rejects")
+def year_dump(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """All line items as bzip2 dump files with bad lines, one folder per year."""
     count = F.when(F.col("l_quantity") == 50, "x50").otherwise(F.col("l_quantity").cast("int").cast("string"))
     lines = table(spark, sf_dir, "lineitem").select(
         F.concat_ws(
@@ -557,7 +550,19 @@ def ingest_rejects(spark, sf_dir):
         ).alias("value"),
         F.concat(F.year("l_shipdate"), F.lit("0101")).alias("day"),
     )
-    lines.write.partitionBy("day").option("compression", "bzip2").text(f"{folder}/dump")
+    lines.write.partitionBy("day").option("compression", "bzip2").text(path)
+
+
+@query("""select 'fact' as kind, strftime(l_shipdate, '%Y') as year, count(*) as lines,
+        sum(l_quantity)::bigint as views from lineitem
+        where l_linestatus = 'O' and l_quantity <> 50 and l_linenumber < 6 group by 2
+    union all select case when l_linenumber >= 6 then 'fields' else 'count' end,
+        strftime(l_shipdate, '%Y'), count(*), null from lineitem
+        where l_linenumber >= 6 or (l_linestatus = 'O' and l_quantity = 50) group by 1, 2""")
+def ingest_rejects(spark, sf_dir):
+    """Batch ingest of files with bad lines, which are kept; one file of the same name per year."""
+    folder = scratch_folder(spark, "rejects")
+    year_dump(spark, sf_dir, f"{folder}/dump")
     vm.ingest(
         spark, f"{folder}/dump", f"{folder}/facts", PROJECT,
         glob="*.bz2", day_pattern=DAY_FOLDER, rejects_path=f"{folder}/rejects",
@@ -573,6 +578,24 @@ def ingest_rejects(spark, sf_dir):
     )
 
 
+@query("""with l as (select strftime(l_shipdate, '%Y') || '-01-01' as date, l_linenumber >= 6 as seven,
+        l_linestatus = 'O' as kept, l_quantity = 50 as bad from lineitem)
+    select date, 'day=' || replace(date, '-', '') as source, count(*) as lines,
+        count(*) filter (not seven and kept and not bad) as kept,
+        count(*) filter (seven or (kept and bad)) as rejected from l group by date""")
+def ingest_outcomes(spark, sf_dir):
+    """Lines, facts and rejects of each year's dump folder, counted file by file while streams of three files are parsed."""
+    folder = scratch_folder(spark, "outcomes")
+    year_dump(spark, sf_dir, f"{folder}/dump")
+    vm.ingest_stream(
+        spark, f"{folder}/dump", f"{folder}/facts", f"{folder}/checkpoint", PROJECT, glob="*.bz2", day_pattern=DAY_FOLDER,
+        files_per_batch=3, allow_empty=True, rejects_path=f"{folder}/rejects", outcomes_path=f"{folder}/outcomes",
+    )
+    files = vm.read_outcomes(spark, f"{folder}/outcomes")
+    sums = [F.sum(n).alias(n) for n in ("lines", "kept", "rejected")]
+    return files.groupBy("date", F.substring_index("source", "/", 1).alias("source")).agg(*sums)
+
+
 @query(EVENT_DUMP)
 def ingest_stream_equal_names(spark, sf_dir):
     """Files of one name in several folders, forty files a batch."""

@@ -6,7 +6,9 @@ The day stands in the file path only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from viewmart.functions.storage import absolute
@@ -122,12 +124,15 @@ def dump_facts(lines: DataFrame, project: str, *, strict: bool = True) -> DataFr
     return to_facts(filter_project(parse_lines(candidates), project), strict=strict)
 
 
-def parse_once(lines: DataFrame, project: str) -> DataFrame:
+def parse_once(
+    lines: DataFrame, project: str, *, seen: Observation | None = None, files: int = 0
+) -> DataFrame:
     """Lines that give a fact or a reject, from one pass: ``date, source, fact, value, reason``.
 
     ``fact`` (entity, page_id, views) is NULL for rejects, ``value`` and ``reason`` for facts. Reasons:
     ``encoding``: not valid UTF-8; ``fields``: not six fields (blank lines are none);
-    ``count``: a kept row whose count is no integer.
+    ``count``: a kept row whose count is no integer. ``seen`` counts the lines of at most ``files``
+    files on the way, for :func:`file_outcomes`.
     """
     kept = (F.get("f", F.lit(0)) == project) & (F.get("f", F.lit(2)) != "null")
     count = to_count(F.get("f", F.lit(4)))
@@ -142,11 +147,26 @@ def parse_once(lines: DataFrame, project: str) -> DataFrame:
     rows = _with_fields(lines).select(
         "date", "source", F.when(reason.isNull() & kept, fact).alias("fact"), "value", reason.alias("reason")
     )
+    if seen is not None:
+        kind = F.when(F.col("fact").isNotNull(), "kept").when(F.col("reason").isNotNull(), "rejected")
+        item = F.concat_ws(" ", F.coalesce(kind, F.lit("foreign")), "date", "source")
+        # a sketch that tracks as many items as there can be counts each exactly
+        most = F.lit(3 * files)
+        rows = rows.observe(seen, F.call_function("approx_top_k", item, most, most).alias("items"))
     return rows.where(F.col("fact").isNotNull() | F.col("reason").isNotNull()).withColumn(
         "value", F.when(F.col("reason").isNotNull(), F.col("value"))
     )
 
 
+def file_outcomes(seen: Observation) -> list[tuple[str, str, int, int, int]]:
+    """``date, source, lines, kept, rejected`` of each file whose lines :func:`parse_once` counted."""
+    counts: dict[tuple[str, str], Counter] = {}
+    for item in seen.get["items"]:
+        kind, date, source = item["item"].split(" ", 2)
+        counts.setdefault((date, source), Counter())[kind] = item["count"]
+    return [(*file, n.total(), n["kept"], n["rejected"]) for file, n in sorted(counts.items())]
+
+
 def parse_rejects(lines: DataFrame, project: str) -> DataFrame:
     """Lines that give no fact though they are not merely foreign: ``date, source, value,
     reason`` as in :func:`parse_once`."""
