@@ -351,6 +351,21 @@ def test_model_of_odd_rows(spark):
     assert [math.isfinite(r.score) for r in lm.scored(docs_of(spark, [(k, "x") for k in range(40) if zlib.crc32(str(k).encode()) % 7 == 2])).collect()]
 
 
+def test_a_block_that_changes_is_noticed(spark):
+    """Other words, as many as before: only a digest of the keys can tell."""
+
+    def numbered(words):
+        rows = [(k, f"{words[k]} a b", k % 7, k, 0) for k in range(len(words))]
+        return spark.createDataFrame(rows, "doc_id bigint, text string, fold int, row bigint, block bigint").coalesce(1)
+
+    before = [f"w{k}" for k in range(9)]
+    size = lm.Size(36, 12, 8, 32, 12, 7)
+    summed = lm.totals(lm.block_counts(numbered(before), 3)).where("block >= 0")
+    assert lm.counted(numbered(before), summed, size).where("fold is not null").count() == 9
+    with pytest.raises(Exception, match="changed between two reads"):
+        lm.counted(numbered([*before[:-1], "other"]), summed, size).collect()
+
+
 def test_hash_lists_are_packed_exactly():
     rng = np.random.default_rng(0)
     for keys in ([0], [5, 2**64 - 1], sorted(set(rng.integers(0, 2**63, 5000).tolist()))):

@@ -14,8 +14,8 @@ no further shuffle. Only a histogram of probability steps per bucket (bounded by
 corpus) and the weights pass through the driver.
 
 Blocks are numbered by the rows' places in the partitions of ``docs``, so its plan must give the same
-partitions when it is run again (files do; cut lineage before where it would not). A block that comes out
-otherwise is noticed and fails the job.
+partitions when it is run again (files do; cut lineage before where it would not). A block with other keys
+than before is noticed by a digest of them and fails the job.
 
 Defined results: null text is empty: its one token is the end; a null ``doc_id`` has the empty text as
 name; repeated rows count and are scored each; an empty table gives no rows; without training tokens the
@@ -109,6 +109,11 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(steps.reshape(-1).view(np.uint64), dtype=np.uint64)
 
 
+def _digest(keys: np.ndarray) -> int:
+    """Of a set of keys; that of a union of disjoint sets is the exclusive or of theirs."""
+    return int(np.bitwise_xor.reduce(keys, initial=np.uint64(0)).view(np.int64))
+
+
 def _small(values: np.ndarray) -> bytes:
     """Counts in as few bytes each as the largest of them needs."""
     most = values.max(initial=0)
@@ -161,7 +166,7 @@ def block_counts(numbered: DataFrame, ranges: int) -> DataFrame:
 
 
 TOTALS = (
-    "block bigint, part int, kind int, learned binary, deleted binary,"
+    "block bigint, part int, kind int, digest bigint, learned binary, deleted binary,"
     " tokens bigint, types bigint, kept_tokens bigint, kept_types bigint"
 )
 
@@ -183,12 +188,14 @@ def totals(counts: DataFrame) -> DataFrame:
             learned, kept = summed["learned"], summed["learned"] - summed["deleted"]
             if kind == 1:
                 sums = (learned.sum(), (learned > 0).sum(), kept.sum(), (kept > 0).sum())
-                out.append((-1, 0, 0, b"", b"", *map(int, sums)))
+                out.append((-1, 0, 0, 0, b"", b"", *map(int, sums)))
             back = {name: np.split(x[at], np.cumsum(sizes)[:-1]) for name, x in summed.items()}
-            for block, part, a, b in zip(of_kind["block"], of_kind["part"], back["learned"], back["deleted"]):
-                out.append((block, part, kind, _small(a), _small(b), None, None, None, None))
+            for block, part, own, a, b in zip(
+                of_kind["block"], of_kind["part"], map(_digest, keys), back["learned"], back["deleted"]
+            ):
+                out.append((block, part, kind, own, _small(a), _small(b), None, None, None, None))
         frame = pd.DataFrame(out, columns=names)
-        return frame.astype({name: "Int64" for name in names[5:]})
+        return frame.astype({name: "Int64" for name in names[6:]})
 
     return counts.groupBy("part").applyInPandas(add, TOTALS)
 
@@ -233,11 +240,11 @@ def counted(numbered: DataFrame, summed: DataFrame, size: Size) -> DataFrame:
         got = {}
         for number, keys, at in ((1, read.uni, read.uni_at), (2, read.pairs, read.pairs_at)):
             rows = back[back["kind"] == number].sort_values("part")
-            for name in ("learned", "deleted"):
-                values = np.concatenate([_wide(x) for x in rows[name]])
-                if len(values) != len(keys):
-                    raise ValueError("a block of documents changed between two reads; cut its lineage first")
-                got[number, name] = values[at]
+            values = {name: [_wide(x) for x in rows[name]] for name in ("learned", "deleted")}
+            if sum(map(len, values["learned"])) != len(keys) or np.bitwise_xor.reduce(rows["digest"]) != _digest(keys):
+                raise ValueError("a block of documents changed between two reads; cut its lineage first")
+            for name in values:
+                got[number, name] = np.concatenate(values[name])[at]
         words, pairs = got[1, "learned"], got[2, "learned"]
         ends = np.cumsum(read.sizes)
         starts = ends - read.sizes
