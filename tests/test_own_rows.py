@@ -4,7 +4,9 @@ from collections import Counter
 from datetime import datetime
 
 import duckdb
+import pytest
 
+from viewmart import queries
 from viewmart.queries import QUERIES, SQL
 
 
@@ -31,3 +33,19 @@ def test_content_kept_with_an_appended_row_of_key_zero(spark, tmp_path):
         "l_orderkey bigint, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
     )
     assert same_as_sql(spark, tmp_path, "content_kept", orders=orders, lineitem=lineitem)
+
+
+@pytest.fixture
+def uneven_tasks(spark):
+    """Small shuffle partitions stay apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_list_assets_writes_its_days_in_several_tasks(spark, tmp_path, monkeypatch, uneven_tasks):
+    monkeypatch.setattr(queries, "scratch_folder", lambda spark, label: str(tmp_path / label))
+    events = spark.range(1, 400).selectExpr("id as event_id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, int(id % 20)) as ts")
+    assert len(same_as_sql(spark, tmp_path, "list_assets", events=events)) == 20
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "assets/events").glob("day=*/part-*.txt")}
+    assert len(tasks) > 3

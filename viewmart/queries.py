@@ -1180,7 +1180,8 @@ def list_assets(spark, sf_dir):
     """Name, age and length of the files of an asset kept by day, from the listing alone."""
     base = scratch_folder(spark, "assets")
     events = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), day("ts").alias("day"))
-    events.repartition(1, "day").write.partitionBy("day").text(f"{base}/events")
+    # a day is in one task, so it becomes one file; a task sorts the rows of its own days only
+    events.repartition("day").write.partitionBy("day").text(f"{base}/events")
     files = vm.fresh_assets(spark, base, "events/day=*/*.txt", max_age_days=1)
     now = F.current_timestamp()
     by_day = files.groupBy(F.regexp_extract("name", "^events/day=([^/]+)/part-.*[.]txt$", 1).alias("day"))
