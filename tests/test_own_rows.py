@@ -5,9 +5,12 @@ from datetime import datetime
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from viewmart import queries
+from viewmart.functions.text import day_from_path
 from viewmart.queries import QUERIES, SQL
+from viewmart.sources.dumps import read_dump
 
 
 def same_as_sql(spark, folder, name, **tables):
@@ -49,3 +52,28 @@ def test_list_assets_writes_its_days_in_several_tasks(spark, tmp_path, monkeypat
     assert len(same_as_sql(spark, tmp_path, "list_assets", events=events)) == 20
     tasks = {f.name.split("-")[1] for f in (tmp_path / "assets/events").glob("day=*/part-*.txt")}
     assert len(tasks) > 3
+
+
+def test_tasks_do_not_multiply_the_files_of_a_year(spark, tmp_path):
+    lines = spark.range(0, 400, numPartitions=8).selectExpr(
+        "id as l_partkey", "int(id % 7) as l_linenumber", "double(id % 50 + 1) as l_quantity",
+        "if(id % 2 = 0, 'O', 'F') as l_linestatus", "timestamp_ntz'1995-01-02' + make_interval(int(id % 5)) as l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    queries.year_dump(spark, str(tmp_path), f"{tmp_path}/dump")
+    assert len(list((tmp_path / "dump").glob("day=*/*.bz2"))) == 5
+
+
+def test_the_day_and_origin_of_odd_paths(spark, tmp_path):
+    folder = tmp_path / "a+b 100%25 ü"
+    for name in ["pageviews-20240102-user.bz2.txt", "x y+z%41-pageviews-20240103-user"]:
+        (folder / "in:side").mkdir(parents=True, exist_ok=True)
+        (folder / "in:side" / name).write_text("l\n")
+    rows = read_dump(spark, str(folder), glob="*user*").collect()
+    assert {(r.date, r.source) for r in rows} == {
+        ("2024-01-02", "in:side/pageviews-20240102-user.bz2.txt"),
+        ("2024-01-03", "in:side/x y+z%41-pageviews-20240103-user"),
+    }
+    paths = spark.createDataFrame([("a-1-2-",), ("b",), (None,), ("a--2-3",), ("x a-1-2-3 a-4-5-6",)], "p string")
+    days = paths.select(day_from_path(F.col("p"), r"a-(\d?)-(\d)-(\d?)").alias("d")).collect()
+    assert [r.d for r in days] == ["1-2-", None, None, None, "1-2-3"]

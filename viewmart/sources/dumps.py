@@ -19,7 +19,10 @@ FIELDS = 6
 
 def origin(spark: SparkSession, root: str) -> Column:
     """Path of a row's file relative to the dump's root: files of one name in several folders differ."""
-    path = F.regexp_replace(F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")), "^[a-zA-Z0-9+.-]+:(//[^/]*)?", "")
+    uri = F.col("_metadata.file_path")
+    # this runs for every line: a plain test spares most of them the decoding
+    whole = F.when(F.contains(uri, F.lit("%")), F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))).otherwise(uri)
+    path = F.regexp_replace(whole, "^[a-zA-Z0-9+.-]+:(//[^/]*)?", "")
     prefix = absolute(spark, root).rstrip("/") + "/"
     return F.when(path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 30)).otherwise(path)
 
