@@ -4,11 +4,14 @@ from collections import Counter
 from datetime import datetime
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from viewmart import queries
 from viewmart.functions.text import day_from_path
+from viewmart.llm.common import tokenizer_path
+from viewmart.llm.level_packing import Encoder
 from viewmart.queries import QUERIES, SQL
 from viewmart.sources.dumps import read_dump
 
@@ -77,3 +80,19 @@ def test_the_day_and_origin_of_odd_paths(spark, tmp_path):
     paths = spark.createDataFrame([("a-1-2-",), ("b",), (None,), ("a--2-3",), ("x a-1-2-3 a-4-5-6",)], "p string")
     days = paths.select(day_from_path(F.col("p"), r"a-(\d?)-(\d)-(\d?)").alias("d")).collect()
     assert [r.d for r in days] == ["1-2-", None, None, None, "1-2-3"]
+
+
+def test_unknown_words_are_encoded_together():
+    encode = Encoder(tokenizer_path())
+    tokenizer, taken = encode._tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            taken.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    encode._tokenizer = Counting()
+    texts = [" ".join(f"wörd{i}x{j}" for j in range(60)) + "\n\n  odd <|endoftext|> 's" for i in range(20)]
+    ids = [np.frombuffer(x, "<u4").tolist() for x in encode.encode(texts)]
+    assert ids == [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert len(taken) < 100

@@ -41,6 +41,8 @@ MAX_OPEN = 4096
 MAX_KNOWN, MAX_CUT = 800_000, 48
 #: Characters encoded together.
 TOGETHER = 2_000_000
+#: Unknown cuts that one call of the tokenizer takes as one text.
+JOINED = 256
 
 PIECES = (
     "doc_id {doc}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint,"
@@ -49,6 +51,8 @@ PIECES = (
 
 _ADJACENT_BLANKS = re.compile(r"\s\s|\0")
 _CUTS = re.compile(r"(?<=\S)(?= )")
+#: A cut that can stand behind another one of its kind and still is cut off there.
+_JOINABLE = re.compile(r" \S+")
 
 
 def cuts_of(text: str) -> list[str]:
@@ -70,12 +74,29 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self._widths[number] = len(token)
 
     def _learn(self, cuts: set[str]) -> dict[str, bytes]:
         """Ids of ``cuts``; those that are short become known."""
-        new = list(cuts)
-        found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else []
-        got = {c: struct.pack(f"<{len(ids := x.ids)}I", *ids) for c, x in zip(new, found)}
+        joinable = [c for c in cuts if _JOINABLE.fullmatch(c)]
+        got: dict[str, bytes] = {}
+        groups = [joinable[i : i + JOINED] for i in range(0, len(joinable), JOINED)]
+        joined = self._tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, joined):
+            ids = np.array(found.ids, "<u4")
+            # a token has as many characters as it stands for bytes, which tells where a cut's tokens end
+            ends = np.cumsum(self._widths[ids])
+            wanted = np.cumsum([len(c.encode()) for c in group])
+            last = np.searchsorted(ends, wanted)
+            if len(ends) and last[-1] == len(ends) - 1 and (ends[last] == wanted).all():
+                data, stops = ids.tobytes(), (4 * (last + 1)).tolist()
+                got.update((c, data[i:j]) for c, i, j in zip(group, [0, *stops], stops))
+        alone = [c for c in cuts if c not in got]
+        found = self._tokenizer.encode_batch_fast(alone, add_special_tokens=False) if alone else []
+        got.update((c, struct.pack(f"<{len(ids := x.ids)}I", *ids)) for c, x in zip(alone, found))
         self._known.update((c, ids) for c, ids in got.items() if len(c) <= MAX_CUT)
         return got
 
